@@ -1,0 +1 @@
+"""Intentionally empty: the workload is bounded batch (yearly files, re-run weekly)."""
