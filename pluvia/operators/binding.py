@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from ..functions.parsing import is_blank, parse_decimal, split_cells, split_key_value
 from ..schemas import DATE_HEADER, METADATA_KEYS, METADATA_LINES, NUMERIC_METADATA
 
+# At about a kilobyte per file's record, some 20 MB.
+BROADCAST_RECORDS = 20_000
+
 
 def _typed(values: Mapping[str, Column], numeric: Sequence[str]) -> list[Column]:
     return [
@@ -49,22 +52,19 @@ def read_file_metadata(
     )
 
 
-def _is_header_line(line: Column) -> Column:
-    return F.coalesce(F.get(split_cells(line), F.lit(0)) == DATE_HEADER, F.lit(False))
-
+def _pattern(keys: Sequence[str]) -> tuple[str, str]:
+    """Patterns of a header line and of a metadata line."""
+    names = "|".join(f"\\Q{key}\\E" for key in keys)
+    return f'^"?{DATE_HEADER}"?(;|$)', f"^([^;]*:|\\s*({names}))\\s*(;|$)"
 
-def _is_metadata_line(line: Column, keys: Mapping[str, str] = METADATA_KEYS) -> Column:
-    named = split_key_value(line)["key"].isin(*keys)
-    return named | F.endswith(F.substring_index(line, ";", 1), F.lit(":"))
 
-
-def is_data_line(line: Column) -> Column:
+def is_data_line(line: Column, keys: Sequence[str] = tuple(METADATA_KEYS)) -> Column:
     """Told by content, for files read in pieces, where no task knows the line number.
 
     Everything but metadata, header and blank lines is data: a row with an odd date stays, to be
     reported when the date is parsed.
     """
-    return ~(_is_header_line(line) | _is_metadata_line(line) | is_blank(line))
+    return ~line.rlike("|".join(("^\\s*$", *_pattern(keys))))
 
 
 def read_line_metadata(
@@ -73,11 +73,11 @@ def read_line_metadata(
     numeric: Sequence[str] = NUMERIC_METADATA,
 ) -> DataFrame:
     """``read_file_metadata`` for ``(file, line)`` rows: one row per file, without ``body``."""
-    line = F.col("line")
-    described = lines.where(_is_header_line(line) | _is_metadata_line(line, keys)).select(
+    line, (header, metadata) = F.col("line"), _pattern(list(keys))
+    described = lines.where(line.rlike(f"{header}|{metadata}")).select(
         "file",
         split_key_value(line).alias("pair"),
-        F.when(_is_header_line(line), line).alias("header"),
+        F.when(line.rlike(header), line).alias("header"),
     )
     values = [
         F.max(F.when(F.col("pair.key") == key, F.col("pair.value"))).alias(name)
@@ -91,13 +91,20 @@ def read_line_metadata(
     )
 
 
-def attach_metadata(rows: DataFrame, metadata: DataFrame, on: str | Sequence[str] = "file") -> DataFrame:
+def attach_metadata(
+    rows: DataFrame,
+    metadata: DataFrame,
+    on: str | Sequence[str] = "file",
+    records: int | None = None,
+) -> DataFrame:
     """Left join: rows without a record keep NULLs.
 
-    No broadcast hint: the metadata grows with the number of files.  Spark broadcasts it while its size
-    is under the threshold, and beyond that AQE splits the pieces of an outsized file.
+    The metadata grows with the number of files, so it is broadcast only if the caller has counted its
+    ``records`` and they are few.  Else Spark decides by size, and where it shuffles, AQE splits the rows
+    of an outsized file.
     """
-    return rows.join(metadata, on, "left")
+    few = records is not None and records <= BROADCAST_RECORDS
+    return rows.join(F.broadcast(metadata) if few else metadata, on, "left")
 
 
 def header_positions(header: Column, names: Sequence[str]) -> Column:

@@ -177,4 +177,17 @@ ORACLE: dict[str, str] = {
         from ({_SILVER}) s where year(datetime) = 1998 and month(datetime) = 1
         group by 1, 2, 3 order by chuva_total_mm desc, estacao_codigo limit 10
     """,
+    "write_fact": f"""
+        select cast(year(datetime) as int) as ano, cast(month(datetime) as int) as mes, count(*) as linhas
+        from ({_SILVER}) s group by 1, 2
+    """,
+    "staging_views": f"""
+        select uf, count(*) as leituras, max(temperatura_c) as maxima
+        from ({_SILVER}) s where year(datetime) = 1998 group by 1
+    """,
+    "append_run_log": f"""
+        select 'modelagem_gold' as etapa, min(ano) || '-' || max(ano) as ano, 'sucesso' as status,
+               count(*) as linhas, cast(null as varchar) as erro
+        from ({_SILVER}) s
+    """,
 }

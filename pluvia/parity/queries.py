@@ -41,6 +41,7 @@ from ..plans import (
     mean_rain_by_region,
     mean_temperature_by_uf,
     parse_readings,
+    read_run_log,
     run_summary,
     silver_to_gold,
     stations_with_most_rain,
@@ -56,6 +57,7 @@ from ..sources import (
     read_silver,
     read_years,
     rows_from_lines,
+    staging_views,
     write_silver,
 )
 
@@ -400,13 +402,25 @@ _MEASURED = {
 }
 
 
+def _spread_if_small(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table for much work per row: one with too few bytes to occupy all cores is dealt out to them.
+
+    A small file is a single row group and so a single task.  Larger tables are left as they are.
+    """
+    cores, path = spark.sparkContext.defaultParallelism, f"{sf_dir}/{name}.parquet"
+    listing = spark.read.format("binaryFile").load(path)
+    small = listing.agg(F.sum("length")).first()[0] < cores * (128 << 20)
+    table = _table(spark, sf_dir, name)
+    return table.repartition(cores) if small else table
+
+
 def _station_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(file, ano, line)``: the line items as station files, one per supplier and year."""
     headers = {name: header for header, name in MEASURE_HEADERS.items()}
     header = ";".join(["Data", "Hora UTC", *(headers[name] for name in _MEASURED), ""])
     day = F.replace(F.substring(F.col(TIME).cast("string"), 1, 10), F.lit("-"), F.lit("/"))
     hour = F.concat(F.lpad(F.col("l_linenumber").cast("string"), 2, "0"), F.lit("00 UTC"))
-    keyed = _lineitem(spark, sf_dir).withColumn("ano", F.year(TIME))
+    keyed = _spread_if_small(spark, sf_dir, "lineitem").withColumn("ano", F.year(TIME))
     file = F.concat_ws("/", F.col(STATION), F.col("ano")).alias("file")
     rows = keyed.select(
         file, "ano", F.concat_ws(";", day, hour, *map(_with_comma, _MEASURED.values()), F.lit("")).alias("line")
@@ -419,14 +433,26 @@ def _station_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return heads.unionByName(rows)
 
 
-def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return deduplicated(parse_readings(rows_from_lines(_station_lines(spark, sf_dir))))
+def _typed_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same readings without the way through text, for the queries about what comes after."""
+    time = F.col(TIME) + F.make_dt_interval(hours=F.col("l_linenumber"))
+    readings = _lineitem(spark, sf_dir).select(
+        time.alias("datetime"),
+        F.year(TIME).alias("ano"),
+        F.col(STATION),
+        *[F.col(source).alias(name) for name, source in _MEASURED.items()],
+    )
+    described = dedup_readings(readings, ["ano", STATION, "datetime"]).join(_stations(spark, sf_dir), STATION)
+    named = described.withColumn("estacao_codigo", F.col(STATION).cast("string")).withColumnRenamed(
+        "nome", "estacao_nome"
+    )
+    absent = spark.createDataFrame([], SILVER_SCHEMA)
+    return union_by_name(absent, named.drop(STATION))
 
 
 def _written_silver(spark: SparkSession, sf_dir: str) -> str:
     root = shared_dir(spark, "silver")
-    silver = _silver(spark, sf_dir).select(*SILVER_SCHEMA.names)
-    write_silver(silver.hint("rebalance", F.col("ano")), root)
+    write_silver(_typed_silver(spark, sf_dir).hint("rebalance", F.col("ano")), root)
     return root
 
 
@@ -439,7 +465,9 @@ def _written_gold(spark: SparkSession, sf_dir: str) -> str:
 @query("bronze_to_silver")
 def files_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines -> metadata, binding, parsing, deduplication; not yet written."""
-    return _silver(spark, sf_dir).select(
+    files = _lineitem(spark, sf_dir).select(STATION, F.year(TIME)).distinct().count()
+    rows = rows_from_lines(_station_lines(spark, sf_dir), files)
+    return deduplicated(parse_readings(rows)).select(
         "estacao_codigo", "estacao_nome", "uf", "regiao", "altitude", "datetime", "ano",
         *_MEASURED, "vento_direcao_gr", "invalid_numbers", "invalid_times",
     )
@@ -472,3 +500,33 @@ def gold_top_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stations_with_most_rain(
         read_gold_table(spark, root, FACT), read_gold_table(spark, root, "dim_estacao"), 1998, 1, 10
     )
+
+
+@query("write_fact")
+def refreshed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold built once and then refreshed for two of its years: months and their row counts."""
+    silver, gold = _written_silver(spark, sf_dir), shared_dir(spark, "gold")
+    silver_to_gold(spark, silver, gold)
+    silver_to_gold(spark, silver, gold, [1996, 1998])
+    return read_gold_fact(spark, gold).groupBy("ano", "mes").agg(F.count(F.lit(1)).alias("linhas"))
+
+
+@query("staging_views")
+def views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL with named arguments over the views of the written tables."""
+    dim, fact = staging_views(spark, _written_gold(spark, sf_dir))
+    return spark.sql(
+        f"""
+        select uf, count(*) as leituras, max(temperatura_c) as maxima
+        from {fact} join {dim} using (estacao_codigo) where ano = :ano group by uf
+        """,
+        args={"ano": 1998},
+    )
+
+
+@query("append_run_log")
+def logged_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log's record of a Gold job."""
+    log = shared_dir(spark, "log")
+    silver_to_gold(spark, _written_silver(spark, sf_dir), shared_dir(spark, "gold"), log_dir=log)
+    return read_run_log(spark, log).select("etapa", "ano", "status", "linhas", "erro")

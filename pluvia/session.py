@@ -21,6 +21,16 @@ DEFAULTS = {
     "spark.ui.enabled": "false",
 }
 
+# On a cluster only; a local session keeps Spark's small-data defaults.
+CLUSTER_DEFAULTS = {
+    # AQE merges partitions but cannot split the one a window or aggregate needs, so start with many
+    # (a 4 TB year then gives 500 MB each) ...
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
+    # ... and merge up to this size, not merely until every core has work: it sets the size of files.
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+}
+
 
 def build_session(app: str = "pluvia", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the defaults above; ``conf`` keys use ``__`` for dots and win over them."""
@@ -30,7 +40,12 @@ def build_session(app: str = "pluvia", master: str | None = None, **conf: str) -
     settings = DEFAULTS | {key.replace("__", "."): value for key, value in conf.items()}
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if not spark.sparkContext.master.startswith("local"):
+        for key, value in CLUSTER_DEFAULTS.items():
+            if key not in settings:
+                spark.conf.set(key, value)
+    return spark
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:

@@ -58,6 +58,24 @@ def archive_members(spark: SparkSession, archive_root: str) -> DataFrame:
     return archives.mapInPandas(_list_members, MEMBER_SCHEMA)
 
 
+def _extract(archive: zipfile.ZipFile, member: str, filesystem: pafs.FileSystem, target: str) -> None:
+    """Copy one member to ``target``, unless an earlier attempt already did.
+
+    Spark skips hidden names, so a half-written file is never read as data.
+    """
+    present = filesystem.get_file_info(target)
+    if present.type != pafs.FileType.NotFound:
+        if present.size == archive.getinfo(member).file_size:
+            return
+        filesystem.delete_file(target)
+    folder, name = posixpath.split(target)
+    filesystem.create_dir(folder, recursive=True)
+    partial = posixpath.join(folder, f".{name}.{uuid.uuid4().hex}")
+    with archive.open(member) as source, filesystem.open_output_stream(partial) as sink:
+        shutil.copyfileobj(source, sink, _BLOCK)
+    filesystem.move(partial, target)
+
+
 def _extractor(raw_root: str):
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         target_fs, root = _filesystem(raw_root)
@@ -67,14 +85,7 @@ def _extractor(raw_root: str):
                 with source_fs.open_input_file(inner) as raw, zipfile.ZipFile(raw) as archive:
                     for ano, member in zip(members["ano"], members["member"]):
                         target = posixpath.join(root, str(ano), _safe_member(member))
-                        folder, name = posixpath.split(target)
-                        target_fs.create_dir(folder, recursive=True)
-                        # Spark skips hidden names, so a half-written file is never read; a task that
-                        # runs twice replaces the file by an equal one.
-                        partial = posixpath.join(folder, f".{name}.{uuid.uuid4().hex}")
-                        with archive.open(member) as src, target_fs.open_output_stream(partial) as dst:
-                            shutil.copyfileobj(src, dst, _BLOCK)
-                        target_fs.move(partial, target)
+                        _extract(archive, member, target_fs, target)
             yield batch
 
     return extract

@@ -26,7 +26,7 @@ from .tables import read_or_empty
 
 ENCODING = "ISO-8859-1"
 FILE_GLOB = "*.CSV"
-WHOLE_FILE_LIMIT = 32 << 20
+WHOLE_FILE_LIMIT = 16 << 20
 _LINE_BREAK = "\r\n|\n|\r"
 HEADERS = (DATE_HEADER, HOUR_HEADER, *MEASURE_HEADERS)
 
@@ -73,10 +73,13 @@ def rows_from_files(files: DataFrame) -> DataFrame:
     return rows.where(F.col("line").isNotNull())
 
 
-def rows_from_lines(lines: DataFrame) -> DataFrame:
-    """The same rows from ``(file, ano, line)``, for files whose lines are spread over many tasks."""
+def rows_from_lines(lines: DataFrame, files: int | None = None) -> DataFrame:
+    """The same rows from ``(file, ano, line)``, for files whose lines are spread over many tasks.
+
+    Tell the number of ``files`` if it is known: the metadata of few files is broadcast.
+    """
     rows = lines.where(is_data_line(F.col("line")))
-    return attach_metadata(rows, _locate_columns(read_line_metadata(lines)), "file")
+    return attach_metadata(rows, _locate_columns(read_line_metadata(lines)), "file", files)
 
 
 def scan_small_files(
@@ -101,6 +104,7 @@ def scan_large_files(
     years: Iterable[int],
     limit: int = WHOLE_FILE_LIMIT,
     glob: str = FILE_GLOB,
+    files: int | None = None,
 ) -> DataFrame:
     """Rows of the files above ``limit`` bytes, each split over many tasks.
 
@@ -117,7 +121,15 @@ def scan_large_files(
         .where(F.col("_metadata.file_size") > limit)
         .select(F.col("_metadata.file_path").alias("file"), "line")
     )
-    return rows_from_lines(scan.withColumn("ano", _year_of(F.col("file"))))
+    return rows_from_lines(scan.withColumn("ano", _year_of(F.col("file"))), files)
+
+
+def count_large_files(
+    spark: SparkSession, raw_root: str, years: Iterable[int], limit: int, glob: str = FILE_GLOB
+) -> int:
+    """Number of files above ``limit`` bytes, from the listing; reads no file."""
+    listing = _listing(spark, _folders(raw_root, years), glob)
+    return listing.where(F.col("length") > limit).select("path").count()
 
 
 def scan_station_files(
@@ -130,32 +142,31 @@ def scan_station_files(
     """Every data row of the years' station files, whatever the file sizes."""
     years = list(years)
     small = scan_small_files(spark, raw_root, years, limit, glob)
-    return small.unionByName(scan_large_files(spark, raw_root, years, limit, glob))
+    large = count_large_files(spark, raw_root, years, limit, glob)
+    if not large:
+        return small
+    return small.unionByName(scan_large_files(spark, raw_root, years, limit, glob, large))
 
 
-def landed_years(spark: SparkSession, raw_root: str) -> DataFrame:
-    """``ano`` of every non-empty landing folder; reads the listing, not the files."""
+def _landed(spark: SparkSession, raw_root: str, glob: str = "*") -> DataFrame:
+    """``ano`` of every file at the top of a landing folder; lists the folders, reads no file."""
     files = read_or_empty(
-        spark, "path string", lambda: spark.read.format("binaryFile").load(f"{raw_root.rstrip('/')}/*/*")
+        spark, "path string", lambda: _listing(spark, [f"{raw_root.rstrip('/')}/*"], glob)
     )
-    return files.select(_year_of(F.col("path")).alias("ano")).where("ano is not null").distinct()
+    return files.select(_year_of(F.col("path")).alias("ano")).where(F.col("ano").isNotNull())
+
+
+def landed_years(spark: SparkSession, raw_root: str) -> DataFrame:
+    """``ano`` of every non-empty landing folder."""
+    return _landed(spark, raw_root).distinct()
 
 
 def landed_files(
     spark: SparkSession, raw_root: str, years: Iterable[int], glob: str = FILE_GLOB
 ) -> DataFrame:
-    """``(ano, arquivos)``: number of station files at the top of each year's folder."""
-    years = list(years)
-    pattern = f"{raw_root.rstrip('/')}/*/{glob}"
-    files = read_or_empty(
-        spark, "path string", lambda: spark.read.format("binaryFile").load(pattern)
-    )
-    return (
-        files.select(_year_of(F.col("path")).alias("ano"))
-        .where(F.col("ano").isin(years))
-        .groupBy("ano")
-        .agg(F.count(F.lit(1)).alias("arquivos"))
-    )
+    """``(ano, arquivos)``: number of station files of each of the years."""
+    files = _landed(spark, raw_root, glob).where(F.col("ano").isin(list(years)))
+    return files.groupBy("ano").agg(F.count(F.lit(1)).alias("arquivos"))
 
 
 def pending_years(requested: DataFrame, landed: DataFrame, year: str = "ano") -> DataFrame:

@@ -1,0 +1,196 @@
+from __future__ import annotations
+
+import random
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from pluvia.errors import QualityError
+from pluvia.operators import (
+    accepted_range,
+    attach_metadata,
+    bind_columns_by_name,
+    check_accepted_range,
+    check_unique,
+    dedup_readings,
+    dim_date,
+    dim_station,
+    enforce,
+    extra_cells,
+    monthly_mean,
+    not_null,
+    quality_report,
+    read_file_metadata,
+    read_line_metadata,
+    row_counts,
+    station_totals,
+    top_stations,
+    union_by_name,
+    unique,
+    unknown_headers,
+)
+from pluvia.plans import mean_rain_by_region, mean_temperature_by_uf
+
+
+def rows(frame):
+    return sorted((tuple(row) for row in frame.collect()), key=repr)
+
+
+LINES = [
+    "REGIAO:;CO", "UF:;DF", "ESTACAO:;BRASÍLIA", "CODIGO (WMO):;A001", "LATITUDE:;-15,5", "LONGITUDE:;NULL",
+    "ALTITUDE (m):;10", "DATA DE FUNDACAO:;07/05/00", "Data;Hora UTC;R;", "2023/01/01;0000 UTC;1;",
+]
+
+
+def test_metadata_of_whole_files_and_of_lines_agree(spark):
+    other = ["UF:;RS", "REGIAO:;S"] + ["X:;y"] * 6 + ["Data;Hora UTC;T;", "", "2023/01/01;0000 UTC;2;", ""]
+    files = spark.createDataFrame([("a", LINES), ("b", other)], "file string, lines array<string>")
+    whole = read_file_metadata(files)
+    lines = read_line_metadata(files.select("file", F.explode("lines").alias("line")).repartition(5))
+    names = ["file", "regiao", "uf", "estacao_nome", "estacao_codigo", "latitude", "longitude", "altitude", "header"]
+    assert rows(whole.select(names)) == rows(lines.select(names)) == [
+        ("a", "CO", "DF", "BRASÍLIA", "A001", -15.5, None, None, ["Data", "Hora UTC", "R", ""]),
+        ("b", "S", "RS", None, None, None, None, None, ["Data", "Hora UTC", "T", ""]),
+    ]
+    assert rows(whole.select("file", "body")) == [
+        ("a", ["2023/01/01;0000 UTC;1;"]), ("b", ["2023/01/01;0000 UTC;2;"]),
+    ]
+
+
+def test_columns_bind_by_name_in_any_order(spark):
+    frame = spark.createDataFrame(
+        [
+            (1, ["A", "B", ""], ["1", "2", ""]),
+            (2, ["B", "A"], ["3", "4", "5"]),
+            (3, ["B", "A"], ["6"]),
+            (4, ["Z", "A", "Unnamed: 2"], ["7", "", "8"]),
+        ],
+        "id int, header array<string>, cells array<string>",
+    )
+    bound = bind_columns_by_name(frame, {"A": "a", "B": "b", "C": "c"})
+    extras = extra_cells(unknown_headers(F.col("header"), ["A", "B"]), F.col("cells"))
+    assert rows(bound.select("id", "a", "b", "c", extras)) == [
+        (1, "1", "2", None, None),
+        (2, "4", "3", None, None),
+        (3, None, "6", None, None),
+        (4, None, None, None, {"Z": "7"}),
+    ]
+
+
+def test_rows_without_metadata_stay(spark):
+    data = spark.createDataFrame([("a", 1), ("b", 2)], "file string, v int")
+    meta = spark.createDataFrame([("a", "DF")], "file string, uf string")
+    assert rows(attach_metadata(data, meta)) == [("a", 1, "DF"), ("b", 2, None)]
+
+
+def test_dedup_is_deterministic_and_treats_nulls_as_equal(spark):
+    data = [("s", 1, 3.0), ("s", 1, 2.0), ("s", None, 5.0), ("s", None, 4.0), (None, None, 1.0), (None, None, 1.0)]
+    expected = [(None, None, 1.0), ("s", 1, 2.0), ("s", None, 4.0)]
+    for seed in range(3):
+        random.Random(seed).shuffle(data)
+        frame = spark.createDataFrame(data, "k string, t int, v double").repartition(seed + 1)
+        assert rows(dedup_readings(frame, ["k", "t"])) == sorted(expected, key=repr)
+
+
+def test_dedup_limits_each_key_before_the_shuffle(spark):
+    frame = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
+    plan = dedup_readings(frame, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and plan.count("Exchange") == 1
+
+
+def test_union_by_name(spark):
+    left = spark.createDataFrame([(1, "a")], "x int, y string")
+    right = spark.createDataFrame([("b", 2.0)], "y string, z double")
+    assert rows(union_by_name(left, right)) == [(1, "a", None), (None, "b", 2.0)]
+
+
+def test_station_dimension_takes_the_latest_reading(spark):
+    data = [
+        ("A", "old", "DF", datetime(2020, 1, 1)),
+        ("A", "new", "DF", datetime(2021, 1, 1)),
+        ("A", "none", "DF", None),
+        ("B", "tie1", "GO", datetime(2021, 1, 1)),
+        ("B", "tie2", "GO", datetime(2021, 1, 1)),
+        (None, "x", "SP", datetime(2021, 1, 1)),
+    ]
+    frame = spark.createDataFrame(data, "estacao_codigo string, nome string, uf string, datetime timestamp_ntz")
+    assert rows(dim_station(frame, attributes=["nome", "uf"])) == sorted(
+        [("A", "new", "DF"), ("B", "tie2", "GO"), (None, "x", "SP")], key=repr
+    )
+
+
+def test_date_dimension_keeps_a_missing_date(spark):
+    frame = spark.createDataFrame(
+        [(datetime(2023, 2, 1, 5),), (datetime(2023, 2, 1, 6),), (None,)], "datetime timestamp_ntz"
+    )
+    assert rows(dim_date(frame)) == sorted(
+        [(date(2023, 2, 1), 2023, 2, 1, 1, "verao"), (None, None, None, None, None, "primavera")], key=repr
+    )
+
+
+READINGS = [
+    ("S1", "N", datetime(2023, 1, 1), 1.0),
+    ("S1", "N", datetime(2023, 1, 2), 2.0),
+    ("S2", "N", datetime(2023, 1, 3), 6.0),
+    ("S2", "N", datetime(2023, 1, 4), None),
+    ("S3", "S", datetime(2023, 2, 1), None),
+    ("S4", None, datetime(2023, 2, 1), 4.0),
+]
+
+
+@pytest.mark.parametrize("scale", [None, 2])
+def test_monthly_mean(spark, scale):
+    frame = spark.createDataFrame(READINGS, "estacao_codigo string, k string, datetime timestamp_ntz, v double")
+    expected = [("N", 2023, 1, 3.0), ("S", 2023, 2, None), (None, 2023, 2, 4.0)]
+    assert rows(monthly_mean(frame, "k", "v", "m", scale=scale)) == sorted(expected, key=repr)
+    stations = frame.select("estacao_codigo", "k").distinct()
+    looked_up = monthly_mean(frame.drop("k"), "k", "v", "m", scale=scale, stations=stations)
+    assert rows(looked_up) == sorted(expected, key=repr)
+
+
+def test_top_stations(spark):
+    fact = spark.createDataFrame(
+        [("A", 1.0), ("A", 1.5), ("B", 2.5), ("C", None), ("D", 9.0), (None, 8.0)], "estacao_codigo string, v double"
+    )
+    dim = spark.createDataFrame(
+        [("A", "a", "X"), ("B", "b", "X"), ("C", "c", "Y")], "estacao_codigo string, estacao_nome string, uf string"
+    )
+    totals = station_totals(fact, dim, "v", "total")
+    assert [tuple(r) for r in top_stations(totals, "total", 2).collect()] == [("A", "a", "X", 2.5), ("B", "b", "X", 2.5)]
+    assert [r.estacao_codigo for r in top_stations(totals, "total", 10).collect()] == ["A", "B", "C"]
+
+
+def test_lookups(spark):
+    temperature = spark.createDataFrame([("DF", 2023, 1, 20.456)], "uf string, ano int, mes int, temperatura_media_c double")
+    assert rows(mean_temperature_by_uf(temperature, "df", 2023, 1)) == [("DF", 2023, 1, 20.46)]
+    assert rows(mean_temperature_by_uf(temperature, "xx", 2023, 1)) == []
+    rain = spark.createDataFrame([("NE", 2023, 1, 0.152549)], "regiao string, ano int, mes int, precipitacao_media_mm double")
+    assert rows(mean_rain_by_region(rain, "ne", 2023, 1)) == [("NE", 2023, 1, 0.1525)]
+
+
+def test_accepted_range_is_inclusive_and_null_passes(spark):
+    frame = spark.createDataFrame([(v,) for v in (-20.1, -20.0, 0.0, 55.0, 55.1, None)], "v double")
+    assert rows(check_accepted_range(frame, "v", -20, 55)) == [(2,)]
+
+
+def test_unique_counts_repeated_values(spark):
+    frame = spark.createDataFrame([("a",), ("a",), ("a",), ("b",), ("b",), ("c",), (None,), (None,)], "v string")
+    assert rows(check_unique(frame, "v")) == [(2,)]
+
+
+def test_quality_report_and_severity(spark):
+    frame = spark.createDataFrame([("a", 1.0), ("a", 99.0), ("b", None)], "k string, v double")
+    warning = quality_report(frame, [not_null("k"), accepted_range("v", 0, 10, severity="warn")], "t")
+    assert rows(warning) == [
+        ("t", "k", "not_null", "error", 0, True), ("t", "v", "accepted_range", "warn", 1, False),
+    ]
+    assert enforce(warning) is warning
+    report = quality_report(frame, [unique("k"), not_null("v")], "t")
+    assert [r[4] for r in rows(report)] == [1, 1]
+    with pytest.raises(QualityError, match="t.k unique: 1 failures; t.v not_null: 1 failures"):
+        enforce(report)
+
+
+def test_row_counts(spark):
+    assert rows(row_counts({"a": spark.range(3), "b": spark.range(0)})) == [("a", 3), ("b", 0)]
