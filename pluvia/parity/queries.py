@@ -420,13 +420,16 @@ def _station_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     header = ";".join(["Data", "Hora UTC", *(headers[name] for name in _MEASURED), ""])
     day = F.replace(F.substring(F.col(TIME).cast("string"), 1, 10), F.lit("-"), F.lit("/"))
     hour = F.concat(F.lpad(F.col("l_linenumber").cast("string"), 2, "0"), F.lit("00 UTC"))
-    keyed = _spread_if_small(spark, sf_dir, "lineitem").withColumn("ano", F.year(TIME))
+    year = F.year(TIME).alias("ano")
     file = F.concat_ws("/", F.col(STATION), F.col("ano")).alias("file")
-    rows = keyed.select(
-        file, "ano", F.concat_ws(";", day, hour, *map(_with_comma, _MEASURED.values()), F.lit("")).alias("line")
+    cells = [day, hour, *map(_with_comma, _MEASURED.values()), F.lit("")]
+    rows = (
+        _spread_if_small(spark, sf_dir, "lineitem")
+        .select(year, STATION, F.concat_ws(";", *cells).alias("line"))
+        .select(file, "ano", "line")
     )
     heads = (
-        keyed.select(STATION, "ano").distinct()
+        _lineitem(spark, sf_dir).select(STATION, year).distinct()
         .join(_stations(spark, sf_dir), STATION)
         .select(file, "ano", F.explode(_metadata_lines(F.lit(header))).alias("line"))
     )
