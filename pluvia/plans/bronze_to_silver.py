@@ -40,13 +40,19 @@ def parse_readings(
     )
     bound = bind_cells(split, ["_date", "_hour", *texts.values()])
     date, hour, codes = F.col("_date"), F.col("_hour"), list(sentinels)
+    timeless = F.coalesce((F.get("positions", F.lit(0)) < 0) | (F.get("positions", F.lit(1)) < 0), F.lit(True))
+    time = parse_utc_timestamp(date, hour, strict)
+    if strict:
+        # Not the same as empty cells: without the columns every row would lose its time unnoticed.
+        failure = F.raise_error(F.concat(F.lit("no date or hour column in "), F.col("file")))
+        time = F.when(timeless, failure.cast("timestamp_ntz")).otherwise(time)
     parsed = bound.withColumns(
-        {"datetime": parse_utc_timestamp(date, hour, strict)}
+        {"datetime": time}
         | {name: parse_decimal(F.col(text)) for name, text in texts.items()}
         | {"extras": extra_cells(F.col("unknown"), F.col("cells"))}
     )
     invalid = [invalid_number(F.col(text), F.col(name)).cast("int") for name, text in texts.items()]
-    unreadable = date.isNotNull() & hour.isNotNull() & F.col("datetime").isNull()
+    unreadable = timeless | (date.isNotNull() & hour.isNotNull() & F.col("datetime").isNull())
     return parsed.select(
         "datetime",
         *[without_sentinels(F.col(name), codes).alias(name) for name in MEASURES],

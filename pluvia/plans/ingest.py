@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from ..errors import EmptyInputError
 from ..schemas import STAGE_INGEST
 from ..sources import land_archives, landed_files, landed_years, pending_years
-from .runlog import run_stage, year_label
+from .runlog import run_stage
 
 
 def ingest(
@@ -20,16 +21,31 @@ def ingest(
     years: Iterable[int],
     log_dir: str | None = None,
 ) -> dict[int, int]:
-    """Extract the archives of the years that have no landing folder yet; files per year."""
-    years = sorted(set(years))
-    with run_stage(spark, log_dir, STAGE_INGEST, year_label(years)) as run:
-        requested = spark.createDataFrame([(year,) for year in years], "ano int")
-        pending = [row.ano for row in pending_years(requested, landed_years(spark, raw_root)).collect()]
-        if pending:
+    """Extract the archives of the years that have no landing folder yet; files per year.
+
+    One job lands all of them; the log gets a record per year.
+    """
+    inicio, years = datetime.now(timezone.utc), sorted(set(years))
+    requested = spark.createDataFrame([(year,) for year in years], "ano int")
+    pending = [row.ano for row in pending_years(requested, landed_years(spark, raw_root)).collect()]
+    error = None
+    if pending:
+        try:
             land_archives(spark, archive_root, raw_root, pending).agg(F.sum("bytes")).collect()
-        counts = {row.ano: row.arquivos for row in landed_files(spark, raw_root, years).collect()}
-        missing = [year for year in years if year not in counts]
-        if missing:
-            raise EmptyInputError(f"no station files for {missing}")
-        run.linhas = sum(counts.values())
+        except Exception as failure:
+            error = failure
+    counts = {row.ano: row.arquivos for row in landed_files(spark, raw_root, years).collect()}
+    failures = []
+    for year in years:
+        try:
+            with run_stage(spark, log_dir, STAGE_INGEST, year, inicio) as run:
+                if error and year in pending:
+                    raise error
+                if year not in counts:
+                    raise EmptyInputError(f"no station files for {year}")
+                run.linhas = counts[year]
+        except Exception as failure:
+            failures.append(failure)
+    if failures:
+        raise failures[0]
     return counts

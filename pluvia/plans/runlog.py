@@ -57,10 +57,17 @@ def append_run_log(
 
 @contextmanager
 def run_stage(
-    spark: SparkSession, log_dir: str | None, etapa: str, ano: int | str
+    spark: SparkSession,
+    log_dir: str | None,
+    etapa: str,
+    ano: int | str,
+    inicio: datetime | None = None,
 ) -> Iterator[StageRun]:
-    """Run a stage and log how it ended; an error is logged with 0 rows and goes on to the caller."""
-    inicio, run = datetime.now(timezone.utc), StageRun()
+    """Run a stage and log how it ended; an error is logged with 0 rows and goes on to the caller.
+
+    ``inicio`` is for work that began before, together with that of other records.
+    """
+    inicio, run = inicio or datetime.now(timezone.utc), StageRun()
 
     def log(status: str, **details) -> None:
         if log_dir is not None:

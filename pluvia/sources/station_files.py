@@ -90,12 +90,13 @@ def scan_small_files(
     glob: str = FILE_GLOB,
 ) -> DataFrame:
     """Rows of the files up to ``limit`` bytes, each read by one task."""
-    files = (
-        _listing(spark, _folders(raw_root, years), glob)
-        .where(F.col("length") <= limit)
-        .select(F.col("path").alias("file"), _year_of(F.col("path")).alias("ano"), "content")
-    )
-    return rows_from_files(files)
+    return _rows_of_listing(_listing(spark, _folders(raw_root, years), glob), limit)
+
+
+def _rows_of_listing(listing: DataFrame, limit: int) -> DataFrame:
+    path = F.col("path")
+    small = listing.where(F.col("length") <= limit)
+    return rows_from_files(small.select(path.alias("file"), _year_of(path).alias("ano"), "content"))
 
 
 def scan_large_files(
@@ -124,14 +125,6 @@ def scan_large_files(
     return rows_from_lines(scan.withColumn("ano", _year_of(F.col("file"))), files)
 
 
-def count_large_files(
-    spark: SparkSession, raw_root: str, years: Iterable[int], limit: int, glob: str = FILE_GLOB
-) -> int:
-    """Number of files above ``limit`` bytes, from the listing; reads no file."""
-    listing = _listing(spark, _folders(raw_root, years), glob)
-    return listing.where(F.col("length") > limit).select("path").count()
-
-
 def scan_station_files(
     spark: SparkSession,
     raw_root: str,
@@ -141,8 +134,10 @@ def scan_station_files(
 ) -> DataFrame:
     """Every data row of the years' station files, whatever the file sizes."""
     years = list(years)
-    small = scan_small_files(spark, raw_root, years, limit, glob)
-    large = count_large_files(spark, raw_root, years, limit, glob)
+    listing = _listing(spark, _folders(raw_root, years), glob)
+    small = _rows_of_listing(listing, limit)
+    # From the listing alone: no file is read for it.
+    large = listing.where(F.col("length") > limit).select("path").count()
     if not large:
         return small
     return small.unionByName(scan_large_files(spark, raw_root, years, limit, glob, large))

@@ -28,6 +28,7 @@ from pluvia.plans import (
 from pluvia.schemas import GOLD_SCHEMAS, MEASURES, SILVER_SCHEMA
 from pluvia.sources import (
     available_years,
+    land_archives,
     read_gold_fact,
     read_gold_table,
     read_silver,
@@ -296,11 +297,61 @@ def test_ingest(spark, tmp_path, paths):
     log = read_run_log(spark, paths["log"]).orderBy("fim").collect()
     assert [(r.etapa, r.ano, r.status, r.linhas) for r in log] == [
         ("ingestao_bronze", "2023", "sucesso", 3),
-        ("ingestao_bronze", "2023-2024", "sucesso", 4),
+        ("ingestao_bronze", "2023", "sucesso", 3),
+        ("ingestao_bronze", "2024", "sucesso", 1),
         ("ingestao_bronze", "2025", "falha", 0),
     ]
 
 
+def test_a_broken_archive_fails_its_year(spark, tmp_path, paths):
+    archives = tmp_path / "archives"
+    archives.mkdir()
+    (archives / "2023.zip").write_bytes(b"no archive")
+    with pytest.raises(Exception, match="not a zip file"):
+        ingest(spark, str(archives), paths["raw"], [2023], paths["log"])
+    assert rows(read_run_log(spark, paths["log"]).select("ano", "status", "linhas")) == [("2023", "falha", 0)]
+
+
+def test_landing_again_completes_a_folder(spark, tmp_path, paths):
+    _archive(tmp_path / "archives" / "2023.zip", STATION_FILES)
+    raw = tmp_path / "raw"
+    for _ in range(2):
+        landed = land_archives(spark, paths["archives"], paths["raw"])
+        assert {(r.ano, r.member) for r in landed.collect()} == {(2023, name) for name in STATION_FILES}
+        assert {p.name for p in (raw / "2023").iterdir() if not p.name.startswith(".")} == set(STATION_FILES)
+        (raw / "2023" / "A.CSV").write_bytes(b"cut off")
+    list(land_archives(spark, paths["archives"], paths["raw"]).collect())
+    assert (raw / "2023" / "A.CSV").read_bytes() == STATION_FILES["A.CSV"]
+
+
+def test_a_file_without_time_columns_fails(spark, tmp_path, paths):
+    renamed = HEADER.replace("Data;", "DATA (YYYY-MM-DD);")
+    write_raw(tmp_path / "raw", 2023, {"A.CSV": one_station("2023/01/01;0000 UTC;1;2;", header=renamed)})
+    with pytest.raises(Exception, match="no date or hour column in .*A.CSV"):
+        bronze_to_silver(spark, paths["raw"], paths["silver"], [2023])
+    report = bronze_to_silver(spark, paths["raw"], paths["silver"], [2023], strict=False)
+    assert report[2023]["invalid_times"] == 1
+    extras = read_silver(spark, paths["silver"]).first().extras
+    assert extras == {"DATA (YYYY-MM-DD)": "2023/01/01"}
+
+
+def test_reading_some_years_prunes_folders(spark, raw_root, paths):
+    bronze_to_silver(spark, str(raw_root), paths["silver"], [2023])
+    plan = read_silver(spark, paths["silver"], [2023]).select("uf")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ano" in plan and "ReadSchema: struct<uf:string>" in plan
+
+
+def test_one_hot_key_and_one_hot_station(spark, tmp_path, paths):
+    """Most rows share one key; the result does not depend on how they are spread."""
+    hot = ["2023/01/01;0000 UTC;5;1;"] * 3000 + ["2023/01/01;0000 UTC;4;9;"]
+    cold = [f"2023/01/{day:02d};0000 UTC;1;2;" for day in range(2, 30)]
+    write_raw(tmp_path / "raw", 2023, {f"{i}.CSV": one_station(*hot, *cold) for i in range(3)})
+    for limit in (1 << 25, 1000):
+        silver = silver_readings(spark, paths["raw"], [2023], whole_file_limit=limit)
+        assert silver.count() == 29
+        assert rows(silver.where("day(datetime) = 1").select("precipitacao_mm", "temperatura_c")) == [(4.0, 9.0)]
+
+
 def test_run_log_records(spark, paths):
     with pytest.raises(RuntimeError):
         with run_stage(spark, paths["log"], "etapa", "2020-2023") as run:
