@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from operator import or_
 
@@ -89,6 +90,38 @@ def _write_gold_fact(
     return seen.get["linhas"]
 
 
+def _write_gold(
+    spark: SparkSession, silver: DataFrame, gold_root: str, years: list[int] | None
+) -> dict[str, int]:
+    """Write the five tables and return their rows.
+
+    The jobs are independent and submitted together: the short ones fill the cores that the tail of a
+    longer one leaves idle.
+    """
+    tables = gold_tables(silver)
+
+    def dimension(name: str) -> int:
+        seen = Observation(name)
+        write_dimension(tables[name], gold_root, name, seen)
+        return seen.get["linhas"]
+
+    def aggregate(name: str, key: str) -> int:
+        seen = Observation(name)
+        write_aggregate(tables[name], gold_root, name, [key, "ano", "mes"], seen)
+        return seen.get["linhas"]
+
+    jobs = {
+        FACT: lambda: _write_gold_fact(spark, silver, gold_root, years),
+        DIM_STATION: lambda: dimension(DIM_STATION),
+        DIM_DATE: lambda: dimension(DIM_DATE),
+        RAIN_BY_REGION: lambda: aggregate(RAIN_BY_REGION, "regiao"),
+        TEMPERATURE_BY_UF: lambda: aggregate(TEMPERATURE_BY_UF, "uf"),
+    }
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        written = {name: pool.submit(job) for name, job in jobs.items()}
+    return {name: rows.result() for name, rows in written.items()}
+
+
 def silver_to_gold(
     spark: SparkSession,
     silver_root: str,
@@ -101,21 +134,15 @@ def silver_to_gold(
     Dimensions and monthly means are small and always cover all of Silver; of the fact only the months
     of ``years`` are rewritten.  Returns the rows written per table.
     """
-    asked = sorted(set(years)) if years is not None else None
+    asked = sorted(set(years or ())) or None
     silver = read_silver(spark, silver_root)
     present = [row.ano for row in available_years(silver).collect()]
     with run_stage(spark, log_dir, STAGE_GOLD, year_label(asked or present)) as run:
         missing = sorted(set(asked or ()) - set(present))
         if missing or not present:
             raise EmptyInputError(f"Silver holds no readings of {missing or 'any year'}")
-        tables = gold_tables(silver)
-        seen = {name: Observation(name) for name in tables}
-        for name in (DIM_STATION, DIM_DATE):
-            write_dimension(tables[name], gold_root, name, seen[name])
-        for name, key in ((RAIN_BY_REGION, "regiao"), (TEMPERATURE_BY_UF, "uf")):
-            write_aggregate(tables[name], gold_root, name, [key, "ano", "mes"], seen[name])
-        counts = {name: seen[name].get["linhas"] for name in tables if name != FACT}
-        counts[FACT] = run.linhas = _write_gold_fact(spark, silver, gold_root, asked)
+        counts = _write_gold(spark, silver, gold_root, asked)
+        run.linhas = counts[FACT]
     return counts
 
 

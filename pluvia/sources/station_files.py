@@ -27,7 +27,6 @@ from .tables import read_or_empty
 ENCODING = "ISO-8859-1"
 FILE_GLOB = "*.CSV"
 WHOLE_FILE_LIMIT = 16 << 20
-_LINE_BREAK = "\r\n|\n|\r"
 HEADERS = (DATE_HEADER, HOUR_HEADER, *MEASURE_HEADERS)
 
 
@@ -60,8 +59,11 @@ def _listing(spark: SparkSession, folders: list[str], glob: str) -> DataFrame:
 
 def file_lines(files: DataFrame, encoding: str = ENCODING) -> DataFrame:
     """``(file, ano, content)`` -> ``(file, ano, lines array<string>)``."""
-    lines = F.split(F.decode("content", encoding), _LINE_BREAK)
-    return files.select("file", "ano", lines.alias("lines"))
+    text = F.decode("content", encoding)
+    # Every kind of line break becomes a newline first: splitting by one character needs no regex.
+    for line_break in ("\r\n", "\r"):
+        text = F.replace(text, F.lit(line_break), F.lit("\n"))
+    return files.select("file", "ano", F.split(text, "\n").alias("lines"))
 
 
 def rows_from_files(files: DataFrame) -> DataFrame:

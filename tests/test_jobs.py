@@ -214,15 +214,16 @@ def test_sentinels(spark, raw_root):
 
 def test_empty_input_is_an_error_and_logged(spark, tmp_path, paths):
     (tmp_path / "raw" / "2020").mkdir(parents=True)
-    with pytest.raises(EmptyInputError):
-        bronze_to_silver(spark, paths["raw"], paths["silver"], [2020], paths["log"])
+    for year in (2020, 2021):
+        with pytest.raises(EmptyInputError):
+            bronze_to_silver(spark, paths["raw"], paths["silver"], [year], paths["log"])
     with pytest.raises(EmptyInputError):
         silver_to_gold(spark, paths["silver"], paths["gold"], log_dir=paths["log"])
     with pytest.raises(EmptyInputError):
         silver_to_gold(spark, paths["silver"], paths["gold"], [2019], paths["log"])
     log = read_run_log(spark, paths["log"])
     assert rows(log.groupBy("etapa", "status").count()) == [
-        ("modelagem_gold", "falha", 2), ("transformacao_silver", "falha", 1),
+        ("modelagem_gold", "falha", 2), ("transformacao_silver", "falha", 2),
     ]
 
 
