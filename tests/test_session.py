@@ -1,0 +1,34 @@
+from __future__ import annotations
+
+import os
+from types import SimpleNamespace
+
+import pytest
+
+from pluvia.session import shared_dir
+
+
+def _session(master, **conf):
+    """Just what shared_dir asks a session for."""
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: conf.get("folder", default)),
+        sparkContext=SimpleNamespace(master=master),
+    )
+
+
+def test_the_cluster_names_the_shared_folder(spark):
+    first, second = shared_dir(spark, "silver"), shared_dir(spark, "silver")
+    assert first != second
+    assert first.startswith(spark.conf.get("spark.checkpoint.dir") + "/silver-")
+    assert shared_dir(_session("yarn", folder="hdfs:///shared/"), "x").startswith("hdfs:///shared/x-")
+
+
+def test_only_a_local_session_may_use_a_temporary_folder():
+    assert os.path.isdir(os.path.dirname(shared_dir(_session("local[2]"), "x")))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(_session("spark://host:7077"), "x")
+
+
+def test_local_sessions_keep_small_data_defaults(spark):
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None
