@@ -153,6 +153,13 @@ ORACLE: dict[str, str] = {
                cast(sum(event_id) as double) / count(*) as duracao_media_s
         from events group by 1, 2
     """,
+    "scan_station_files": """
+        select event_id, 'Região Sul' as regiao, event_type as uf, date_trunc('minute', ts) as datetime,
+               cast(year(ts) as int) as ano, value as precipitacao_mm, cast(null as double) as temperatura_c,
+               cast(-15.5 as double) as latitude, cast(null as double) as altitude, user_id,
+               cast(0 as int) as invalid_numbers, cast(0 as int) as invalid_times
+        from events
+    """,
     "bronze_to_silver": f"""
         select *, cast(null as double) as vento_direcao_gr, cast(0 as int) as invalid_numbers,
                cast(0 as int) as invalid_times

@@ -56,6 +56,7 @@ from ..sources import (
     read_gold_table,
     read_silver,
     read_years,
+    rows_from_files,
     rows_from_lines,
     staging_views,
     write_silver,
@@ -465,6 +466,37 @@ def _written_gold(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+@query("scan_station_files")
+def whole_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event as the bytes of a small station file, read whole: decode, describe, explode, parse."""
+    text = F.col("ts").cast("string")
+    day = F.replace(F.substring(text, 1, 10), F.lit("-"), F.lit("/"))
+    hour = F.concat(F.substring(text, 12, 2), F.substring(text, 15, 2), F.lit(" UTC"))
+    headers = {name: header for header, name in MEASURE_HEADERS.items()}
+    head = ";".join(["Data", headers["temperatura_c"], headers["precipitacao_mm"], "Hora UTC", "Código", ""])
+    lines = _metadata_lines(
+        F.lit(head), F.concat_ws(";", day, F.lit(""), _with_comma("value"), hour, F.col("user_id"), F.lit(""))
+    )
+    files = _spread_if_small(spark, sf_dir, "events").select(
+        "*",
+        F.lit("Região Sul").alias("regiao"),
+        F.col("event_type").alias("uf"),
+        F.col("props").alias("nome"),
+        F.col("event_id").alias(STATION),
+        F.lit(None).cast("double").alias("altitude"),
+    ).select(
+        F.col("event_id").cast("string").alias("file"),
+        F.year("ts").alias("ano"),
+        F.encode(F.concat(F.array_join(lines, "\r\n", ""), F.lit("\r\n")), "ISO-8859-1").alias("content"),
+    )
+    return parse_readings(rows_from_files(files)).select(
+        F.col("estacao_codigo").cast("bigint").alias("event_id"),
+        "regiao", "uf", "datetime", "ano", "precipitacao_mm", "temperatura_c", "latitude", "altitude",
+        F.col("extras")["Código"].cast("bigint").alias("user_id"),
+        "invalid_numbers", "invalid_times",
+    )
+
+
 @query("bronze_to_silver")
 def files_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines -> metadata, binding, parsing, deduplication; not yet written."""
