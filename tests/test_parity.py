@@ -27,6 +27,27 @@ def _rows(table, columns):
     return sorted((tuple(row[name] for name in columns) for row in table.to_pylist()), key=repr)
 
 
+def _plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize(
+    "name", ["stations_with_most_rain", "mean_temperature_by_uf", "mean_rain_by_region", "read_years"]
+)
+def test_time_ranges_reach_the_scan(spark, name):
+    plan = _plan(driver.queries()[name](spark, SF_DIR))
+    assert "GreaterThanOrEqual(l_shipdate,1998-01-01T00:00)" in plan.replace(" ", "") or (
+        name == "read_years" and "Or(And(GreaterThanOrEqual(l_shipdate,1996" in plan.replace(" ", "")
+    )
+
+
+def test_scans_read_only_what_is_needed(spark):
+    plan = _plan(driver.queries()["monthly_temp_by_uf"](spark, SF_DIR))
+    assert "ReadSchema: struct<l_suppkey:bigint,l_extendedprice:double,l_shipdate:timestamp_ntz>" in plan
+    # Line items meet the stations only after they have been summed.
+    assert plan.index("Join") < plan.index("partial_sum(cast(l_extendedprice")
+
+
 def test_every_query_has_sql():
     assert set(driver.queries()) == set(driver.oracle_sql())
 
@@ -34,6 +55,8 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", sorted(driver.queries()))
 def test_query_matches_sql(spark, oracle, name):
     built = driver.queries()[name](spark, SF_DIR)
+    plan = _plan(built)
+    assert not any(operator in plan for operator in ("Cartesian", "NestedLoop", "Python", "Pandas"))
     columns = sorted(built.columns)
     actual = built.toArrow()
     expected = oracle.execute(driver.oracle_sql()[name]).to_arrow_table()
