@@ -409,8 +409,9 @@ def _spread_if_small(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     A small file is a single row group and so a single task.  Larger tables are left as they are.
     """
     cores, path = spark.sparkContext.defaultParallelism, f"{sf_dir}/{name}.parquet"
-    listing = spark.read.format("binaryFile").load(path)
-    small = listing.agg(F.sum("length")).first()[0] < cores * (128 << 20)
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    size = listing.agg(F.sum("length")).first()[0] or 0
+    small = size < cores * (128 << 20)
     table = _table(spark, sf_dir, name)
     return table.repartition(cores) if small else table
 
