@@ -68,6 +68,22 @@ QUERIES: dict[str, Query] = {}
 TIME, STATION = "l_shipdate", "l_suppkey"
 
 
+# Given, so that no job has to open the files for their schema first.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "lineitem": """
+        l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,
+        l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,
+        l_shipdate timestamp_ntz
+    """,
+    "events": """
+        event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string
+    """,
+}
+
+
 def query(name: str) -> Callable[[Query], Query]:
     def register(build: Query) -> Query:
         QUERIES[name] = build
@@ -77,7 +93,7 @@ def query(name: str) -> Callable[[Query], Query]:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -441,7 +457,7 @@ def _station_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _typed_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same readings without the way through text, for the queries about what comes after."""
     time = F.col(TIME) + F.make_dt_interval(hours=F.col("l_linenumber"))
-    readings = _lineitem(spark, sf_dir).select(
+    readings = _spread_if_small(spark, sf_dir, "lineitem").select(
         time.alias("datetime"),
         F.year(TIME).alias("ano"),
         F.col(STATION),
