@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing
+from . import exact_dedup, mixing
 from .common import read
 
 
@@ -13,10 +13,16 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(draws).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_groups(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op4_mix_sources": op4_mix_sources,
+    "op7_exact_dedup": op7_exact_dedup,
 }
 
 ORACLE = {
     "op4_mix_sources": f"SELECT doc_id, source, size, source_size, target, taken FROM ({mixing.SQL})",
+    "op7_exact_dedup": exact_dedup.SQL,
 }
