@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import only_rows, row_key, written
 
 #: Bytes of a block.
 BLOCK = 4096
@@ -38,6 +38,7 @@ _BLOCKS = pa.schema(
         ("row", pa.int64()),  # number of the document: that of its first block
         ("n_bytes", pa.int64()),
         ("text_sha256", pa.string()),  # on the first block only
+        ("row_key", pa.string()),
         ("n_blocks", pa.int64()),
         ("position", pa.int64()),
         ("number", pa.int64()),  # of this block, unique in the table
@@ -61,7 +62,7 @@ def _cut(block_bytes: int, batch_bytes: int):
             )
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
+            for doc_id, text, key in zip(*batch.columns):
                 data = (text.as_py() or "").encode()
                 first, count = number, max(1, -(-len(data) // block_bytes))
                 for position in range(count):
@@ -73,6 +74,7 @@ def _cut(block_bytes: int, batch_bytes: int):
                             first,
                             len(data),
                             None if position else hashlib.sha256(data).hexdigest(),
+                            None if position else key.as_py(),
                             count,
                             position,
                             number,
@@ -96,10 +98,11 @@ def block_table(
 ) -> DataFrame:
     """A row for each block of each document; its bytes where it is the first equal one of its batch."""
     schema = (
-        "doc_id long, row long, n_bytes long, text_sha256 string, n_blocks long, position long, number long, "
-        "home long, block binary"
+        "doc_id long, row long, n_bytes long, text_sha256 string, row_key string, n_blocks long, position long, "
+        "number long, home long, block binary"
     )
-    cut = docs.select(F.col(id_col).cast("long"), F.col(text)).mapInArrow(_cut(block_bytes, batch_bytes), schema)
+    chosen = docs.select(F.col(id_col).cast("long"), F.col(text), row_key(id_col, text))
+    cut = chosen.mapInArrow(_cut(block_bytes, batch_bytes), schema)
     return written(cut, "exact-blocks")
 
 
@@ -138,9 +141,9 @@ def text_names(blocks: DataFrame) -> DataFrame:
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **sizes: int) -> DataFrame:
-    """One row per document: doc_id, n_bytes, text_sha256, keep_id, group_size, kept."""
+    """One row per document: doc_id, n_bytes, text_sha256, keep_id, group_size, kept, row_key."""
     blocks = block_table(docs, id_col, text, **sizes)
-    rows = blocks.where("position = 0").select("doc_id", "row", "n_bytes", "text_sha256")
+    rows = blocks.where("position = 0").select("doc_id", "row", "n_bytes", "text_sha256", "row_key")
     named = rows.join(text_names(blocks), "row")
     groups = named.groupBy("level", "name").agg(
         F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "row")).alias("keeper")
@@ -152,23 +155,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **
         (F.col("row") == F.col("keeper.row")).alias("kept"),
         "text_sha256",
         "n_bytes",
+        "row_key",
     )
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each group of equal texts, the one with the largest id, with the columns of ``docs``.
-
-    Rows are found again by a digest of id and text.  Join and removal of repeated rows use the same key, so that the
-    texts are shuffled once.
-    """
-
-    def key(doc_id, digest):
-        return F.md5(F.concat_ws("|", doc_id.cast("string"), digest)).alias("exact_key")
-
-    kept = exact_groups(docs, id_col, text).where("kept").select(key(F.col("keep_id"), F.col("text_sha256"))).distinct()
-    digest = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
-    rows = docs.select(F.struct(*docs.columns).alias("exact_row"), key(F.col(id_col), digest))
-    return rows.join(kept, "exact_key", "left_semi").dropDuplicates(["exact_key"]).select("exact_row.*")
+    """One row of each group of equal texts, the one with the largest id, with the columns of ``docs``."""
+    return only_rows(docs, exact_groups(docs, id_col, text).where("kept"), id_col, text)
 
 
 #: The same result on DuckDB.

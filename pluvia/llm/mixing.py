@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, count_words, text_or_empty, written
+from .common import WORD, count_words, row_key, written
 
 #: Number of key ranges per source.
 BUCKETS = 1024
@@ -29,11 +29,6 @@ WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 
 
-def row_key(id_col: str = "doc_id", text: str = "text"):
-    """One 128-bit key for id and text, as hexadecimal digits."""
-    return F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit("|"), F.md5(text_or_empty(text))))
-
-
 def with_draws(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """Thin rows: id, source, size in words, ``row_key`` and its uniform draw ``u`` in (0, 1]."""
     return docs.select(

@@ -3,21 +3,29 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing
+from . import exact_dedup, mixing, simhash
 from .common import read
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_groups(read(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("simhash"), 16, "0"))
+    return groups.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     draws = mixing.with_quality(mixing.with_draws(read(spark, sf_dir, "documents")), read(spark, sf_dir, "labels"))
     return mixing.mix(draws).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_groups(read(spark, sf_dir, "documents"))
+    return exact_dedup.exact_groups(read(spark, sf_dir, "documents")).drop("row_key")
 
 
 QUERIES = {
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_mix_sources": op4_mix_sources,
     "op7_exact_dedup": op7_exact_dedup,
 }
