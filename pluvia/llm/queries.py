@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, simhash
+from . import exact_dedup, mixing, simhash, toxicity
 from .common import read
 
 
@@ -20,6 +20,21 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(draws).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.Model:
+    return toxicity.fit(docs, read(spark, sf_dir, "labels"), F.coalesce(toxicity.fold() != 1, F.lit(False)))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    scores = toxicity.score(docs, toxicity_model(spark, sf_dir, docs))
+    return scores.select(
+        "doc_id",
+        (toxicity.fold() == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read(spark, sf_dir, "documents")).drop("row_key")
 
@@ -27,6 +42,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_mix_sources": op4_mix_sources,
+    "op6_toxicity": op6_toxicity,
     "op7_exact_dedup": op7_exact_dedup,
 }
 
