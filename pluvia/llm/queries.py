@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, simhash, toxicity
+from . import exact_dedup, mixing, simhash, toxicity, winnowing
 from .common import read
 
 
@@ -39,11 +39,25 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read(spark, sf_dir, "documents")).drop("row_key")
 
 
+def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    compared = winnowing.compare_with_next(read(spark, sf_dir, "documents"))
+    return compared.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        winnowing.digest(F.col("marks")).alias("fingerprint"),
+        winnowing.digest(F.col("edited_marks")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 QUERIES = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_mix_sources": op4_mix_sources,
     "op6_toxicity": op6_toxicity,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_winnowing": op8_winnowing,
 }
 
 ORACLE = {
