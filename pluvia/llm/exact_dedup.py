@@ -148,6 +148,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **
     groups = named.groupBy("level", "name").agg(
         F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "row")).alias("keeper")
     )
+    # As a table of its own, the groups leave Spark free to split the rows of a hot one in the join.
+    groups = written(groups, "exact-groups")
     return named.join(groups, ["level", "name"]).select(
         "doc_id",
         F.col("keeper.doc_id").alias("keep_id"),
