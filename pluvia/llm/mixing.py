@@ -126,12 +126,21 @@ def mix(
         .join(cuts.withColumnRenamed("source", "cut_source"), F.col("source").eqNullSafe(F.col("cut_source")), "left")
         .withColumnRenamed("source", "plan_source")
     )
+    # One row per source and bucket, so that the documents of a hot source are joined in many tasks.
+    plan = written(
+        sums.select("source", F.col("bucket").alias("plan_bucket"))
+        .join(plan, F.col("source").eqNullSafe(F.col("plan_source")))
+        .drop("source"),
+        "mix-plan",
+    )
     sampled = (F.col("bucket") < F.col("end_bucket")) | (
         (F.col("bucket") == F.col("end_bucket")) & (F.struct("key", "row_key") <= F.col("cut"))
     )
     copies = (F.col("epochs") + F.coalesce(sampled.cast("long"), F.lit(0))).cast("long")
     return (
-        keyed.join(plan, F.col("source").eqNullSafe(F.col("plan_source")))
+        keyed.join(
+            plan, F.col("source").eqNullSafe(F.col("plan_source")) & (F.col("bucket") == F.col("plan_bucket"))
+        )
         .withColumn("copies", copies)
         .select(
             "doc_id",
