@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, simhash, toxicity, winnowing
+from . import exact_dedup, mixing, simhash, toxicity, wavelet, winnowing
 from .common import read
 
 
@@ -52,12 +53,18 @@ def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_wavelet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = wavelet.write_shards(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return wavelet.read_documents(spark, path)
+
+
 QUERIES = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_mix_sources": op4_mix_sources,
     "op6_toxicity": op6_toxicity,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_winnowing": op8_winnowing,
+    "op9_wavelet_files": op9_wavelet_files,
 }
 
 ORACLE = {
