@@ -6,10 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, simhash, toxicity, wavelet, winnowing
+from . import exact_dedup, mixing, simhash, token_scan, toxicity, wavelet, winnowing
 from .common import read
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary, end_id = public_tokenizers.path("byte_bpe_50k.json"), 50256  # <|endoftext|>
+    folder, placed = token_scan.write_token_files(read(spark, sf_dir, "documents"), vocabulary, end_id)
+    found = token_scan.scan_token_files(spark, folder, end_id, width=2)
+    return found.join(placed, ["file", "number"]).select("doc_id", "file", "number", "start", "n_tokens", "ended")
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(read(spark, sf_dir, "documents"))
     digits = F.lower(F.lpad(F.hex("simhash"), 16, "0"))
@@ -59,6 +66,7 @@ def op9_wavelet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_mix_sources": op4_mix_sources,
     "op6_toxicity": op6_toxicity,
