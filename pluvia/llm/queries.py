@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, simhash, token_scan, toxicity, wavelet, winnowing
+from . import bpe, exact_dedup, mixing, simhash, token_scan, toxicity, wavelet, winnowing
 from .common import read
 
 
@@ -65,6 +65,21 @@ def op9_wavelet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_documents(spark, path)
 
 
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    """Per document: doc_id, n_tokens and digests of the ids and of the bytes they decode to."""
+    coded = bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return coded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
@@ -73,6 +88,7 @@ QUERIES = {
     "op7_exact_dedup": op7_exact_dedup,
     "op8_winnowing": op8_winnowing,
     "op9_wavelet_files": op9_wavelet_files,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 
 ORACLE = {

@@ -1,9 +1,9 @@
-"""Token ids of whole texts from a vocabulary file of the ``tokenizers`` library, inside Spark tasks.
+"""Token ids of whole texts inside Spark tasks.
 
 A byte-level vocabulary with the usual pre-tokeniser never joins a token across a space that is followed by a visible
-character, nor lets what stands before such a space change what follows.  Texts are cut there, the library encodes
-every distinct piece once for as long as the worker remembers it, and the ids of a text are those of its pieces one
-after the other.  ``tests/llm`` compares this with the library's answer for whole texts.
+character, nor lets what stands before such a space change what follows.  Texts are cut there, every distinct piece is
+encoded once for as long as the worker remembers it, and the ids of a text are those of its pieces one after the other.
+``tests/llm`` compares this with the libraries' answers for whole texts.
 """
 
 from __future__ import annotations
@@ -25,37 +25,20 @@ _CUT = re.compile(r" (?=\S)")
 _KEPT_SPACE = re.compile(r" (?!\S)")
 
 
-class Encoder:
-    """Ids of texts by one vocabulary file."""
+class PieceEncoder:
+    """Cuts texts, looks the pieces up and puts their ids together; subclasses know the ids of a piece."""
 
-    def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+    dtype = np.dtype("<u4")
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.newline = self.tokenizer.encode("\n", add_special_tokens=False).ids
+    def __init__(self) -> None:
         self.known: dict[str, bytes] = {}  # piece -> ids of a space and the piece
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        encodings = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(encoding.ids, self.dtype).tobytes() for encoding in encodings]
+        raise NotImplementedError
 
     def _learn(self, pieces: list[str]) -> None:
         """Remember the ids of a space followed by each piece."""
-        plain = [piece for piece in pieces if piece.split() == [piece]]
-        if len(self.newline) == 1 and plain:
-            # One call for all: lines of one piece each, told apart by the id of the line break.
-            lines = self.tokenizer.encode_batch_fast([" " + "\n ".join(plain) + "\n"], add_special_tokens=False)
-            ids = np.array(lines[0].ids, self.dtype)
-            ends = np.flatnonzero(ids == self.newline[0])
-            if len(ends) == len(plain):
-                data, stops = ids.tobytes(), ends * self.dtype.itemsize
-                starts = np.concatenate(([0], stops[:-1] + self.dtype.itemsize))
-                self.known.update(zip(plain, (data[i:j] for i, j in zip(starts.tolist(), stops.tolist()))))
-        rest = [piece for piece in pieces if piece not in self.known]
-        self.known.update(zip(rest, self._ids([" " + piece for piece in rest])))
+        self.known.update(zip(pieces, self._ids([" " + piece for piece in pieces])))
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
         found = list(map(self.known.get, pieces))
@@ -108,6 +91,37 @@ class Encoder:
         return ids, np.add.reduceat(lengths[places], heads)
 
 
+class Encoder(PieceEncoder):
+    """Ids by a vocabulary file of the ``tokenizers`` library."""
+
+    def __init__(self, path: str):
+        super().__init__()
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.newline = self.tokenizer.encode("\n", add_special_tokens=False).ids
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        encodings = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(encoding.ids, self.dtype).tobytes() for encoding in encodings]
+
+    def _learn(self, pieces: list[str]) -> None:
+        plain = [piece for piece in pieces if piece.split() == [piece]]
+        if len(self.newline) == 1 and plain:
+            # One call for all: lines of one piece each, told apart by the id of the line break.
+            lines = self.tokenizer.encode_batch_fast([" " + "\n ".join(plain) + "\n"], add_special_tokens=False)
+            ids = np.array(lines[0].ids, self.dtype)
+            ends = np.flatnonzero(ids == self.newline[0])
+            if len(ends) == len(plain):
+                data, stops = ids.tobytes(), ends * self.dtype.itemsize
+                starts = np.concatenate(([0], stops[:-1] + self.dtype.itemsize))
+                self.known.update(zip(plain, (data[i:j] for i, j in zip(starts.tolist(), stops.tolist()))))
+        super()._learn([piece for piece in pieces if piece not in self.known])
+
+
 _encoders: dict[str, Encoder] = {}
 
 
