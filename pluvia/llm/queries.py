@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing, simhash, token_scan, toxicity, wavelet, winnowing
+from . import bpe, exact_dedup, mixing, simhash, suffix_dedup, token_scan, toxicity, wavelet, winnowing
 from .common import read
 
 
@@ -28,6 +28,12 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(draws).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.Model:
     return toxicity.fit(docs, read(spark, sf_dir, "labels"), F.coalesce(toxicity.fold() != 1, F.lit(False)))
 
@@ -84,6 +90,7 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_mix_sources": op4_mix_sources,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_winnowing": op8_winnowing,
