@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing, simhash, suffix_dedup, token_scan, toxicity, wavelet, winnowing
+from . import bpe, exact_dedup, licences, mixing, simhash, suffix_dedup, token_scan, toxicity, wavelet, winnowing
 from .common import read
 
 
@@ -17,6 +17,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.join(placed, ["file", "number"]).select("doc_id", "file", "number", "start", "n_tokens", "ended")
 
 
+def op2_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(read(spark, sf_dir, "documents"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(read(spark, sf_dir, "documents"))
     digits = F.lower(F.lpad(F.hex("simhash"), 16, "0"))
@@ -88,6 +92,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_licence_scan": op2_licence_scan,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_mix_sources": op4_mix_sources,
     "op5_suffix_dedup": op5_suffix_dedup,
@@ -99,6 +104,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op2_licence_scan": licences.SQL,
     "op4_mix_sources": f"SELECT doc_id, source, size, source_size, target, taken FROM ({mixing.SQL})",
     "op7_exact_dedup": exact_dedup.SQL,
 }
