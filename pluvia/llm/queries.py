@@ -75,10 +75,12 @@ def op9_wavelet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_documents(spark, path)
 
 
-def bpe_digests(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_tokens and digests of the ids and of the bytes they decode to."""
-    coded = bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    return coded.select(
+def bpe_round_trip(docs: DataFrame) -> DataFrame:
+    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_round_trip(read(spark, sf_dir, "documents")).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
@@ -86,10 +88,6 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
     )
 
 
-def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe_digests(read(spark, sf_dir, "documents"))
-
-
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_licence_scan": op2_licence_scan,
