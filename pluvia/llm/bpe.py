@@ -19,18 +19,21 @@ from __future__ import annotations
 import base64
 import heapq
 import tempfile
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import REMEMBERED, PieceEncoder
+from .tokens import PieceEncoder
 
 #: Bytes of a word beyond which recursion would write too many rows.
 LONG_WORD = 256
-#: Bytes of new words in a query, and ids decoded in one.
-WORD_BYTES, DECODED_IDS = 1 << 19, 1 << 19
+#: Documents encoded together, and words a worker remembers; it forgets them all beyond that, which costs time only.
+ROWS, WORDS = 2048, 1_000_000
+#: New words in a query, and ids decoded in one.
+QUERY_WORDS, DECODED_IDS = 40_000, 1 << 19
 MEMORY = "256MB"
 
 CONTRACT = """
@@ -74,6 +77,8 @@ class RecursiveBpe(PieceEncoder):
         self.ranks = read_ranks(path)
         self.pattern = regex.compile(pattern)
         self.words: dict[str, bytes] = {}
+        self.known_ids = np.zeros(max(self.ranks.values()) + 2, bool)
+        self.known_ids[list(self.ranks.values())] = True
         self.bytes_ids = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
         self.db = duckdb.connect(
             config={"threads": 1, "memory_limit": MEMORY, "temp_directory": tempfile.gettempdir()}
@@ -111,8 +116,8 @@ class RecursiveBpe(PieceEncoder):
         finally:
             self.db.unregister(name)
 
-    def contract(self, words: list[bytes]) -> list[np.ndarray]:
-        """Token ids of words, none empty, by recursion in DuckDB."""
+    def contract(self, words: list[bytes]) -> list[bytes]:
+        """Token ids of words, none empty, by recursion in DuckDB; as bytes of numbers."""
         lengths = np.array([len(word) for word in words])
         number = np.repeat(np.arange(len(words)), lengths)
         place = np.arange(len(number)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
@@ -125,7 +130,9 @@ class RecursiveBpe(PieceEncoder):
         )
         found = self._query("start_rows", rows, CONTRACT)
         number, tokens = found.column("word").to_numpy(), found.column("token").to_numpy()
-        return np.split(tokens, np.flatnonzero(np.diff(number)) + 1)
+        bounds = np.concatenate(([0], np.flatnonzero(np.diff(number)) + 1, [len(number)])) * self.dtype.itemsize
+        data, bounds = tokens.astype(self.dtype).tobytes(), bounds.tolist()
+        return [data[i:j] for i, j in zip(bounds, bounds[1:])]
 
     def contract_long(self, word: bytes) -> np.ndarray:
         """The same for one long word, with a heap of the pairs that can be merged."""
@@ -155,39 +162,34 @@ class RecursiveBpe(PieceEncoder):
         return np.array([token for token in tokens if token >= 0], np.int32)
 
     def _learn_words(self, words: list[str]) -> None:
-        if len(self.words) + len(words) > REMEMBERED:
-            self.words.clear()
-        group: list[tuple[str, bytes]] = []
-        size = 0
-
-        def flush():
-            ids = self.contract([data for _, data in group])
-            self.words.update((word, i.astype(self.dtype).tobytes()) for (word, _), i in zip(group, ids))
-
-        for word in words:
-            data = word.encode()
-            rank = self.ranks.get(data)
+        texts = [word.encode() for word in words]
+        ranks = list(map(self.ranks.get, texts))
+        plain: list[int] = []
+        for at, (text, rank) in enumerate(zip(texts, ranks)):
             if rank is not None:
-                self.words[word] = np.array([rank], self.dtype).tobytes()
-            elif len(data) > LONG_WORD:
-                self.words[word] = self.contract_long(data).astype(self.dtype).tobytes()
+                self.words[words[at]] = np.array([rank], self.dtype).tobytes()
+            elif len(text) > LONG_WORD:
+                self.words[words[at]] = self.contract_long(text).astype(self.dtype).tobytes()
             else:
-                group.append((word, data))
-                size += len(data)
-                if size >= WORD_BYTES:
-                    flush()
-                    group, size = [], 0
-        if group:
-            flush()
+                plain.append(at)
+        for at in range(0, len(plain), QUERY_WORDS):
+            some = plain[at : at + QUERY_WORDS]
+            ids = self.contract([texts[i] for i in some])
+            self.words.update(zip([words[i] for i in some], ids))
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        found = [self.pattern.findall(text) for text in texts]
-        met = set().union(*found)
-        new = sorted(met - self.words.keys())
-        if len(self.words) + len(new) > REMEMBERED:
-            new = sorted(met)
-        self._learn_words(new)
-        return [b"".join(map(self.words.__getitem__, words)) for words in found]
+        # A space and ASCII letters are one word by any usual split pattern; the pattern decides about the rest.
+        one = [text.isascii() and text[:1] == " " and text[1:].isalpha() for text in texts]
+        found = [[text] if single else self.pattern.findall(text) for text, single in zip(texts, one)]
+        met = set(chain.from_iterable(found))
+        if len(self.words) + len(met) > WORDS:
+            self.words.clear()
+        self._learn_words(list(met - self.words.keys()))
+        known = self.words
+        return [
+            known[text] if single else b"".join(map(known.__getitem__, words))
+            for text, single, words in zip(texts, one, found)
+        ]
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
         """The bytes of documents, given all their ids and the number of ids of each."""
@@ -209,7 +211,7 @@ class RecursiveBpe(PieceEncoder):
                         "id": pa.array(part.astype(np.int32)),
                     }
                 )
-                if len(part) and (part.min() < 0 or not np.isin(part, list(self.ranks.values())).all()):
+                if not self.known_ids[np.minimum(part, len(self.known_ids) - 1)].all():
                     raise ValueError("an id outside the vocabulary")
                 found = self._query("id_rows", rows, DECODE)
                 for number, chars in zip(found.column("part").to_pylist(), found.column("chars").to_pylist()):
@@ -245,8 +247,8 @@ def round_trip(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id"
     def apply(batches):
         tool = encoder(ranks, pattern)
         for batch in batches:
-            for at in range(0, len(batch), 512):
-                some = batch.slice(at, 512)
+            for at in range(0, len(batch), ROWS):
+                some = batch.slice(at, ROWS)
                 ids, counts = tool.encode(some.column(1))
                 columns = [
                     some.column(0),
