@@ -35,11 +35,16 @@ def row_key(id_col: str = "doc_id", text: str = "text") -> Column:
     return F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit("|"), F.md5(text_or_empty(text))))
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns as one struct, whatever their names."""
+    return F.struct(*(F.col("`" + name.replace("`", "``") + "`") for name in docs.columns))
+
+
 def only_rows(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows of ``docs`` whose ``row_key`` is among ``keys``, one of each, with the columns of ``docs``.
 
     The join and the removal of repeated rows use one key, so that the texts are shuffled once.
     """
-    rows = docs.select(F.struct(*docs.columns).alias("the_row"), row_key(id_col, text).alias("the_key"))
+    rows = docs.select(whole_row(docs).alias("the_row"), row_key(id_col, text).alias("the_key"))
     wanted = keys.select(F.col("row_key").alias("the_key")).distinct()
     return rows.join(wanted, "the_key", "left_semi").dropDuplicates(["the_key"]).select("the_row.*")

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, count_words, row_key, written
+from .common import WORD, count_words, row_key, whole_row, written
 
 #: Number of key ranges per source.
 BUCKETS = 1024
@@ -159,8 +159,7 @@ def take_copies(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text:
     """The rows of ``docs`` as often as ``mixed`` takes them, with the columns of ``docs``."""
     copies = mixed.groupBy(F.col("row_key").alias("mix_key")).agg(F.max("copies").alias("mix_copies"))
     return (
-        docs.withColumn("mix_row", F.struct(*docs.columns))
-        .select("mix_row", row_key(id_col, text).alias("mix_key"))
+        docs.select(whole_row(docs).alias("mix_row"), row_key(id_col, text).alias("mix_key"))
         .join(copies.where("mix_copies > 0"), "mix_key")
         .select("mix_row", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))).alias("mix_copy"))
         .select("mix_row.*")

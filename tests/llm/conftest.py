@@ -1,0 +1,21 @@
+from __future__ import annotations
+
+import duckdb
+import llm_cases
+import pytest
+
+
+@pytest.fixture
+def tables(spark, tmp_path):
+    """Folder with the awkward ``documents`` and ``labels``, and DuckDB views of both."""
+    llm_cases.documents(spark).write.parquet(str(tmp_path / "documents.parquet"))
+    llm_cases.labels(spark).write.parquet(str(tmp_path / "labels.parquet"))
+    connection = duckdb.connect()
+    for name in ("documents", "labels"):
+        connection.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+    return str(tmp_path), connection
+
+
+@pytest.fixture
+def empty(spark):
+    return llm_cases.documents(spark).limit(0)

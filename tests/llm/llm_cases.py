@@ -1,0 +1,100 @@
+"""Small tables with every awkward case, and brute-force versions of the operators."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import xxhash
+
+LONG = " ".join(f"word{i % 97} of{i % 13} a{i}" for i in range(1500))
+
+ROWS = [
+    (1, "The quick brown fox jumps over the lazy dog. Released under the MIT License.", "a"),
+    (2, "The quick brown fox jumps over the lazy dog. Released under the MIT License.", "a"),
+    (3, None, None),
+    (4, "", "b"),
+    (5, "   \n\t ", "b"),
+    (None, "no id here, none at all", "b"),
+    (None, None, None),
+    (7, "a row that is repeated", "c"),
+    (7, "a row that is repeated", "c"),
+    (7, "another text with an id of its own twice", "a"),
+    (8, LONG, "a"),
+    (9, LONG.replace("word5 of5", "wordy off"), "a"),
+    (10, "x" * 5000, "a"),
+    (11, "é🙂 日本語 ñandú " * 30, "é"),
+    (12, "A b\x0bC\x0cd\x1ce\x85f\xa0g  double  spaces ", "b"),
+    (13, "the", "b"),
+    (14, "the", "b"),
+    (15, "<|endoftext|> is text, isn't it?\n\nYes: 123 times!!", "c"),
+    (16, LONG[1000:3000] + " tail " + LONG[500:900], "c"),
+    (17, "one two", "c"),
+    (18, "ab" * 400 + " " + "ab" * 400, "b"),
+    (40_000, LONG[:4000], "b"),
+]
+
+#: Columns an operator might use inside.
+EXTRA = ("row", "key", "bucket", "name", "size", "span", "batch", "simhash", "row_key", "the_row", "place", "a.b")
+
+
+def documents(spark, rows=ROWS):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(
+        f"`{name}` int" for name in EXTRA
+    )
+    full = [(i, t, "en", s, len(t or ""), *range(len(EXTRA))) for i, t, s in rows]
+    return spark.createDataFrame(full, schema).repartition(3)
+
+
+def labels(spark, rows=((1, 1, 0), (7, 0, 1), (7, 1, None), (8, None, 0), (None, 1, 1), (999, 1, 1))):
+    return spark.createDataFrame(list(rows), "doc_id long, quality int, toxic int")
+
+
+def as_tuples(frame):
+    return sorted((tuple(row) for row in frame.collect()), key=repr)
+
+
+def random_text(seed, size, alphabet="ab \n.é"):
+    source = random.Random(seed)
+    return "".join(source.choice(alphabet) for _ in range(size))
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def simhash(text):
+    tokens = words(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not tokens:
+        return 0
+    shingles = [" ".join(tokens[i : i + 3]) for i in range(max(1, len(tokens) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def components(values, radius):
+    """Smallest index that can be reached over links of at most ``radius`` differing bits."""
+    label = list(range(len(values)))
+    changed = True
+    while changed:
+        changed = False
+        for i, a in enumerate(values):
+            for j, b in enumerate(values):
+                if (a ^ b).bit_count() <= radius and label[j] < label[i]:
+                    label[i], changed = label[j], True
+    return label
+
+
+def repeats(texts, length):
+    """(bytes, removed, spans, kept) of texts in order."""
+    seen, out = set(), []
+    for data in texts:
+        gone = bytearray(len(data))
+        for start in range(len(data) - length + 1):
+            piece = data[start : start + length]
+            if piece in seen:
+                gone[start : start + length] = b"\1" * length
+            seen.add(piece)
+        spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
+        out.append((len(data), sum(gone), spans, bytes(c for c, g in zip(data, gone) if not g)))
+    return out

@@ -1,0 +1,158 @@
+"""Exact dedup, SimHash near-dedup, components and suffix dedup against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import defaultdict
+
+import llm_cases as cases
+import numpy as np
+import pytest
+
+from pluvia.llm import components, exact_dedup, simhash, suffix_dedup
+from pluvia.llm.queries import QUERIES
+
+
+def expected_groups(rows):
+    groups = defaultdict(list)
+    for doc_id, text, _ in rows:
+        groups[text or ""].append(doc_id)
+    return {t: (max((i for i in ids if i is not None), default=None), len(ids)) for t, ids in groups.items()}
+
+
+@pytest.mark.parametrize("sizes", [{}, {"block_bytes": 2, "batch_bytes": 100}])
+def test_exact_groups(spark, sizes):
+    found = exact_dedup.exact_groups(cases.documents(spark), **sizes).collect()
+    groups = expected_groups(cases.ROWS)
+    by_hash = {hashlib.sha256(t.encode()).hexdigest(): (t, g) for t, g in groups.items()}
+    assert len(found) == len(cases.ROWS)
+    for row in found:
+        text, (keep, size) = by_hash[row["text_sha256"]]
+        assert (row["keep_id"], row["group_size"], row["n_bytes"]) == (keep, size, len(text.encode()))
+    kept = [row for row in found if row["kept"]]
+    assert len(kept) == len(groups) == len({row["text_sha256"] for row in kept})
+    assert all(row["doc_id"] == row["keep_id"] for row in kept)
+
+
+def test_exact_keep_one(spark):
+    docs = cases.documents(spark)
+    kept = exact_dedup.keep_one(docs)
+    assert kept.columns == docs.columns
+    found = kept.collect()
+    assert {row["text"] or "": row["doc_id"] for row in found} == {
+        t: keep for t, (keep, _) in expected_groups(cases.ROWS).items()
+    }
+    assert len(found) == len({row["text"] or "" for row in found})
+
+
+def test_fingerprint():
+    for _, text, _ in cases.ROWS:
+        assert simhash.fingerprint(text) == cases.simhash(text)
+    assert simhash.fingerprint("A  b\tC") == simhash.fingerprint("a b c")
+
+
+def test_fingerprint_of_a_text_longer_than_a_chunk(monkeypatch):
+    whole = simhash.fingerprint(cases.LONG)
+    monkeypatch.setattr(simhash, "CHUNK", 7)
+    assert simhash.fingerprint(cases.LONG) == whole == cases.simhash(cases.LONG)
+
+
+@pytest.mark.parametrize("tile", [simhash.TILE, 5])
+def test_near_groups(spark, tile, monkeypatch):
+    rows = [*cases.ROWS, *((100 + i, cases.LONG + f" extra{i}", "a") for i in range(12))]
+    values = [cases.simhash(t) for _, t, _ in rows]
+    label = cases.components(values, simhash.RADIUS)
+    smallest = defaultdict(list)
+    for (doc_id, _, _), at in zip(rows, label):
+        smallest[at].append(doc_id)
+    expected = [
+        (doc_id, f"{value:016x}", min((i for i in smallest[at] if i is not None), default=None))
+        for (doc_id, _, _), value, at in zip(rows, values, label)
+    ]
+    found = simhash.near_groups(cases.documents(spark, rows), tile=tile).collect()
+    assert sorted(((r[0], f"{r[1] & (1 << 64) - 1:016x}", r[2]) for r in found), key=repr) == sorted(expected, key=repr)
+    assert len({r["row_key"] for r in found if r["kept"]}) == len(set(label))
+
+
+def test_near_keep_one(spark):
+    docs = cases.documents(spark)
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    values = [cases.simhash(t) for _, t, _ in cases.ROWS]
+    assert kept.count() == len(set(cases.components(values, simhash.RADIUS)))
+    assert 1 in {row["doc_id"] for row in kept.collect()}
+
+
+def test_tiles_skip_nothing_within_the_radius():
+    source = np.random.default_rng(1)
+    base = source.integers(0, 1 << 63, 400, dtype=np.uint64)
+    near = base ^ (np.uint64(1) << source.integers(0, 64, 400, dtype=np.uint64))
+    values = np.sort(np.unique(np.concatenate((base, near))))
+    pairs = {(int(i), int(j)) for p, q in simhash.tile_links(values, None, 3) for i, j in zip(p, q)}
+    difference = np.bitwise_count(values[:, None] ^ values[None, :]) <= 3
+    assert pairs == {(int(i), int(j)) for i, j in zip(*np.nonzero(difference)) if i < j}
+
+
+def test_components(spark):
+    source = random.Random(5)
+    edges = [(source.randrange(60), source.randrange(60)) for _ in range(45)] + [(i, i + 1) for i in range(100, 140)]
+    label = {n: n for e in edges for n in e}
+    for _ in label:
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+    frame = spark.createDataFrame(edges, "u long, v long")
+    found = {row["node"]: row["label"] for row in components.connected(frame).collect()}
+    assert found == {n: least for n, least in label.items() if least != n}
+    assert components.connected(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("alphabet", [b"a", b"ab", b"abcd"])
+def test_longest_previous_factor(alphabet):
+    source = random.Random(len(alphabet))
+    for size in (1, 5, 50, 200):
+        text = bytes(source.choice(alphabet) for _ in range(size))
+        for limit in (3, 8, 20):
+            expected = [
+                max((next(n for n in range(limit, -1, -1) if i + n <= size and text[j : j + n] == text[i : i + n]) for j in range(i)), default=0)
+                for i in range(size)
+            ]
+            found = suffix_dedup.longest_previous_factor(np.frombuffer(text, np.uint8), limit)
+            assert found.tolist() == expected
+
+
+@pytest.mark.parametrize(
+    "sizes",
+    [{}, {"batch_bytes": 3000, "slab": 500, "hot": 2, "pool_bytes": 500}, {"length": 20, "gram": 6, "slab": 100}],
+)
+def test_remove_repeats(spark, sizes):
+    # Ids are distinct here, so that the order of documents is plain.
+    rows = [(n if i is not None else None, t, s) for n, (i, t, s) in enumerate(cases.ROWS) if i is not None or t]
+    rows += [(50 + i, cases.random_text(i, 300, "ab"), "a") for i in range(6)]
+    order = sorted(rows, key=lambda row: (row[0] is not None, row[0] or 0))
+    length = sizes.get("length", 100)
+    expected = [(row[0], *r) for row, r in zip(order, cases.repeats([(t or "").encode() for _, t, _ in order], length))]
+    found = suffix_dedup.remove_repeats(cases.documents(spark, rows), **sizes)
+    assert cases.as_tuples(found) == sorted(((*r[:4], bytearray(r[4])) for r in expected), key=repr)
+
+
+def test_repeated_rows_are_later_documents(spark):
+    text = cases.LONG[:500]
+    found = suffix_dedup.remove_repeats(cases.documents(spark, [(1, text, "a"), (1, text, "a"), (None, text, "a")]))
+    assert sorted(row["n_removed"] for row in found.collect()) == [0, 500, 500]
+    assert [row["doc_id"] for row in found.collect() if not row["n_removed"]] == [None]
+
+
+def test_empty_tables(spark, empty):
+    assert exact_dedup.exact_groups(empty).count() == 0
+    assert exact_dedup.keep_one(empty).columns == empty.columns
+    assert simhash.near_groups(empty).count() == 0
+    assert simhash.keep_one(empty).count() == 0
+    assert suffix_dedup.remove_repeats(empty).count() == 0
+
+
+def test_queries(spark, tables):
+    folder, _ = tables
+    assert QUERIES["op3_simhash_near_dedup"](spark, folder).columns == ["doc_id", "fingerprint", "component_id"]
+    rows = QUERIES["op5_suffix_dedup"](spark, folder).collect()
+    assert len(rows) == len(cases.ROWS) and all(len(row["kept_sha256"]) == 64 for row in rows)
