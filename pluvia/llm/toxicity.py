@@ -39,8 +39,9 @@ MAX_POSITIVE, MAX_UNLABELLED = 6_000, 18_000
 MIN_EXAMPLES, MIN_LIFT, MAX_VOCABULARY = 5, 3.0, 20_000
 #: A document with this score or more is called toxic.
 THRESHOLD = 0.7
-#: Of the optimiser (Adam): steps, texts of P and of U in each, rate, decay, number of classifiers.
-STEPS, BATCH_P, BATCH_U, RATE, DECAY, MODELS = 500, 1024, 2048, 0.05, 1e-6, 3
+#: Of the optimiser (Adam): steps, how many of them with logistic loss, texts of P and of U in each, rate, decay; and
+#: the number of classifiers.
+STEPS, WARM, BATCH_P, BATCH_U, RATE, DECAY, MODELS = 1000, 100, 1024, 2048, 0.05, 1e-6, 3
 #: Texts that share this many smallest word hashes count as copies within the sample.
 SKETCH = 4
 
@@ -79,24 +80,40 @@ def _rows(documents: list[np.ndarray], chosen: np.ndarray):
 def train_one(
     positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, size: int, seed: int
 ) -> tuple[np.ndarray, float]:
-    """One linear classifier with sigmoid loss under the non-negative risk estimator."""
+    """One linear classifier under the non-negative risk estimator.
+
+    The first ``WARM`` steps use logistic loss, which is convex and finds the direction; the others sigmoid loss, which is
+    bounded, so that wrong labels do not pull at it, and sharpens the scores.
+    """
     random = np.random.default_rng(seed)
     weights = np.append(np.zeros(size), np.log(prior / (1 - prior)))  # the last is the intercept
     mean, square = np.zeros(size + 1), np.zeros(size + 1)
 
     def side(documents, count):
+        """Margins of a random batch, and the gradient that belongs to slopes of its losses."""
         chosen = random.permutation(len(documents))[:count]
         numbers, owner = _rows(documents, chosen)
-        called = _sigmoid(np.bincount(owner, weights[numbers], len(chosen)) + weights[-1])
-        slopes = called * (1 - called) / len(chosen)
-        return called.mean(), np.append(np.bincount(numbers, slopes[owner], size), slopes.sum())
+
+        def gradient(slopes):
+            slopes = slopes / len(chosen)
+            return np.append(np.bincount(numbers, slopes[owner], size), slopes.sum())
+
+        return np.bincount(owner, weights[numbers], len(chosen)) + weights[-1], gradient
 
     for step in range(1, STEPS + 1):
-        # Sigmoid loss: the risk of a negative call is the mean score, that of a positive call one minus it.
-        risk_p, slope_p = side(positive, BATCH_P)
-        risk_u, slope_u = side(unlabelled, BATCH_U)
-        slope = slope_u - prior * slope_p
-        slope = slope - prior * slope_p if risk_u - prior * risk_p >= 0 else -slope
+        (margin_p, gradient_p), (margin_u, gradient_u) = side(positive, BATCH_P), side(unlabelled, BATCH_U)
+        score_p, score_u = _sigmoid(margin_p), _sigmoid(margin_u)
+        # Losses of a negative call in P and U, their slopes, and the slopes of a positive call in P.
+        if step <= WARM:
+            loss_p, loss_u = np.logaddexp(0, margin_p), np.logaddexp(0, margin_u)
+            down_p, down_u, up_p = score_p, score_u, score_p - 1
+        else:
+            loss_p, loss_u = score_p, score_u
+            down_p, down_u = score_p * (1 - score_p), score_u * (1 - score_u)
+            up_p = -down_p
+        negatives = loss_u.mean() - prior * loss_p.mean()
+        slope = gradient_u(down_u) - prior * gradient_p(down_p)
+        slope = slope + prior * gradient_p(up_p) if negatives >= 0 else -slope
         slope[:-1] += DECAY * weights[:-1]
         mean = 0.9 * mean + 0.1 * slope
         square = 0.999 * square + 0.001 * slope**2
@@ -213,7 +230,9 @@ def reject_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD, te
             scores = [shared.value.score(held.as_py()) for held in batch.column(place)]
             yield batch.filter(pa.array([s < threshold for s in scores], pa.bool_()))
 
-    return docs.mapInArrow(apply, docs.schema)
+    # Plain names on the way, since a name may hold a dot.
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    return plain.mapInArrow(apply, plain.schema).toDF(*docs.columns)
 
 
 def fold(id_col: str = "doc_id") -> Column:
