@@ -51,7 +51,6 @@ def _write(tokenizer: str, end_id: int, folder: str):
         end = np.array([end_id], tool.dtype).tobytes()
         name = f"part-{TaskContext.get().partitionId():06d}.tok"
         system, root = storage(folder)
-        system.create_dir(root, recursive=True)
         draft = f"{root}/.{name}.{uuid.uuid4().hex}"
         number = 0
         with system.open_output_stream(draft) as out:
@@ -76,7 +75,9 @@ def write_token_files(
     docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text: str = "text"
 ) -> tuple[str, DataFrame]:
     """Encode the texts into flat files, one per task; returns the folder, and (file, number, doc_id) of what went where."""
-    folder = f"{shared_dir(docs.sparkSession, 'token-files')}"
+    folder = shared_dir(docs.sparkSession, "token-files")
+    system, root = storage(folder)
+    system.create_dir(root, recursive=True)
     chosen = docs.select(F.col(id_col).cast("long"), F.col(text))
     placed = chosen.mapInArrow(_write(tokenizer, end_id, folder), "file string, number long, doc_id long")
     return folder, written(placed, "token-files-placed")
