@@ -56,7 +56,7 @@ SELECT word, token FROM step WHERE NOT busy ORDER BY word, pos
 """
 
 DECODE = """
-SELECT part, string_agg(v.chars, '' ORDER BY i.pos) AS chars
+SELECT part, array_to_string(list(v.chars ORDER BY i.pos), '') AS chars
 FROM id_rows i JOIN vocabulary v ON v.id = i.id GROUP BY part ORDER BY part
 """
 
@@ -69,6 +69,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class RecursiveBpe(PieceEncoder):
     """Ids by a rank file and a split pattern."""
 
+    remembered = 900_000
+
     def __init__(self, path: str, pattern: str):
         super().__init__()
         import duckdb

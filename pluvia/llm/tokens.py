@@ -15,8 +15,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Pieces a worker remembers; beyond that it forgets them all, which costs time only.
-REMEMBERED = 500_000
 #: Bytes of text that are cut and looked up together, more only for one longer text.
 GROUP = 4 << 20
 
@@ -29,6 +27,8 @@ class PieceEncoder:
     """Cuts texts, looks the pieces up and puts their ids together; subclasses know the ids of a piece."""
 
     dtype = np.dtype("<u4")
+    #: Pieces a worker remembers; beyond that it forgets them all, which costs time only.
+    remembered = 500_000
 
     def __init__(self) -> None:
         self.known: dict[str, bytes] = {}  # piece -> ids of a space and the piece
@@ -43,7 +43,7 @@ class PieceEncoder:
     def _pieces(self, pieces: list[str]) -> list[bytes]:
         found = list(map(self.known.get, pieces))
         unknown = [i for i, ids in enumerate(found) if ids is None]
-        if len(self.known) + len(unknown) > REMEMBERED:
+        if len(self.known) + len(unknown) > self.remembered:
             self.known.clear()
         if unknown:
             self._learn([pieces[i] for i in unknown])

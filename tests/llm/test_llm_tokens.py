@@ -51,10 +51,10 @@ def split(ids, counts):
     return [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])]
 
 
-@pytest.mark.parametrize("group, remembered", [(tokens.GROUP, tokens.REMEMBERED), (50, 10)])
+@pytest.mark.parametrize("group, remembered", [(tokens.GROUP, tokens.PieceEncoder.remembered), (50, 10)])
 def test_encoder(library, monkeypatch, group, remembered):
     monkeypatch.setattr(tokens, "GROUP", group)
-    monkeypatch.setattr(tokens, "REMEMBERED", remembered)
+    monkeypatch.setattr(tokens.PieceEncoder, "remembered", remembered)
     held = texts()[-400:] if group == 50 else texts()
     assert split(*tokens.Encoder(VOCABULARY).encode(pa.array(held, pa.string()))) == library(held)
 
