@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 import re
 
+import duckdb
+import pytest
 import xxhash
 
 LONG = " ".join(f"word{i % 97} of{i % 13} a{i}" for i in range(1500))
@@ -98,3 +100,19 @@ def repeats(texts, length):
         spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
         out.append((len(data), sum(gone), spans, bytes(c for c, g in zip(data, gone) if not g)))
     return out
+
+
+@pytest.fixture
+def tables(spark, tmp_path):
+    """Folder with the awkward ``documents`` and ``labels``, and DuckDB views of both."""
+    documents(spark).write.parquet(str(tmp_path / "documents.parquet"))
+    labels(spark).write.parquet(str(tmp_path / "labels.parquet"))
+    connection = duckdb.connect()
+    for name in ("documents", "labels"):
+        connection.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+    return str(tmp_path), connection
+
+
+@pytest.fixture
+def empty(spark):
+    return documents(spark).limit(0)

@@ -9,6 +9,7 @@ from collections import defaultdict
 import llm_cases as cases
 import numpy as np
 import pytest
+from llm_cases import empty, tables  # noqa: F401
 
 from pluvia.llm import components, exact_dedup, simhash, suffix_dedup
 from pluvia.llm.queries import QUERIES

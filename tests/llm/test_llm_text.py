@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
+from llm_cases import empty, tables  # noqa: F401
 
 from pluvia.llm import licences, mixing, toxicity, winnowing
 from pluvia.llm.queries import ORACLE, QUERIES

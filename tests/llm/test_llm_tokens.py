@@ -15,6 +15,7 @@ import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
+from llm_cases import empty, tables  # noqa: F401
 
 import corpus_pipeline
 from pluvia.llm import bpe, mixing, token_scan, tokens, wavelet
