@@ -7,7 +7,6 @@ from .binding import (
     bind_columns_by_name,
     extra_cells,
     header_positions,
-    is_data_line,
     read_file_metadata,
     read_line_metadata,
     unknown_headers,
@@ -43,7 +42,6 @@ __all__ = [
     "enforce",
     "extra_cells",
     "header_positions",
-    "is_data_line",
     "monthly_mean",
     "monthly_totals",
     "not_null",

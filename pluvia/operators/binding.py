@@ -8,10 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parsing import is_blank, parse_decimal, split_cells, split_key_value
-from ..schemas import DATE_HEADER, METADATA_KEYS, METADATA_LINES, NUMERIC_METADATA
-
-# At about a kilobyte per file's record, some 20 MB.
-BROADCAST_RECORDS = 20_000
+from ..schemas import METADATA_KEYS, METADATA_LINES, NUMERIC_METADATA
 
 
 def _typed(values: Mapping[str, Column], numeric: Sequence[str]) -> list[Column]:
@@ -52,59 +49,43 @@ def read_file_metadata(
     )
 
 
-def _pattern(keys: Sequence[str]) -> tuple[str, str]:
-    """Patterns of a header line and of a metadata line."""
-    names = "|".join(f"\\Q{key}\\E" for key in keys)
-    return f'^"?{DATE_HEADER}"?(;|$)', f"^([^;]*:|\\s*({names}))\\s*(;|$)"
-
-
-def is_data_line(line: Column, keys: Sequence[str] = tuple(METADATA_KEYS)) -> Column:
-    """Told by content, for files read in pieces, where no task knows the line number.
-
-    Everything but metadata, header and blank lines is data: a row with an odd date stays, to be
-    reported when the date is parsed.
-    """
-    return ~line.rlike("|".join(("^\\s*$", *_pattern(keys))))
-
-
 def read_line_metadata(
     lines: DataFrame,
     keys: Mapping[str, str] = METADATA_KEYS,
     numeric: Sequence[str] = NUMERIC_METADATA,
+    metadata_lines: int = METADATA_LINES,
 ) -> DataFrame:
-    """``read_file_metadata`` for ``(file, line)`` rows: one row per file, without ``body``."""
-    line, (header, metadata) = F.col("line"), _pattern(list(keys))
-    described = lines.where(line.rlike(f"{header}|{metadata}")).select(
-        "file",
-        split_key_value(line).alias("pair"),
-        F.when(line.rlike(header), line).alias("header"),
+    """``read_file_metadata`` for ``(file, number, line)`` rows: one row per file, without ``body``.
+
+    ``number`` counts a file's lines from 1; only as many lines need one as reach to the header.  The result
+    has ``header_number`` in place of the body.
+    """
+    number, line = F.col("number"), F.col("line")
+    described = lines.where(number.isNotNull()).select(
+        "file", "number", "line", F.when(number <= metadata_lines, split_key_value(line)).alias("pair")
     )
+    below = F.when((number > metadata_lines) & ~is_blank(line), number)
     values = [
-        F.max(F.when(F.col("pair.key") == key, F.col("pair.value"))).alias(name)
+        F.max_by(F.when(F.col("pair.key") == key, F.col("pair.value")), F.when(F.col("pair.key") == key, number)).alias(name)
         for key, name in keys.items()
     ]
-    grouped = described.groupBy("file").agg(*values, F.max("header").alias("header"))
+    grouped = described.groupBy("file").agg(
+        *values, F.min_by("line", below).alias("header"), F.min(below).alias("header_number")
+    )
     return grouped.select(
         "file",
         *_typed({name: F.col(name) for name in keys.values()}, numeric),
         split_cells(F.col("header")).alias("header"),
+        "header_number",
     )
 
 
-def attach_metadata(
-    rows: DataFrame,
-    metadata: DataFrame,
-    on: str | Sequence[str] = "file",
-    records: int | None = None,
-) -> DataFrame:
+def attach_metadata(rows: DataFrame, metadata: DataFrame, on: str | Sequence[str] = "file") -> DataFrame:
     """Left join: rows without a record keep NULLs.
 
-    The metadata grows with the number of files, so it is broadcast only if the caller has counted its
-    ``records`` and they are few.  Else Spark decides by size, and where it shuffles, AQE splits the rows
-    of an outsized file.
+    Spark broadcasts the metadata by its bytes; where it shuffles, AQE splits the rows of an outsized file.
     """
-    few = records is not None and records <= BROADCAST_RECORDS
-    return rows.join(F.broadcast(metadata) if few else metadata, on, "left")
+    return rows.join(metadata, on, "left")
 
 
 def header_positions(header: Column, names: Sequence[str]) -> Column:

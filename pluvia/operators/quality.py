@@ -110,10 +110,14 @@ def quality_report(df: DataFrame, rules: Sequence[Rule], table: str = "") -> Dat
 
 
 def enforce(report: DataFrame) -> DataFrame:
-    """Raise if a rule of severity ``error`` failed.  Reads the report's few rows, never the data."""
-    failed = report.where("not passed and severity = 'error'").collect()
+    """The report, computed once; raises if a rule of severity ``error`` failed.
+
+    What comes back is made of the report's few rows, so that looking at it scans no table again.
+    """
+    found = report.collect()
+    failed = [row for row in found if row["severity"] == "error" and not row["passed"]]
     if failed:
         raise QualityError(
             "; ".join(f"{r['table']}.{r['column']} {r['check']}: {r['failures']} failures" for r in failed)
         )
-    return report
+    return report.sparkSession.createDataFrame(found, report.schema)

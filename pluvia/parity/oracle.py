@@ -83,7 +83,8 @@ ORACLE: dict[str, str] = {
     "union_by_name": """
         select event_id, user_id, value from events where event_type = 'click'
         union all
-        select event_id, user_id, cast(null as double) as value from events where event_type = 'view'
+        select event_id, user_id, cast(null as double) as value from events
+        where event_type is distinct from 'click'
     """,
     "available_years": "select distinct cast(year(l_shipdate) as int) as ano from lineitem",
     "pending_years": """

@@ -198,9 +198,10 @@ def read_file_metadata_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("read_line_metadata")
 def read_file_metadata_by_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _stations(spark, sf_dir).select(
-        F.col(STATION).cast("string").alias("file"), F.explode(_metadata_lines(F.lit("Data;"))).alias("line")
+        F.col(STATION).cast("string").alias("file"),
+        F.posexplode(_metadata_lines(F.lit("Data;"))).alias("number", "line"),
     )
-    return _described(read_line_metadata(lines))
+    return _described(read_line_metadata(lines.withColumn("number", F.col("number") + 1)))
 
 
 @query("attach_metadata")
@@ -246,8 +247,8 @@ def dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def union_columns_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _table(spark, sf_dir, "events")
     clicks = events.where("event_type = 'click'").select("event_id", "user_id", "value")
-    views = events.where("event_type = 'view'").select("user_id", "event_id")
-    return union_by_name(clicks, views)
+    others = events.where("event_type <> 'click' or event_type is null").select("user_id", "event_id")
+    return union_by_name(clicks, others)
 
 
 # -- years --------------------------------------------------------------------------------------------
@@ -419,21 +420,8 @@ _MEASURED = {
 }
 
 
-def _spread_if_small(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table for much work per row: one with too few bytes to occupy all cores is dealt out to them.
-
-    A small file is a single row group and so a single task.  Larger tables are left as they are.
-    """
-    cores, path = spark.sparkContext.defaultParallelism, f"{sf_dir}/{name}.parquet"
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    size = listing.agg(F.sum("length")).first()[0] or 0
-    small = size < cores * (128 << 20)
-    table = _table(spark, sf_dir, name)
-    return table.repartition(cores) if small else table
-
-
 def _station_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(file, ano, line)``: the line items as station files, one per supplier and year."""
+    """``(file, ano, number, line)``: the line items as station files, one per supplier and year."""
     headers = {name: header for header, name in MEASURE_HEADERS.items()}
     header = ";".join(["Data", "Hora UTC", *(headers[name] for name in _MEASURED), ""])
     day = F.replace(F.substring(F.col(TIME).cast("string"), 1, 10), F.lit("-"), F.lit("/"))
@@ -442,14 +430,15 @@ def _station_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     file = F.concat_ws("/", F.col(STATION), F.col("ano")).alias("file")
     cells = [day, hour, *map(_with_comma, _MEASURED.values()), F.lit("")]
     rows = (
-        _spread_if_small(spark, sf_dir, "lineitem")
+        _lineitem(spark, sf_dir)
         .select(year, STATION, F.concat_ws(";", *cells).alias("line"))
-        .select(file, "ano", "line")
+        .select(file, "ano", F.lit(None).cast("int").alias("number"), "line")
     )
     heads = (
         _lineitem(spark, sf_dir).select(STATION, year).distinct()
         .join(_stations(spark, sf_dir), STATION)
-        .select(file, "ano", F.explode(_metadata_lines(F.lit(header))).alias("line"))
+        .select(file, "ano", F.posexplode(_metadata_lines(F.lit(header))).alias("number", "line"))
+        .withColumn("number", F.col("number") + 1)
     )
     return heads.unionByName(rows)
 
@@ -457,7 +446,7 @@ def _station_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _typed_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same readings without the way through text, for the queries about what comes after."""
     time = F.col(TIME) + F.make_dt_interval(hours=F.col("l_linenumber"))
-    readings = _spread_if_small(spark, sf_dir, "lineitem").select(
+    readings = _lineitem(spark, sf_dir).select(
         time.alias("datetime"),
         F.year(TIME).alias("ano"),
         F.col(STATION),
@@ -494,7 +483,7 @@ def whole_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _metadata_lines(
         F.lit(head), F.concat_ws(";", day, F.lit(""), _with_comma("value"), hour, F.col("user_id"), F.lit(""))
     )
-    files = _spread_if_small(spark, sf_dir, "events").select(
+    files = _table(spark, sf_dir, "events").select(
         "*",
         F.lit("Região Sul").alias("regiao"),
         F.col("event_type").alias("uf"),
@@ -517,8 +506,7 @@ def whole_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("bronze_to_silver")
 def files_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines -> metadata, binding, parsing, deduplication; not yet written."""
-    files = _lineitem(spark, sf_dir).select(STATION, F.year(TIME)).distinct().count()
-    rows = rows_from_lines(_station_lines(spark, sf_dir), files)
+    rows = rows_from_lines(_station_lines(spark, sf_dir))
     return deduplicated(parse_readings(rows)).select(
         "estacao_codigo", "estacao_nome", "uf", "regiao", "altitude", "datetime", "ano",
         *_MEASURED, "vento_direcao_gr", "invalid_numbers", "invalid_times",

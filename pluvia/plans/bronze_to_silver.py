@@ -26,18 +26,20 @@ from ..sources.station_files import FILE_GLOB, WHOLE_FILE_LIMIT, scan_station_fi
 from .runlog import run_stage
 
 READING_KEYS = ("ano", STATION_KEY, "datetime")
+COUNTERS = ("invalid_numbers", "invalid_times")
 
 
 def parse_readings(
     rows: DataFrame, strict: bool = True, sentinels: Iterable[float] = ()
 ) -> DataFrame:
-    """Scanned rows -> Silver columns, plus ``file`` and how many texts of the row did not parse.
+    """Scanned rows -> Silver columns, plus ``file``, ``number`` and how many texts of the row did not parse.
 
     Every measure is a double whatever its file holds, and a missing one is NULL.
     """
     texts = {name: f"_{name}" for name in MEASURES}
     split = rows.select(
-        "file", "ano", *METADATA_COLUMNS, "positions", "unknown", split_cells(F.col("line")).alias("cells")
+        "file", "ano", *METADATA_COLUMNS, "positions", "unknown", "number",
+        split_cells(F.col("line")).alias("cells"),
     )
     bound = bind_cells(split, ["_date", "_hour", *texts.values()])
     date, hour, codes = F.col("_date"), F.col("_hour"), list(sentinels)
@@ -63,14 +65,21 @@ def parse_readings(
         "extras",
         "ano",
         "file",
+        "number",
         reduce(add, invalid).alias("invalid_numbers"),
         unreadable.cast("int").alias("invalid_times"),
     )
 
 
 def deduplicated(readings: DataFrame) -> DataFrame:
-    """One reading per landing year, station and time; ``file`` only helps to choose it."""
-    return dedup_readings(readings, READING_KEYS).drop("file")
+    """One reading per landing year, station and time.
+
+    A row whose time does not parse is no duplicate of any other: it stays.  ``file`` and ``number`` only
+    help to choose and to tell such rows apart.
+    """
+    unread = F.when(F.col("invalid_times") > 0, F.struct("file", "number"))
+    told_apart = readings.withColumn("_unread", unread).drop("number")
+    return dedup_readings(told_apart, (*READING_KEYS, "_unread")).drop("file", "_unread")
 
 
 def silver_readings(
@@ -83,10 +92,27 @@ def silver_readings(
     glob: str = FILE_GLOB,
 ) -> DataFrame:
     """The deduplicated readings of the years, with the two counters of unreadable texts."""
-    rows = scan_station_files(spark, raw_root, years, whole_file_limit, glob)
+    rows = scan_station_files(spark, raw_root, years, whole_file_limit, glob, strict)
     return deduplicated(parse_readings(rows, strict, sentinels))
 
 
+def unreadable_texts(
+    spark: SparkSession,
+    raw_root: str,
+    years: Iterable[int],
+    whole_file_limit: int = WHOLE_FILE_LIMIT,
+    glob: str = FILE_GLOB,
+) -> DataFrame:
+    """``(ano, file, invalid_numbers, invalid_times)``: texts of each file that did not parse, duplicates included."""
+    rows = scan_station_files(spark, raw_root, years, whole_file_limit, glob)
+    return (
+        parse_readings(rows, strict=False)
+        .groupBy("ano", "file")
+        .agg(*(F.sum(name).alias(name) for name in COUNTERS))
+        .where(reduce(add, map(F.col, COUNTERS)) > 0)
+    )
+
+
 def bronze_to_silver(
     spark: SparkSession,
     raw_root: str,
@@ -98,7 +124,7 @@ def bronze_to_silver(
     whole_file_limit: int = WHOLE_FILE_LIMIT,
     glob: str = FILE_GLOB,
 ) -> dict[int, dict[str, int]]:
-    """Replace the Silver years; returns each year's row count and unreadable texts.
+    """Replace the Silver years; returns each year's row count and the unreadable texts of all its rows.
 
     One job per year: its one shuffle serves both the deduplication and the files of that year's
     folder, and a year that fails leaves those before it written and logged.
@@ -107,18 +133,23 @@ def bronze_to_silver(
     for year in years:
         with run_stage(spark, log_dir, STAGE_SILVER, year) as run:
             try:
-                readings = silver_readings(
-                    spark, raw_root, [year], strict, sentinels, whole_file_limit, glob
-                )
+                rows = scan_station_files(spark, raw_root, [year], whole_file_limit, glob, strict)
             except AnalysisException as error:
                 if error.getCondition() != "PATH_NOT_FOUND":
                     raise
                 raise EmptyInputError(f"no folder {raw_root}/{year}") from error
-            seen = Observation(f"{STAGE_SILVER} {year}")
-            counters = [F.sum(name).alias(name) for name in ("invalid_numbers", "invalid_times")]
-            counted = observed(readings, seen, *counters).select(*SILVER_SCHEMA.names)
+            # Before the deduplication, so that a losing row's errors count.  A task that runs twice counts twice
+            # here, so this only tells whether there are any; their number comes from a pass of its own.
+            met, seen = Observation(f"texts {year}"), Observation(f"{STAGE_SILVER} {year}")
+            parsed = parse_readings(rows, strict, sentinels)
+            parsed = parsed.observe(met, *(F.sum(name).alias(name) for name in COUNTERS))
+            counted = observed(deduplicated(parsed), seen).select(*SILVER_SCHEMA.names)
             write_silver(counted, silver_root)
-            report[year] = {name: count or 0 for name, count in seen.get.items()}
+            report[year] = {"linhas": seen.get["linhas"]} | dict.fromkeys(COUNTERS, 0)
+            if any(met.get.values()):
+                texts = unreadable_texts(spark, raw_root, [year], whole_file_limit, glob)
+                totals = texts.agg(*(F.sum(name).alias(name) for name in COUNTERS)).first()
+                report[year] |= {name: totals[name] or 0 for name in COUNTERS}
             if not report[year]["linhas"]:
                 raise EmptyInputError(f"no readings in {raw_root}/{year}")
             run.linhas = report[year]["linhas"]

@@ -4,6 +4,9 @@ A station-year is about a megabyte, and its first lines describe all the others.
 therefore read whole, one row per file: metadata, header and line numbers are at hand in the task, and
 exploding the lines needs neither a join nor a shuffle.  A file above ``whole_file_limit`` is never held
 whole: it is read as splittable lines, and only for those files is the metadata joined back.
+
+Either way position decides what a line is: the first eight are metadata, the first one below that is not
+blank is the header, and whatever follows is data.
 """
 
 from __future__ import annotations
@@ -16,35 +19,39 @@ from pyspark.sql import functions as F
 from ..operators.binding import (
     attach_metadata,
     header_positions,
-    is_data_line,
     read_file_metadata,
     read_line_metadata,
     unknown_headers,
 )
+from ..functions.parsing import is_blank
 from ..schemas import DATE_HEADER, HOUR_HEADER, MEASURE_HEADERS
 from .tables import read_or_empty
 
 ENCODING = "ISO-8859-1"
-FILE_GLOB = "*.CSV"
+# Any spelling of the suffix, in any folder below the year's.
+FILE_GLOB = "*.[cC][sS][vV]"
 WHOLE_FILE_LIMIT = 16 << 20
 HEADERS = (DATE_HEADER, HOUR_HEADER, *MEASURE_HEADERS)
 
 
 def _year_of(path: Column) -> Column:
-    """The landing folder's year, the last folder of the path; NULL for any other folder."""
-    return F.regexp_extract(path, "/([0-9]+)/[^/]+$", 1).try_cast("int")
+    """The landing folder's year, the last numeric folder of the path; NULL where there is none."""
+    return F.regexp_extract(path, "/([0-9]+)/(?:[^/]*[^/0-9][^/]*/)*[^/]+$", 1).try_cast("int")
 
 
-def _locate_columns(described: DataFrame) -> DataFrame:
+def _locate_columns(described: DataFrame, strict: bool = False) -> DataFrame:
     """Replace ``header`` by where the known headers stand and which others there are.
 
-    Done once per file: its rows then carry a few numbers in place of the header's texts.
+    Done once per file: its rows then carry a few numbers in place of the header's texts.  With ``strict`` a
+    file without the columns of the time fails here, even if it has no rows.
     """
     header = F.col("header")
-    located = {
-        "positions": header_positions(header, HEADERS),
-        "unknown": unknown_headers(header, HEADERS),
-    }
+    positions = header_positions(header, HEADERS)
+    if strict:
+        failure = F.raise_error(F.concat(F.lit("no date or hour column in "), F.col("file")))
+        timed = F.array_contains(header, F.lit(DATE_HEADER)) & F.array_contains(header, F.lit(HOUR_HEADER))
+        positions = F.when(timed, positions).otherwise(failure.cast("array<int>"))
+    located = {"positions": positions, "unknown": unknown_headers(header, HEADERS)}
     return described.withColumns(located).drop("header")
 
 
@@ -54,7 +61,8 @@ def _folders(raw_root: str, years: Iterable[int]) -> list[str]:
 
 def _listing(spark: SparkSession, folders: list[str], glob: str) -> DataFrame:
     """``(path, modificationTime, length, content)``; content is read only where it is selected."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folders)
+    scan = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+    return scan.load(folders)
 
 
 def file_lines(files: DataFrame, encoding: str = ENCODING) -> DataFrame:
@@ -66,22 +74,29 @@ def file_lines(files: DataFrame, encoding: str = ENCODING) -> DataFrame:
     return files.select("file", "ano", F.split(text, "\n").alias("lines"))
 
 
-def rows_from_files(files: DataFrame) -> DataFrame:
-    """``(file, ano, content)`` -> a row per data line: ``(file, ano, <metadata>, positions, unknown, line)``."""
-    described = _locate_columns(read_file_metadata(file_lines(files), keep=("ano",)))
+def rows_from_files(files: DataFrame, strict: bool = False) -> DataFrame:
+    """``(file, ano, content)`` -> a row per data line: ``(file, ano, <metadata>, positions, unknown, number, line)``.
+
+    ``number`` tells the lines of a file apart.
+    """
+    described = _locate_columns(read_file_metadata(file_lines(files), keep=("ano",)), strict)
     # The outer form, because for the inner one Spark derives a filter on the array and evaluates the
     # whole decoding again for it, below.  A file without rows gives one NULL line.
-    rows = described.withColumn("line", F.explode_outer("body")).drop("body")
-    return rows.where(F.col("line").isNotNull())
+    rows = described.select(*[c for c in described.columns if c != "body"], F.posexplode_outer("body").alias("number", "line"))
+    return rows.where(F.col("line").isNotNull()).withColumn("number", F.col("number").cast("long"))
 
 
-def rows_from_lines(lines: DataFrame, files: int | None = None) -> DataFrame:
-    """The same rows from ``(file, ano, line)``, for files whose lines are spread over many tasks.
+def rows_from_lines(lines: DataFrame, strict: bool = False) -> DataFrame:
+    """The same rows from ``(file, ano, number, line)``, for files whose lines are spread over many tasks.
 
-    Tell the number of ``files`` if it is known: the metadata of few files is broadcast.
+    ``number`` counts the lines of a file from 1, and is NULL for lines known to lie below the header; an
+    optional column ``id`` then tells them apart.
     """
-    rows = lines.where(is_data_line(F.col("line")))
-    return attach_metadata(rows, _locate_columns(read_line_metadata(lines)), "file", files)
+    ids = F.col("id") if "id" in lines.columns else F.col("number")
+    described = _locate_columns(read_line_metadata(lines), strict)
+    data = attach_metadata(lines.withColumn("id", ids).where(~is_blank(F.col("line"))), described)
+    below = F.col("number").isNull() | (F.col("number") > F.col("header_number"))
+    return data.where(below).drop("number", "header_number").withColumnRenamed("id", "number")
 
 
 def scan_small_files(
@@ -90,15 +105,16 @@ def scan_small_files(
     years: Iterable[int],
     limit: int = WHOLE_FILE_LIMIT,
     glob: str = FILE_GLOB,
+    strict: bool = False,
 ) -> DataFrame:
     """Rows of the files up to ``limit`` bytes, each read by one task."""
-    return _rows_of_listing(_listing(spark, _folders(raw_root, years), glob), limit)
+    return _rows_of_listing(_listing(spark, _folders(raw_root, years), glob), limit, strict)
 
 
-def _rows_of_listing(listing: DataFrame, limit: int) -> DataFrame:
+def _rows_of_listing(listing: DataFrame, limit: int, strict: bool) -> DataFrame:
     path = F.col("path")
     small = listing.where(F.col("length") <= limit)
-    return rows_from_files(small.select(path.alias("file"), _year_of(path).alias("ano"), "content"))
+    return rows_from_files(small.select(path.alias("file"), _year_of(path).alias("ano"), "content"), strict)
 
 
 def scan_large_files(
@@ -107,24 +123,31 @@ def scan_large_files(
     years: Iterable[int],
     limit: int = WHOLE_FILE_LIMIT,
     glob: str = FILE_GLOB,
-    files: int | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """Rows of the files above ``limit`` bytes, each split over many tasks.
 
-    The CSV source is used as a line reader because it decodes Latin-1 (the text source does not): the
-    separator is a character the files cannot contain, and quoting is off.
+    Lines are numbered within the block a file begins with, which holds metadata and header; ids grow in
+    steps of one within a block.
     """
     scan = (
-        spark.read.schema("line string")
-        .option("sep", "\u0001")
-        .option("quote", "")
-        .option("encoding", ENCODING)
-        .option("pathGlobFilter", glob)
-        .csv(_folders(raw_root, years))
+        spark.read.option("pathGlobFilter", glob)
+        .option("recursiveFileLookup", "true")
+        .text(_folders(raw_root, years))
         .where(F.col("_metadata.file_size") > limit)
-        .select(F.col("_metadata.file_path").alias("file"), "line")
+        .select(
+            F.col("_metadata.file_path").alias("file"),
+            (F.col("_metadata.file_block_start") == 0).alias("first_block"),
+            F.decode(F.col("value").cast("binary"), ENCODING).alias("line"),
+            F.monotonically_increasing_id().alias("id"),
+        )
+    )
+    begins = scan.where("first_block").groupBy("file").agg(F.min("id").alias("begin"))
+    number = F.when(F.col("first_block"), F.col("id") - F.col("begin") + 1)
+    lines = scan.join(begins, "file", "left").select(
+        "file", _year_of(F.col("file")).alias("ano"), number.alias("number"), "line", "id"
     )
-    return rows_from_lines(scan.withColumn("ano", _year_of(F.col("file"))), files)
+    return rows_from_lines(lines, strict)
 
 
 def scan_station_files(
@@ -133,20 +156,20 @@ def scan_station_files(
     years: Iterable[int],
     limit: int = WHOLE_FILE_LIMIT,
     glob: str = FILE_GLOB,
+    strict: bool = False,
 ) -> DataFrame:
     """Every data row of the years' station files, whatever the file sizes."""
     years = list(years)
     listing = _listing(spark, _folders(raw_root, years), glob)
-    small = _rows_of_listing(listing, limit)
+    small = _rows_of_listing(listing, limit, strict)
     # From the listing alone: no file is read for it.
-    large = listing.where(F.col("length") > limit).select("path").count()
-    if not large:
+    if listing.where(F.col("length") > limit).select("path").isEmpty():
         return small
-    return small.unionByName(scan_large_files(spark, raw_root, years, limit, glob, large))
+    return small.unionByName(scan_large_files(spark, raw_root, years, limit, glob, strict))
 
 
 def _landed(spark: SparkSession, raw_root: str, glob: str = "*") -> DataFrame:
-    """``ano`` of every file at the top of a landing folder; lists the folders, reads no file."""
+    """``ano`` of every file in a landing folder; lists the folders, reads no file."""
     files = read_or_empty(
         spark, "path string", lambda: _listing(spark, [f"{raw_root.rstrip('/')}/*"], glob)
     )

@@ -73,6 +73,7 @@ def write_raw(root, year, files):
     folder = root / str(year)
     folder.mkdir(parents=True, exist_ok=True)
     for name, content in files.items():
+        (folder / name).parent.mkdir(parents=True, exist_ok=True)
         (folder / name).write_bytes(content)
 
 

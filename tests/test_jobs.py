@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import random
 import zipfile
 from datetime import datetime
 
@@ -17,6 +18,7 @@ from pluvia.plans import (
     ingest,
     mean_rain_by_region,
     mean_temperature_by_uf,
+    parse_readings,
     read_run_log,
     run_stage,
     run_summary,
@@ -32,6 +34,7 @@ from pluvia.sources import (
     read_gold_fact,
     read_gold_table,
     read_silver,
+    scan_station_files,
     staging_views,
 )
 
@@ -181,6 +184,7 @@ def test_duplicates_over_files_and_unknown_columns(spark, tmp_path):
             ("A001", datetime(2023, 1, 1, 1), 1.0, 20.0),
             ("A002", datetime(2023, 1, 1, 0), None, 7.0),
             ("A002", datetime(2023, 1, 1, 1), None, 8.0),
+            ("A009", datetime(2023, 1, 1, 0), 1.0, 20.0),
         ]
         extras = silver.where("estacao_codigo = 'A002'").orderBy("datetime").select("extras").collect()
         assert [row.extras for row in extras] == [{"Nota; livre": "a;b"}, {"Nota; livre": None}]
@@ -193,12 +197,9 @@ def test_unreadable_texts_are_counted_or_fail(spark, tmp_path, paths):
     with pytest.raises(Exception, match="not a UTC date and hour: 2023/01/01 2400"):
         bronze_to_silver(spark, paths["raw"], paths["silver"], [2023], paths["log"])
     report = bronze_to_silver(spark, paths["raw"], paths["silver"], [2023], paths["log"], strict=False)
-    # The row whose hour does not parse and the one without a date share the key (A001, no time).
-    assert report[2023]["linhas"] == 3
-    assert report[2023]["invalid_numbers"] == 2
-    assert report[2023]["invalid_times"] <= 1
+    assert report[2023] == {"linhas": 4, "invalid_numbers": 2, "invalid_times": 1}
     log = read_run_log(spark, paths["log"]).orderBy("fim").collect()
-    assert [(row.status, row.linhas) for row in log] == [("falha", 0), ("sucesso", 3)]
+    assert [(row.status, row.linhas) for row in log] == [("falha", 0), ("sucesso", 4)]
     assert "2400" in log[0].erro and log[0].duracao_s >= 0
     counts = silver_to_gold(spark, paths["silver"], paths["gold"])
     assert counts["dim_data"] == 2
@@ -207,6 +208,46 @@ def test_unreadable_texts_are_counted_or_fail(spark, tmp_path, paths):
     ]
 
 
+def test_every_unreadable_text_counts(spark, tmp_path, paths):
+    bad = ["2023/01/01;9900 UTC;1;2;"] * 20 + ["2023/01/01;0100 UTC;x;2;"] * 5
+    write_raw(tmp_path / "raw", 2023, {"A.CSV": one_station(*bad), "sub/b.csv": one_station(*bad, code="A002")})
+    for limit in (1 << 25, 0):
+        report = bronze_to_silver(spark, paths["raw"], paths["silver"], [2023], strict=False, whole_file_limit=limit)
+        assert report == {2023: {"linhas": 42, "invalid_numbers": 10, "invalid_times": 40}}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_a_file_means_the_same_whatever_its_size(spark, tmp_path, seed):
+    """Repeated keys, too few or many metadata lines, other headers, odd dates, late metadata and header lines."""
+    rng = random.Random(seed)
+    files = {}
+    for n in range(12):
+        head = [f"{k}:;{rng.choice('ABC')}{n}" for k in ("REGIAO", "UF", "ESTACAO", "CODIGO (WMO)", "UF", "X", "LATITUDE", "Y", "Z")]
+        names = ["Data", "Hora UTC", RAIN, TEMPERATURE]
+        rng.shuffle(names)
+        cells = {"Data": "2023/01/01", "Hora UTC": "0000 UTC", RAIN: "1", TEMPERATURE: "2"}
+        lines = [";".join(cells[name] for name in names)] * 2
+        lines += ["2023/01/01:;0000 UTC;1;2", "UF;x", ";".join(names), "", " ", "UF:;late", ";".join(names)]
+        rng.shuffle(lines)
+        text = head[: rng.choice([7, 8, 8, 9])] + [""] * rng.randint(0, 2) + [";".join(names)] + lines[: rng.randint(0, 9)]
+        files[f"{n}.CSV"] = "\r\n".join(text).encode("latin-1")
+    write_raw(tmp_path, 2023, files)
+    found = []
+    for limit in (1 << 25, 0):
+        scanned = scan_station_files(spark, str(tmp_path), [2023], limit)
+        parsed = parse_readings(scanned, strict=False).drop("file", "number")
+        found.append(rows(parsed.withColumn("extras", F.to_json("extras"))))
+    assert found[0] == found[1] and len(found[0]) > 10
+
+
+def test_strict_fails_for_a_file_without_rows(spark, tmp_path, paths):
+    short = one_station("2023/01/01;0000 UTC;1;2;").split(b"\r\n")
+    write_raw(tmp_path / "raw", 2023, {"A.CSV": b"\r\n".join(short[:3] + short[4:]), "B.CSV": STATION_FILES["B.CSV"]})
+    for limit in (1 << 25, 0):
+        with pytest.raises(Exception, match="no date or hour column in .*A.CSV"):
+            bronze_to_silver(spark, paths["raw"], paths["silver"], [2023], whole_file_limit=limit)
+
+
 def test_sentinels(spark, raw_root):
     silver = silver_readings(spark, str(raw_root), [2023], sentinels=[-9999])
     assert silver.where("precipitacao_mm < 0").count() == 0 and silver.count() == 6
@@ -283,7 +324,7 @@ def test_ingest(spark, tmp_path, paths):
     archives, raw = tmp_path / "archives", tmp_path / "raw"
     _archive(archives / "2023.zip", STATION_FILES | {"sub/D.CSV": b"x", "../E.txt": b"y", "folder/": b""})
     _archive(archives / "2024.zip", {"F.CSV": STATION_FILES["A.CSV"]})
-    assert ingest(spark, str(archives), str(raw), [2023], paths["log"]) == {2023: 3}
+    assert ingest(spark, str(archives), str(raw), [2023], paths["log"]) == {2023: 4}
     assert {str(p.relative_to(raw)) for p in raw.rglob("*") if p.is_file()} == {
         "2023/A.CSV", "2023/B.CSV", "2023/C.CSV", "2023/sub/D.CSV", "2023/E.txt",
     }
@@ -291,14 +332,14 @@ def test_ingest(spark, tmp_path, paths):
         assert (raw / "2023" / name).read_bytes() == content
     # A landed year is left alone, a new one is added.
     (raw / "2023" / "A.CSV").write_bytes(b"kept")
-    assert ingest(spark, str(archives), str(raw), [2023, 2024], paths["log"]) == {2023: 3, 2024: 1}
+    assert ingest(spark, str(archives), str(raw), [2023, 2024], paths["log"]) == {2023: 4, 2024: 1}
     assert (raw / "2023" / "A.CSV").read_bytes() == b"kept"
     with pytest.raises(EmptyInputError):
         ingest(spark, str(archives), str(raw), [2025], paths["log"])
     log = read_run_log(spark, paths["log"]).orderBy("fim").collect()
     assert [(r.etapa, r.ano, r.status, r.linhas) for r in log] == [
-        ("ingestao_bronze", "2023", "sucesso", 3),
-        ("ingestao_bronze", "2023", "sucesso", 3),
+        ("ingestao_bronze", "2023", "sucesso", 4),
+        ("ingestao_bronze", "2023", "sucesso", 4),
         ("ingestao_bronze", "2024", "sucesso", 1),
         ("ingestao_bronze", "2025", "falha", 0),
     ]
