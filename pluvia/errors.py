@@ -7,3 +7,7 @@ class EmptyInputError(ValueError):
 
 class QualityError(AssertionError):
     """A quality rule of severity ``error`` found failing rows."""
+
+
+class LandingError(ValueError):
+    """An archive did not land completely."""

@@ -195,7 +195,45 @@ ORACLE: dict[str, str] = {
     """,
     "append_run_log": f"""
         select 'modelagem_gold' as etapa, min(ano) || '-' || max(ano) as ano, 'sucesso' as status,
-               count(*) as linhas, cast(null as varchar) as erro
+               count(*) as linhas, cast(null as varchar) as erro, true as duracao_positiva,
+               true as duracao_confere
         from ({_SILVER}) s
     """,
+    "run_stage_failure": f"""
+        select 'modelagem_gold' as etapa, '1900' as ano, 'falha' as status,
+               count(*) filter (where ano = 1900) as linhas, true as com_erro, true as duracao_positiva,
+               true as duracao_confere
+        from ({_SILVER}) s
+    """,
+    "read_gold_temperature": f"""
+        select uf, cast(year(datetime) as int) as ano, cast(month(datetime) as int) as mes,
+               round(avg(temperatura_c) + 1e-6, 4) as temperatura_media_c
+        from ({_SILVER}) s group by 1, 2, 3
+    """,
+    "read_gold_dates": f"""
+        select data, cast(year(data) as int) as ano, cast(month(data) as int) as mes,
+               cast(day(data) as int) as dia, cast(quarter(data) as int) as trimestre,
+               case when month(data) in (12, 1, 2) then 'verao'
+                    when month(data) in (3, 4, 5) then 'outono'
+                    when month(data) in (6, 7, 8) then 'inverno'
+                    else 'primavera' end as estacao_do_ano
+        from (select distinct cast(datetime as date) as data from ({_SILVER}) s) z
+    """,
+    "read_gold_stations": f"select distinct estacao_codigo, estacao_nome, uf, regiao, altitude from ({_SILVER}) s",
+    "check_gold": f"""
+        with s as ({_SILVER}), n as (select count(distinct estacao_codigo) as stations from s),
+        r as (
+            select 'dim_estacao' as "table", 'estacao_codigo' as "column", 'unique' as chk, 'error' as severity,
+                   cast(0 as bigint) as failures
+            union all select 'dim_estacao', 'estacao_codigo', 'not_null', 'error', 0
+            union all select 'dim_estacao', 'latitude', 'not_null', 'error', stations from n
+            union all select 'dim_estacao', 'longitude', 'not_null', 'error', stations from n
+            union all select 'fato_leitura_climatica', 'estacao_codigo', 'not_null', 'error',
+                             (select count(*) from s where estacao_codigo is null)
+            union all select 'fato_leitura_climatica', 'datetime', 'not_null', 'error',
+                             (select count(*) from s where datetime is null)
+            union all select 'fato_leitura_climatica', 'temperatura_c', 'accepted_range', 'warn',
+                             (select count(*) from s where temperatura_c < -20 or temperatura_c > 55))
+        select *, failures = 0 as passed from r
+    """,
 }

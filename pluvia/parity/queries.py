@@ -10,12 +10,14 @@ Where a query only needs totals, line items are reduced per station before they
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..errors import EmptyInputError
 from ..functions import month_span, month_window, parse_measure, parse_utc_timestamp, split_cells
 from ..operators import (
     accepted_range,
@@ -37,6 +39,7 @@ from ..operators import (
     union_by_name,
     unique,
 )
+from ..operators.quality import GOLD_RULES
 from ..plans import (
     mean_rain_by_region,
     mean_temperature_by_uf,
@@ -47,7 +50,7 @@ from ..plans import (
     stations_with_most_rain,
 )
 from ..plans.bronze_to_silver import deduplicated
-from ..schemas import FACT, MEASURE_HEADERS, RAIN_BY_REGION, SILVER_SCHEMA
+from ..schemas import DIM_DATE, DIM_STATION, FACT, MEASURE_HEADERS, RAIN_BY_REGION, SILVER_SCHEMA, TEMPERATURE_BY_UF
 from ..session import shared_dir
 from ..sources import (
     available_years,
@@ -460,16 +463,38 @@ def _typed_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_by_name(absent, named.drop(STATION))
 
 
+_built: dict[tuple[str, str, str], str] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[str], object]) -> str:
+    """Path of a table that is built on first use in an application; the driver removes it at its end."""
+    key = spark.sparkContext.applicationId, sf_dir, name
+    if key not in _built:
+        path = shared_dir(spark, name)
+        build(path)
+        _built[key] = path
+    return _built[key]
+
+
 def _written_silver(spark: SparkSession, sf_dir: str) -> str:
-    root = shared_dir(spark, "silver")
-    write_silver(_typed_silver(spark, sf_dir).hint("rebalance", F.col("ano")), root)
-    return root
+    return _once(
+        spark, sf_dir, "silver", lambda path: write_silver(_typed_silver(spark, sf_dir).hint("rebalance", F.col("ano")), path)
+    )
+
+
+def _log(spark: SparkSession, sf_dir: str) -> str:
+    """The run log of the Gold job and of one that fails."""
+
+    def build(path: str) -> None:
+        silver_to_gold(spark, _written_silver(spark, sf_dir), shared_dir(spark, "gold"), log_dir=path)
+        with suppress(EmptyInputError):
+            silver_to_gold(spark, _written_silver(spark, sf_dir), shared_dir(spark, "gold"), [1900], path)
+
+    return _once(spark, sf_dir, "log", build)
 
 
 def _written_gold(spark: SparkSession, sf_dir: str) -> str:
-    root = shared_dir(spark, "gold")
-    silver_to_gold(spark, _written_silver(spark, sf_dir), root)
-    return root
+    return _once(spark, sf_dir, "gold", lambda path: silver_to_gold(spark, _written_silver(spark, sf_dir), path))
 
 
 @query("scan_station_files")
@@ -545,9 +570,12 @@ def gold_top_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("write_fact")
 def refreshed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold built once and then refreshed for two of its years: months and their row counts."""
-    silver, gold = _written_silver(spark, sf_dir), shared_dir(spark, "gold")
-    silver_to_gold(spark, silver, gold)
-    silver_to_gold(spark, silver, gold, [1996, 1998])
+
+    def build(path: str) -> None:
+        for years in (None, [1996, 1998]):
+            silver_to_gold(spark, _written_silver(spark, sf_dir), path, years)
+
+    gold = _once(spark, sf_dir, "refreshed-gold", build)
     return read_gold_fact(spark, gold).groupBy("ano", "mes").agg(F.count(F.lit(1)).alias("linhas"))
 
 
@@ -567,6 +595,54 @@ def views(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("append_run_log")
 def logged_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log's record of a Gold job."""
-    log = shared_dir(spark, "log")
-    silver_to_gold(spark, _written_silver(spark, sf_dir), shared_dir(spark, "gold"), log_dir=log)
-    return read_run_log(spark, log).select("etapa", "ano", "status", "linhas", "erro")
+    log = read_run_log(spark, _log(spark, sf_dir)).where("status = 'sucesso'")
+    return log.select("etapa", "ano", "status", "linhas", "erro", *_timed())
+
+
+@query("run_stage_failure")
+def logged_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log's record of a Gold job for a year that Silver does not hold."""
+    log = read_run_log(spark, _log(spark, sf_dir)).where("status = 'falha'")
+    return log.select("etapa", "ano", "status", "linhas", F.col("erro").isNotNull().alias("com_erro"), *_timed())
+
+
+def _timed() -> list[Column]:
+    seconds = F.col("fim").cast("double") - F.col("inicio").cast("double")
+    return [
+        (F.col("duracao_s") >= 0).alias("duracao_positiva"),
+        (F.abs(seconds - F.col("duracao_s")) < 0.001).alias("duracao_confere"),
+    ]
+
+
+@query("read_gold_temperature")
+def gold_temperature_by_uf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written monthly means of temperature.
+
+    Rounded, since sums of doubles depend on their order, and shifted a little so that none lies on a tie.
+    """
+    table = read_gold_table(spark, _written_gold(spark, sf_dir), TEMPERATURE_BY_UF)
+    return table.withColumn("temperatura_media_c", F.round(F.col("temperatura_media_c") + 1e-6, 4))
+
+
+@query("read_gold_dates")
+def gold_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written date dimension."""
+    return read_gold_table(spark, _written_gold(spark, sf_dir), DIM_DATE)
+
+
+@query("read_gold_stations")
+def gold_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written station dimension."""
+    table = read_gold_table(spark, _written_gold(spark, sf_dir), DIM_STATION)
+    return table.select("estacao_codigo", "estacao_nome", "uf", "regiao", "altitude")
+
+
+@query("check_gold")
+def gold_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks of the written Gold tables, of which positions are missing by design here."""
+    root = _written_gold(spark, sf_dir)
+    reports = [
+        quality_report(read_gold_table(spark, root, name), rules, name) for name, rules in GOLD_RULES.items()
+    ]
+    report = reduce(DataFrame.unionByName, reports)
+    return report.select("table", "column", F.col("check").alias("chk"), "severity", "failures", "passed")

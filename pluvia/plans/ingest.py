@@ -8,9 +8,9 @@ from datetime import datetime, timezone
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from ..errors import EmptyInputError
+from ..errors import EmptyInputError, LandingError
 from ..schemas import STAGE_INGEST
-from ..sources import land_archives, landed_files, landed_years, pending_years
+from ..sources import land_archives, landed_files, landed_years, mark_landed, pending_years
 from .runlog import run_stage
 
 
@@ -21,28 +21,39 @@ def ingest(
     years: Iterable[int],
     log_dir: str | None = None,
 ) -> dict[int, int]:
-    """Extract the archives of the years that have no landing folder yet; files per year.
+    """Extract the archives of the years that have not landed completely; station files per year.
 
-    One job lands all of them; the log gets a record per year.
+    One job lands all of them.  A year counts as landed once every member of its archive is in place, which a
+    mark says; what is wrong with one archive fails and logs its own year only.
     """
     inicio, years = datetime.now(timezone.utc), sorted(set(years))
-    requested = spark.createDataFrame([(year,) for year in years], "ano int")
-    pending = [row.ano for row in pending_years(requested, landed_years(spark, raw_root)).collect()]
-    error = None
-    if pending:
-        try:
-            land_archives(spark, archive_root, raw_root, pending).agg(F.sum("bytes")).collect()
-        except Exception as failure:
-            error = failure
-    counts = {row.ano: row.arquivos for row in landed_files(spark, raw_root, years).collect()}
+    pending, outcomes, counts, broken = set(years), {}, {}, None
+    try:
+        requested = spark.createDataFrame([(year,) for year in years], "ano int")
+        pending = {row.ano for row in pending_years(requested, landed_years(spark, raw_root)).collect()}
+        if pending:
+            landed = land_archives(spark, archive_root, raw_root, pending)
+            totals = landed.groupBy("ano").agg(F.count("member").alias("members"), F.min("error").alias("error"))
+            outcomes = {row.ano: row for row in totals.collect()}
+        counts = {row.ano: row.arquivos for row in landed_files(spark, raw_root, years).collect()}
+    except Exception as failure:
+        broken = failure
     failures = []
     for year in years:
         try:
             with run_stage(spark, log_dir, STAGE_INGEST, year, inicio) as run:
-                if error and year in pending:
-                    raise error
+                if broken:
+                    raise broken
+                if year in pending:
+                    outcome = outcomes.get(year)
+                    if outcome is None:
+                        raise EmptyInputError(f"no archive of {year}")
+                    if outcome.error:
+                        raise LandingError(outcome.error)
                 if year not in counts:
                     raise EmptyInputError(f"no station files for {year}")
+                if year in pending:
+                    mark_landed(spark, raw_root, year, outcome.members)
                 run.linhas = counts[year]
         except Exception as failure:
             failures.append(failure)

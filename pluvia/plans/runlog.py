@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +17,18 @@ from ..sources.tables import read_or_empty
 _TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
 
+@dataclass(frozen=True)
+class Span:
+    """From when to when something ran."""
+
+    begin: datetime
+    end: datetime
+
+    @property
+    def seconds(self) -> float:
+        return (self.end - self.begin) / timedelta(seconds=1)
+
+
 @dataclass
 class StageRun:
     """What a running stage reports; ``linhas`` goes to the log if it succeeds."""
@@ -37,15 +49,12 @@ def append_run_log(
     ano: int | str,
     status: str,
     linhas: int = 0,
-    inicio: datetime | None = None,
+    span: Span | None = None,
     erro: str | None = None,
 ) -> DataFrame:
-    """Append one record to the log folder and return it."""
-    fim = datetime.now(timezone.utc)
-    duracao_s = (fim - inicio).total_seconds() if inicio else None
-    record = spark.createDataFrame(
-        [(etapa, str(ano), status, linhas, inicio, fim, duracao_s, erro)], RUN_LOG_SCHEMA
-    ).coalesce(1)
+    """Append one record to the log folder and return it.  Without a ``span`` only its end is known: now."""
+    times = (span.begin, span.end, span.seconds) if span else (None, datetime.now(timezone.utc), None)
+    record = spark.createDataFrame([(etapa, str(ano), status, linhas, *times, erro)], RUN_LOG_SCHEMA).coalesce(1)
     (
         record.write.mode("append")
         .option("ignoreNullFields", "false")
@@ -71,7 +80,8 @@ def run_stage(
 
     def log(status: str, **details) -> None:
         if log_dir is not None:
-            append_run_log(spark, log_dir, etapa, ano, status, inicio=inicio, **details)
+            span = Span(inicio, datetime.now(timezone.utc))
+            append_run_log(spark, log_dir, etapa, ano, status, span=span, **details)
 
     try:
         yield run

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timezone
 from functools import reduce
 from operator import or_
 
@@ -135,9 +136,15 @@ def silver_to_gold(
     of ``years`` are rewritten.  Returns the rows written per table.
     """
     asked = sorted(set(years or ())) or None
-    silver = read_silver(spark, silver_root)
-    present = [row.ano for row in available_years(silver).collect()]
-    with run_stage(spark, log_dir, STAGE_GOLD, year_label(asked or present)) as run:
+    inicio, present, broken = datetime.now(timezone.utc), [], None
+    try:
+        silver = read_silver(spark, silver_root)
+        present = [row.ano for row in available_years(silver).collect()]
+    except Exception as failure:
+        broken = failure
+    with run_stage(spark, log_dir, STAGE_GOLD, year_label(asked or present), inicio) as run:
+        if broken:
+            raise broken
         missing = sorted(set(asked or ()) - set(present))
         if missing or not present:
             raise EmptyInputError(f"Silver holds no readings of {missing or 'any year'}")

@@ -49,13 +49,26 @@ def build_session(app: str = "pluvia", master: str | None = None, **conf: str) -
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder under ``spark.checkpoint.dir``, which every executor can reach.
+    """A fresh path under ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only a local session may do without that setting; it then gets a temporary folder.
+    Only a local session may do without that setting; it then gets a temporary folder.  What is written there
+    is removed when the driver ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="pluvia-")
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    if jvm := getattr(spark, "_jvm", None):
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        filesystem = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        filesystem.mkdirs(path)
+        filesystem.deleteOnExit(path)
+    return f"{folder}/data"
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its scheme: without one it means Spark's default filesystem, on every machine."""
+    parsed = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return parsed.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(parsed).toString()

@@ -6,6 +6,7 @@ from .station_files import (
     file_lines,
     landed_files,
     landed_years,
+    mark_landed,
     pending_years,
     rows_from_files,
     rows_from_lines,
@@ -30,6 +31,7 @@ __all__ = [
     "land_archives",
     "landed_files",
     "landed_years",
+    "mark_landed",
     "observed",
     "pending_years",
     "read_gold_fact",

@@ -10,6 +10,7 @@ import posixpath
 import shutil
 import uuid
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -17,7 +18,11 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MEMBER_SCHEMA = "archive string, ano int, member string, bytes long"
+from ..session import qualified
+
+#: ``error`` is NULL where all went well; a broken archive gives one row without a member.
+MEMBER_SCHEMA = "archive string, ano int, member string, bytes long, error string"
+COLUMNS = ["archive", "ano", "member", "bytes", "error"]
 _BLOCK = 4 << 20
 
 
@@ -38,13 +43,16 @@ def _list_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for path, ano in zip(batch["archive"], batch["ano"]):
             filesystem, inner = _filesystem(path)
-            with filesystem.open_input_file(inner) as raw, zipfile.ZipFile(raw) as archive:
-                rows = [(path, ano, i.filename, i.file_size) for i in archive.infolist() if not i.is_dir()]
-            yield pd.DataFrame(rows, columns=["archive", "ano", "member", "bytes"])
+            try:
+                with filesystem.open_input_file(inner) as raw, zipfile.ZipFile(raw) as archive:
+                    rows = [(path, ano, i.filename, i.file_size, None) for i in archive.infolist() if not i.is_dir()]
+            except Exception as error:
+                rows = [(path, ano, None, None, f"{path}: {error}")]
+            yield pd.DataFrame(rows, columns=COLUMNS)
 
 
 def archive_members(spark: SparkSession, archive_root: str) -> DataFrame:
-    """``(archive, ano, member, bytes)`` of every member of ``<root>/<year>.zip``, from the directories."""
+    """``(archive, ano, member, bytes, error)`` of every member of ``<root>/<year>.zip``, from the directories."""
     archives = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.zip")
@@ -58,14 +66,22 @@ def archive_members(spark: SparkSession, archive_root: str) -> DataFrame:
     return archives.mapInPandas(_list_members, MEMBER_SCHEMA)
 
 
+def _crc(filesystem: pafs.FileSystem, path: str) -> int:
+    checksum = 0
+    with filesystem.open_input_stream(path) as file:
+        while block := file.read(_BLOCK):
+            checksum = zlib.crc32(block, checksum)
+    return checksum
+
+
 def _extract(archive: zipfile.ZipFile, member: str, filesystem: pafs.FileSystem, target: str) -> None:
     """Copy one member to ``target``, unless an earlier attempt already did.
 
     Spark skips hidden names, so a half-written file is never read as data.
     """
-    present = filesystem.get_file_info(target)
+    present, wanted = filesystem.get_file_info(target), archive.getinfo(member)
     if present.type != pafs.FileType.NotFound:
-        if present.size == archive.getinfo(member).file_size:
+        if present.size == wanted.file_size and _crc(filesystem, target) == wanted.CRC:
             return
         filesystem.delete_file(target)
     folder, name = posixpath.split(target)
@@ -80,23 +96,30 @@ def _extractor(raw_root: str):
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         target_fs, root = _filesystem(raw_root)
         for batch in batches:
-            for path, members in batch.groupby("archive", sort=False):
+            done = [row for row in batch[COLUMNS].itertuples(index=False, name=None) if row[2] is None]
+            for path, members in batch[batch["member"].notna()].groupby("archive", sort=False):
                 source_fs, inner = _filesystem(path)
                 with source_fs.open_input_file(inner) as raw, zipfile.ZipFile(raw) as archive:
-                    for ano, member in zip(members["ano"], members["member"]):
-                        target = posixpath.join(root, str(ano), _safe_member(member))
-                        _extract(archive, member, target_fs, target)
-            yield batch
+                    for ano, member, size in zip(members["ano"], members["member"], members["bytes"]):
+                        target, error = posixpath.join(root, str(ano), _safe_member(member)), None
+                        try:
+                            _extract(archive, member, target_fs, target)
+                        except (zipfile.BadZipFile, zlib.error, EOFError) as failure:
+                            # The archive is at fault: trying again would not help, other years are sound.
+                            error = f"{path}: {failure}"
+                        done.append((path, ano, member, size, error))
+            yield pd.DataFrame(done, columns=COLUMNS)
 
     return extract
 
 
 def land_archives(spark: SparkSession, archive_root: str, raw_root: str, years=None) -> DataFrame:
-    """Extract the members of the archives (of ``years``); the result lists them.
+    """Extract the members of the archives (of ``years``); the result lists them, with what is wrong with any.
 
     The frame extracts as it is computed.  Use ``plans.ingest`` to run it once and log it.
     """
     members = archive_members(spark, archive_root)
     if years is not None:
         members = members.where(F.col("ano").isin(list(years)))
-    return members.repartition("archive", "member").mapInPandas(_extractor(raw_root), MEMBER_SCHEMA)
+    root = qualified(spark, raw_root)
+    return members.repartition("archive", "member").mapInPandas(_extractor(root), MEMBER_SCHEMA)

@@ -176,9 +176,28 @@ def _landed(spark: SparkSession, raw_root: str, glob: str = "*") -> DataFrame:
     return files.select(_year_of(F.col("path")).alias("ano")).where(F.col("ano").isNotNull())
 
 
+#: Below the landing folders; hidden from reads of them.
+MARKS = "_landed"
+
+
+def mark_landed(spark: SparkSession, raw_root: str, year: int, files: int) -> None:
+    """Note that all members of the year's archive are in its folder.  Written last."""
+    mark = spark.createDataFrame([(files, year)], "arquivos long, ano int").coalesce(1)
+    (
+        mark.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("ano")
+        .parquet(f"{raw_root.rstrip('/')}/{MARKS}")
+    )
+
+
 def landed_years(spark: SparkSession, raw_root: str) -> DataFrame:
-    """``ano`` of every non-empty landing folder."""
-    return _landed(spark, raw_root).distinct()
+    """``ano`` of every year that has landed completely."""
+    schema = "arquivos long, ano int"
+    marks = read_or_empty(
+        spark, schema, lambda: spark.read.schema(schema).parquet(f"{raw_root.rstrip('/')}/{MARKS}")
+    )
+    return marks.select("ano").distinct()
 
 
 def landed_files(

@@ -11,7 +11,7 @@ import pytest
 from conftest import RAIN, STATION_FILES, TEMPERATURE, metadata, station_file, write_raw
 from pyspark.sql import functions as F
 
-from pluvia.errors import EmptyInputError
+from pluvia.errors import EmptyInputError, LandingError
 from pluvia.plans import (
     bronze_to_silver,
     check_gold,
@@ -325,7 +325,7 @@ def test_ingest(spark, tmp_path, paths):
     _archive(archives / "2023.zip", STATION_FILES | {"sub/D.CSV": b"x", "../E.txt": b"y", "folder/": b""})
     _archive(archives / "2024.zip", {"F.CSV": STATION_FILES["A.CSV"]})
     assert ingest(spark, str(archives), str(raw), [2023], paths["log"]) == {2023: 4}
-    assert {str(p.relative_to(raw)) for p in raw.rglob("*") if p.is_file()} == {
+    assert {str(p.relative_to(raw)) for p in raw.rglob("*") if p.is_file() and "_landed" not in p.parts} == {
         "2023/A.CSV", "2023/B.CSV", "2023/C.CSV", "2023/sub/D.CSV", "2023/E.txt",
     }
     for name, content in STATION_FILES.items():
@@ -349,11 +349,29 @@ def test_a_broken_archive_fails_its_year(spark, tmp_path, paths):
     archives = tmp_path / "archives"
     archives.mkdir()
     (archives / "2023.zip").write_bytes(b"no archive")
-    with pytest.raises(Exception, match="not a zip file"):
+    with pytest.raises(Exception, match="archives/2023.zip: "):
         ingest(spark, str(archives), paths["raw"], [2023], paths["log"])
     assert rows(read_run_log(spark, paths["log"]).select("ano", "status", "linhas")) == [("2023", "falha", 0)]
 
 
+def test_a_broken_archive_fails_only_its_year_and_is_tried_again(spark, tmp_path, paths):
+    many = {f"{i}.CSV": STATION_FILES["A.CSV"] for i in range(33)}
+    _archive(tmp_path / "archives" / "2022.zip", many)
+    _archive(tmp_path / "archives" / "2023.zip", many)
+    broken = tmp_path / "archives" / "2023.zip"
+    whole = broken.read_bytes()
+    at = len(whole) // 2
+    broken.write_bytes(whole[:at] + bytes(b ^ 255 for b in whole[at : at + 40]) + whole[at + 40 :])
+    for _ in range(2):
+        with pytest.raises(LandingError, match="2023.zip"):
+            ingest(spark, paths["archives"], paths["raw"], [2022, 2023], paths["log"])
+    broken.write_bytes(whole)
+    assert ingest(spark, paths["archives"], paths["raw"], [2022, 2023], paths["log"]) == {2022: 33, 2023: 33}
+    log = read_run_log(spark, paths["log"]).orderBy("fim").select("ano", "status", "linhas").collect()
+    failed, landed = [("2022", "sucesso", 33), ("2023", "falha", 0)], [("2022", "sucesso", 33), ("2023", "sucesso", 33)]
+    assert [tuple(row) for row in log] == failed * 2 + landed
+
+
 def test_landing_again_completes_a_folder(spark, tmp_path, paths):
     _archive(tmp_path / "archives" / "2023.zip", STATION_FILES)
     raw = tmp_path / "raw"
@@ -361,7 +379,7 @@ def test_landing_again_completes_a_folder(spark, tmp_path, paths):
         landed = land_archives(spark, paths["archives"], paths["raw"])
         assert {(r.ano, r.member) for r in landed.collect()} == {(2023, name) for name in STATION_FILES}
         assert {p.name for p in (raw / "2023").iterdir() if not p.name.startswith(".")} == set(STATION_FILES)
-        (raw / "2023" / "A.CSV").write_bytes(b"cut off")
+        (raw / "2023" / "A.CSV").write_bytes(STATION_FILES["A.CSV"][::-1])
     list(land_archives(spark, paths["archives"], paths["raw"]).collect())
     assert (raw / "2023" / "A.CSV").read_bytes() == STATION_FILES["A.CSV"]
 

@@ -24,7 +24,7 @@ def test_the_cluster_names_the_shared_folder(spark):
 
 
 def test_only_a_local_session_may_use_a_temporary_folder():
-    assert os.path.isdir(os.path.dirname(shared_dir(_session("local[2]"), "x")))
+    assert os.path.isdir(os.path.dirname(os.path.dirname(shared_dir(_session("local[2]"), "x"))))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(_session("spark://host:7077"), "x")
 
