@@ -30,8 +30,8 @@ from .tokens import PieceEncoder
 
 #: Bytes of a word beyond which recursion would write too many rows.
 LONG_WORD = 256
-#: Documents encoded together, and words a worker remembers; it forgets them all beyond that, which costs time only.
-ROWS, WORDS = 2048, 1_000_000
+#: Documents encoded together.
+ROWS = 2048
 #: New words in a query, and ids decoded in one.
 QUERY_WORDS, DECODED_IDS = 40_000, 1 << 19
 MEMORY = "256MB"
@@ -69,7 +69,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class RecursiveBpe(PieceEncoder):
     """Ids by a rank file and a split pattern."""
 
-    remembered = 900_000
+    remembered = 700_000
 
     def __init__(self, path: str, pattern: str):
         super().__init__()
@@ -78,6 +78,8 @@ class RecursiveBpe(PieceEncoder):
 
         self.ranks = read_ranks(path)
         self.pattern = regex.compile(pattern)
+        self.dtype = np.dtype("<u2" if max(self.ranks.values()) < 1 << 16 else "<u4")
+        # Words without a space in front; a space and a word is what ``known`` has under the word.
         self.words: dict[str, bytes] = {}
         self.known_ids = np.zeros(max(self.ranks.values()) + 2, bool)
         self.known_ids[list(self.ranks.values())] = True
@@ -163,33 +165,41 @@ class RecursiveBpe(PieceEncoder):
             offer(at)
         return np.array([token for token in tokens if token >= 0], np.int32)
 
+    def _word(self, word: str) -> bytes | None:
+        return self.known.get(word[1:]) if word[0] == " " else self.words.get(word)
+
     def _learn_words(self, words: list[str]) -> None:
         texts = [word.encode() for word in words]
-        ranks = list(map(self.ranks.get, texts))
+        ids: list = list(map(self.ranks.get, texts))
         plain: list[int] = []
-        for at, (text, rank) in enumerate(zip(texts, ranks)):
+        for at, (text, rank) in enumerate(zip(texts, ids)):
             if rank is not None:
-                self.words[words[at]] = np.array([rank], self.dtype).tobytes()
+                ids[at] = np.array([rank], self.dtype).tobytes()
             elif len(text) > LONG_WORD:
-                self.words[words[at]] = self.contract_long(text).astype(self.dtype).tobytes()
+                ids[at] = self.contract_long(text).astype(self.dtype).tobytes()
             else:
                 plain.append(at)
         for at in range(0, len(plain), QUERY_WORDS):
             some = plain[at : at + QUERY_WORDS]
-            ids = self.contract([texts[i] for i in some])
-            self.words.update(zip([words[i] for i in some], ids))
+            for place, found in zip(some, self.contract([texts[i] for i in some])):
+                ids[place] = found
+        for word, found in zip(words, ids):
+            if word[0] == " ":
+                self.known[word[1:]] = found
+            else:
+                self.words[word] = found
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         # A space and ASCII letters are one word by any usual split pattern; the pattern decides about the rest.
         one = [text.isascii() and text[:1] == " " and text[1:].isalpha() for text in texts]
         found = [[text] if single else self.pattern.findall(text) for text, single in zip(texts, one)]
         met = set(chain.from_iterable(found))
-        if len(self.words) + len(met) > WORDS:
-            self.words.clear()
-        self._learn_words(list(met - self.words.keys()))
-        known = self.words
+        for held in (self.known, self.words):
+            if len(held) + len(met) > self.remembered:
+                held.clear()
+        self._learn_words([word for word in met if self._word(word) is None])
         return [
-            known[text] if single else b"".join(map(known.__getitem__, words))
+            self.known[text[1:]] if single else b"".join(map(self._word, words))
             for text, single, words in zip(texts, one, found)
         ]
 
