@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from operator import add
 
@@ -27,6 +28,8 @@ from .runlog import run_stage
 
 READING_KEYS = ("ano", STATION_KEY, "datetime")
 COUNTERS = ("invalid_numbers", "invalid_times")
+# Jobs submitted together.
+YEARS_AT_ONCE = 4
 
 
 def parse_readings(
@@ -126,11 +129,11 @@ def bronze_to_silver(
 ) -> dict[int, dict[str, int]]:
     """Replace the Silver years; returns each year's row count and the unreadable texts of all its rows.
 
-    One job per year: its one shuffle serves both the deduplication and the files of that year's
-    folder, and a year that fails leaves those before it written and logged.
+    One job per year: its one shuffle serves both the deduplication and the files of that year's folder.  Some
+    years are submitted together, so that one fills the cores that another's tail leaves idle.  Each is logged by
+    itself; one that fails leaves the others written, and its error is raised when all have ended.
     """
-    report = {}
-    for year in years:
+    def build(year: int) -> dict[str, int]:
         with run_stage(spark, log_dir, STAGE_SILVER, year) as run:
             try:
                 rows = scan_station_files(spark, raw_root, [year], whole_file_limit, glob, strict)
@@ -145,12 +148,17 @@ def bronze_to_silver(
             parsed = parsed.observe(met, *(F.sum(name).alias(name) for name in COUNTERS))
             counted = observed(deduplicated(parsed), seen).select(*SILVER_SCHEMA.names)
             write_silver(counted, silver_root)
-            report[year] = {"linhas": seen.get["linhas"]} | dict.fromkeys(COUNTERS, 0)
+            counts = {"linhas": seen.get["linhas"]} | dict.fromkeys(COUNTERS, 0)
             if any(met.get.values()):
                 texts = unreadable_texts(spark, raw_root, [year], whole_file_limit, glob)
                 totals = texts.agg(*(F.sum(name).alias(name) for name in COUNTERS)).first()
-                report[year] |= {name: totals[name] or 0 for name in COUNTERS}
-            if not report[year]["linhas"]:
+                counts |= {name: totals[name] or 0 for name in COUNTERS}
+            if not counts["linhas"]:
                 raise EmptyInputError(f"no readings in {raw_root}/{year}")
-            run.linhas = report[year]["linhas"]
-    return report
+            run.linhas = counts["linhas"]
+        return counts
+
+    asked = list(dict.fromkeys(years))
+    with ThreadPoolExecutor(YEARS_AT_ONCE) as pool:
+        jobs = {year: pool.submit(build, year) for year in asked}
+    return {year: job.result() for year, job in jobs.items()}

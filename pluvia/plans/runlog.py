@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -14,6 +15,7 @@ from ..schemas import FAILURE, RUN_LOG_SCHEMA, SUCCESS
 from ..sources.tables import read_or_empty
 
 # ISO 8601 with microseconds and a numeric offset.
+_one_at_a_time = threading.Lock()  # two appends to a folder would remove each other's drafts
 _TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
 
@@ -55,12 +57,9 @@ def append_run_log(
     """Append one record to the log folder and return it.  Without a ``span`` only its end is known: now."""
     times = (span.begin, span.end, span.seconds) if span else (None, datetime.now(timezone.utc), None)
     record = spark.createDataFrame([(etapa, str(ano), status, linhas, *times, erro)], RUN_LOG_SCHEMA).coalesce(1)
-    (
-        record.write.mode("append")
-        .option("ignoreNullFields", "false")
-        .option("timestampFormat", _TIMESTAMP_FORMAT)
-        .json(log_dir)
-    )
+    writer = record.write.mode("append").option("ignoreNullFields", "false")
+    with _one_at_a_time:
+        writer.option("timestampFormat", _TIMESTAMP_FORMAT).json(log_dir)
     return record
 
 

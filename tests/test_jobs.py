@@ -412,6 +412,20 @@ def test_one_hot_key_and_one_hot_station(spark, tmp_path, paths):
         assert rows(silver.where("day(datetime) = 1").select("precipitacao_mm", "temperatura_c")) == [(4.0, 9.0)]
 
 
+def test_years_side_by_side(spark, tmp_path, paths):
+    """Five years at once, one of them empty: the others are written, each has its record."""
+    for year in range(2018, 2023):
+        lines = [f"{year}/01/01;0{h}00 UTC;{h};2;" for h in range(year - 2016)] if year != 2020 else []
+        write_raw(tmp_path / "raw", year, {"A.CSV": one_station(*lines)})
+    with pytest.raises(EmptyInputError, match="2020"):
+        bronze_to_silver(spark, paths["raw"], paths["silver"], range(2018, 2023), paths["log"])
+    assert rows(read_silver(spark, paths["silver"]).groupBy("ano").count()) == [(2018, 2), (2019, 3), (2021, 5), (2022, 6)]
+    log = read_run_log(spark, paths["log"]).select("ano", "status", "linhas")
+    assert rows(log) == [
+        ("2018", "sucesso", 2), ("2019", "sucesso", 3), ("2020", "falha", 0), ("2021", "sucesso", 5), ("2022", "sucesso", 6),
+    ]
+
+
 def test_run_log_records(spark, paths):
     with pytest.raises(RuntimeError):
         with run_stage(spark, paths["log"], "etapa", "2020-2023") as run:
