@@ -69,7 +69,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class RecursiveBpe(PieceEncoder):
     """Ids by a rank file and a split pattern."""
 
-    remembered = 700_000
+    remembered = 1_200_000
 
     def __init__(self, path: str, pattern: str):
         super().__init__()
@@ -165,9 +165,6 @@ class RecursiveBpe(PieceEncoder):
             offer(at)
         return np.array([token for token in tokens if token >= 0], np.int32)
 
-    def _word(self, word: str) -> bytes | None:
-        return self.known.get(word[1:]) if word[0] == " " else self.words.get(word)
-
     def _learn_words(self, words: list[str]) -> None:
         texts = [word.encode() for word in words]
         ids: list = list(map(self.ranks.get, texts))
@@ -197,9 +194,10 @@ class RecursiveBpe(PieceEncoder):
         for held in (self.known, self.words):
             if len(held) + len(met) > self.remembered:
                 held.clear()
-        self._learn_words([word for word in met if self._word(word) is None])
+        known, other = self.known, self.words
+        self._learn_words([w for w in met if (w[1:] not in known if w[0] == " " else w not in other)])
         return [
-            self.known[text[1:]] if single else b"".join(map(self._word, words))
+            known[text[1:]] if single else b"".join([known[w[1:]] if w[0] == " " else other[w] for w in words])
             for text, single, words in zip(texts, one, found)
         ]
 
