@@ -28,7 +28,11 @@ def is_blank(line: Column) -> Column:
 
 
 def split_cells(line: Column) -> Column:
-    """The ``;``-separated cells of one line; the rarer quoted lines take the slower branch."""
+    """The ``;``-separated cells of one line; the rarer quoted lines take the slower branch.
+
+    With an odd number of double quotes there is no telling what they enclose: they are ordinary characters then,
+    so that the cell that holds the stray one fails to parse, and not its neighbours.
+    """
     quoted = F.transform(
         F.split(line, _UNQUOTED_SEPARATOR),
         lambda cell: F.when(
@@ -36,7 +40,8 @@ def split_cells(line: Column) -> Column:
             F.replace(cell.substr(F.lit(2), F.length(cell) - 2), F.lit('""'), F.lit('"')),
         ).otherwise(cell),
     )
-    return F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, ";"))
+    count = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    return F.when((count > 0) & (count % 2 == 0), quoted).otherwise(F.split(line, ";"))
 
 
 def split_key_value(line: Column) -> Column:

@@ -209,11 +209,12 @@ def test_unreadable_texts_are_counted_or_fail(spark, tmp_path, paths):
 
 
 def test_every_unreadable_text_counts(spark, tmp_path, paths):
-    bad = ["2023/01/01;9900 UTC;1;2;"] * 20 + ["2023/01/01;0100 UTC;x;2;"] * 5
+    odd = '2023/01/01;0200 UTC;"1;2;'
+    bad = ["2023/01/01;9900 UTC;1;2;"] * 20 + [odd] + ["2023/01/01;0100 UTC;x;2;"] * 5
     write_raw(tmp_path / "raw", 2023, {"A.CSV": one_station(*bad), "sub/b.csv": one_station(*bad, code="A002")})
     for limit in (1 << 25, 0):
         report = bronze_to_silver(spark, paths["raw"], paths["silver"], [2023], strict=False, whole_file_limit=limit)
-        assert report == {2023: {"linhas": 42, "invalid_numbers": 10, "invalid_times": 40}}
+        assert report == {2023: {"linhas": 44, "invalid_numbers": 12, "invalid_times": 40}}
 
 
 @pytest.mark.parametrize("seed", range(3))
