@@ -1,11 +1,15 @@
 """Licence scans by sentence rules; DataFrame functions only.
 
-A text is cut into sentences, each is normalised to lower-case words of ASCII letters and digits, and known licence
-sentences become numbers (a line of a longer sentence counts if the sentence as a whole is not known, so that both a
-wrapped notice and a notice on a line of its own are found).  What else the text says becomes 0.  Then the rules are
-applied in order to the sequence of numbers, long ones before the short ones they contain; a rule that matches adjacent
-numbers takes them away and leaves the licence's name, so that no sentence counts twice.  Known sentences that no rule
-takes are reported as ``incomplete``.
+Signs at the start of a line (comment and list markers) go first, so that a line of nothing else is an empty line, and
+line ends become line feeds.  A text is cut into sentences, each is normalised to lower-case words of ASCII letters and
+digits, and known licence sentences become numbers (a line of a longer sentence counts if the sentence as a whole is not
+known, so that both a wrapped notice and a notice on a line of its own are found).  What else the text says, list numbers
+and addresses too, becomes 0.  Then the rules are applied in order to the sequence of numbers, long ones before the short
+ones they contain; a rule matches numbers with nothing but 0 between them, takes them away and leaves the licence's name,
+so that no sentence counts twice.  Known sentences that no rule takes are reported as ``incomplete``.
+
+``SQL`` is the stricter, older reading: it keeps the signs, and its rules take directly adjacent numbers only.  Both give
+the same rows for texts whose notices hold no markers, list numbers or foreign sentences inside.
 
 Sentences and rules are parameters; the table below is sent to the tasks as part of the plan and does not grow with
 the data.  Every row is scanned whole where it is read: no shuffle.
@@ -91,6 +95,13 @@ RULES = (
 
 #: Ends of sentences, white space included, and empty lines.
 _END = r"[.!?:;]+[\x20\x09-\x0D]+|[\x0A\x0D][\x20\x09]*[\x0A\x0D][\x20\x09-\x0D]*"
+#: What may stand before the words of a line: white space, signs other than "." and "?", a marker that is a word, "(a)".
+_MARKERS = (
+    r"(?m)^[\x20\x09\x0B\x0C!-\-/:->@\[-`{-~]+(?:(?:dnl|DNL|rem|REM)(?![A-Za-z0-9])[\x20\x09]*)?"
+    r"(?:(?:[0-9]{1,2}|[A-Za-z]|[ivx]{1,4})\)[\x20\x09]+)?"
+    r"|^(?:dnl|DNL|rem|REM)(?![A-Za-z0-9])[\x20\x09]*"
+    r"|^(?:[0-9]{1,2}|[A-Za-z]|[ivx]{1,4})\)[\x20\x09]+"
+)
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -112,7 +123,8 @@ def sentence_numbers(text: Column, sentences: dict[int, str] = SENTENCES) -> Col
     def number(sentence):
         return F.coalesce(F.try_element_at(known, _normalised(sentence)), F.lit(0))
 
-    whole = F.split(F.concat(text, F.lit(" ")), _END)
+    lines = F.regexp_replace(F.regexp_replace(text, "\r\n?", "\n"), _MARKERS, "")
+    whole = F.split(F.concat(lines, F.lit(" ")), _END)
     return F.flatten(
         F.transform(
             whole,
@@ -135,13 +147,15 @@ def scan_licences(
     rules=RULES,
 ) -> DataFrame:
     """One row per document: doc_id, known (sentences), licences (names in order, comma-separated), n_licences, incomplete."""
-    numbered = docs.select(F.col(id_col).alias("doc_id"), sentence_numbers(text_or_empty(text), sentences).alias("numbers"))
+    # Rules pass over unknown sentences, so only the known ones make the sequence.
+    numbers = F.filter(sentence_numbers(text_or_empty(text), sentences), lambda n: n > 0)
+    numbered = docs.select(F.col(id_col).alias("doc_id"), numbers.alias("numbers"))
     sequence = F.array_join(F.transform("numbers", lambda n: F.concat(F.lit("<"), n.cast("string"), F.lit(">"))), "")
     for name, numbers in rules:
-        sequence = F.replace(sequence, F.lit(_tokens(numbers)), F.lit(f"<={name}>"))
+        sequence = F.replace(sequence, F.lit(_tokens(n for n in numbers if n)), F.lit(f"<={name}>"))
     # The sequence is a column of its own, so that it is computed once.
     return (
-        numbered.withColumn("known", F.size(F.filter("numbers", lambda n: n > 0)))
+        numbered.withColumn("known", F.size("numbers"))
         .withColumn("sequence", sequence)
         .withColumn("names", F.regexp_extract_all("sequence", F.lit("<=([^>]*)>"), F.lit(1)))
         .select(
@@ -181,5 +195,5 @@ FROM matched
 """
 
 
-#: The same result on DuckDB.
+#: On DuckDB, without markers and unknown sentences inside a notice (see above).
 SQL = _sql()

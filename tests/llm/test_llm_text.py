@@ -53,6 +53,60 @@ def test_licence_rules(spark):
     assert native(found)
 
 
+BSD = """Copyright (c) 2020, Someone
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.
+"""
+APACHE = """Copyright 2020 Someone
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+
+
+def commented(text, mark):
+    return "".join((f"{mark} {line}".rstrip() if line else mark) + "\n" for line in text.splitlines())
+
+
+def test_licences_as_published(spark):
+    two = BSD.split("3. ")[0] + BSD.split("permission.\n\n")[1]
+    texts = []
+    for text, name in ((BSD, "BSD-3-Clause"), (two, "BSD-2-Clause"), (APACHE, "Apache-2.0")):
+        texts += [(text, name), (text.replace("\n", "\r\n"), name)]
+        texts += [(commented(text, mark) + "code();\n", name) for mark in ("#", "//", ";;", "--", "dnl", "REM", "!")]
+        texts += [("/*\n" + commented(text, " *") + " */\ncode();\n", name)]
+    texts += [(BSD.replace(". Re", ") Re").replace("3. N", "3) N"), "BSD-3-Clause")]
+    texts += [(BSD.replace("1. R", "* R").replace("2. R", "* R").replace("3. N", "* N"), "BSD-3-Clause")]
+    texts += [("This work is licensed under the GNU General Public License, version\n3. And more.", "GPL-3.0")]
+    frame = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(texts)], "doc_id long, text string")
+    rows = sorted(licences.scan_licences(frame).collect())
+    assert [(row["licences"], row["incomplete"]) for row in rows] == [(name, False) for _, name in texts]
+
+
 def test_targets(spark):
     sizes = {"a": 100, "b": 10, "c": 1000, "d": 1, "e": 0, None: 300}
     frame = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
