@@ -229,6 +229,22 @@ def test_winnowing(spark):
         assert [tuple(mark) for mark in row["marks"]] == winnowed(texts[row["n"]])
 
 
+def test_a_shared_passage_is_found_at_every_offset(spark):
+    passage = "".join(chr(0x4E00 + i * 7919 % 5000) for i in range(200))
+    texts = [passage] + ["甲乙丙丁戊"[:offset] + passage for offset in (1, 2, 3, 4, 5)] + ["a\u00a0b" + passage.upper()]
+    frame = spark.createDataFrame(list(enumerate(texts)), "n long, text string")
+    rows = sorted(winnowing.with_fingerprint(frame, "text", "marks").select("n", "marks.hash").collect())
+    first = set(rows[0]["hash"])
+    assert len(first) > 20
+    assert all(len(first & set(row["hash"])) >= len(first) - 2 for row in rows)
+    # Whatever surrounds it, a passage as long as a gram and a window, less one, shares a hash.
+    size = winnowing.GRAM + winnowing.WINDOW - 1
+    short = [passage[50 : 50 + size], *("x" * i + passage[50 : 50 + size] + "y" * 40 for i in range(5))]
+    marks = winnowing.with_fingerprint(spark.createDataFrame([(t,) for t in short], "text string"), "text", "marks")
+    found = [set(row["hash"]) for row in marks.select("marks.hash").collect()]
+    assert all(found[0] & other for other in found)
+
+
 @pytest.mark.parametrize("bits, top", [(winnowing.SPAN_BITS, winnowing.TOP), (2, 3)])
 def test_next_documents(spark, tmp_path, monkeypatch, bits, top):
     monkeypatch.setattr(winnowing, "SPAN_BITS", bits)
