@@ -71,7 +71,9 @@ def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_wavelet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = wavelet.write_shards(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    # The library as it comes: the string of a special token becomes its id.
+    path = wavelet.write_shards(read(spark, sf_dir, "documents"), vocabulary, end_id=2, special_as_text=False)
     return wavelet.read_documents(spark, path)
 
 

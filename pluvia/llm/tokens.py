@@ -32,6 +32,7 @@ class PieceEncoder:
 
     def __init__(self) -> None:
         self.known: dict[str, bytes] = {}  # piece -> ids of a space and the piece
+        self.whole: re.Pattern | None = None  # texts that hold it are encoded uncut
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         raise NotImplementedError
@@ -67,10 +68,14 @@ class PieceEncoder:
     def _encode_group(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         held = texts.to_pylist()
         cut = pc.split_pattern(texts, " ")
-        if odd := [i for i, text in enumerate(held) if _KEPT_SPACE.search(text)]:
+        odd = [i for i, text in enumerate(held) if _KEPT_SPACE.search(text)]
+        whole = [i for i, text in enumerate(held) if self.whole and self.whole.search(text)]
+        if odd or whole:
             pieces = cut.to_pylist()
             for i in odd:
                 pieces[i] = _CUT.split(held[i])
+            for i in whole:
+                pieces[i] = [""]
             cut = pa.array(pieces, pa.large_list(pa.large_string()))
         offsets = cut.offsets.to_numpy()
         flat = cut.flatten().dictionary_encode()
@@ -78,7 +83,10 @@ class PieceEncoder:
         places = flat.indices.to_numpy().astype(np.int64)
         # Words follow a space, but for the first of each text: entries of their own, after the words.
         heads = offsets[:-1] - offsets[0]
-        firsts = self._ids([words[i] for i in places[heads].tolist()])
+        starts = [words[i] for i in places[heads].tolist()]
+        for i in whole:
+            starts[i] = held[i]
+        firsts = self._ids(starts)
         places[heads] = len(words) + np.arange(len(heads))
         entries = self._pieces(words) + firsts
         width = self.dtype.itemsize
@@ -92,15 +100,22 @@ class PieceEncoder:
 
 
 class Encoder(PieceEncoder):
-    """Ids by a vocabulary file of the ``tokenizers`` library."""
+    """Ids by a vocabulary file of the ``tokenizers`` library.
 
-    def __init__(self, path: str):
+    Strings of special tokens in a text are ordinary text if ``special_as_text``, or else become the special ids, as the
+    library has it unless told otherwise.
+    """
+
+    def __init__(self, path: str, special_as_text: bool = True):
         super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if found := [re.escape(token.content) for token in added if not (special_as_text and token.special)]:
+            self.whole = re.compile("|".join(found))  # white space before such a token belongs to no word after it
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.newline = self.tokenizer.encode("\n", add_special_tokens=False).ids
 
@@ -122,11 +137,12 @@ class Encoder(PieceEncoder):
         super()._learn([piece for piece in pieces if piece not in self.known])
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, special_as_text: bool = True) -> Encoder:
     """The worker's encoder for a vocabulary file; it lives as long as the worker."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    key = path, special_as_text
+    if key not in _encoders:
+        _encoders[key] = Encoder(path, special_as_text)
+    return _encoders[key]

@@ -159,9 +159,9 @@ _SHARD_DDL = (
 )
 
 
-def _shards(path: str, end_id: int, size: int):
+def _shards(path: str, end_id: int, size: int, special_as_text: bool):
     def apply(batches):
-        tool = encoder(path)
+        tool = encoder(path, special_as_text)
         bits = max(tool.tokenizer.get_vocab_size() - 1, end_id).bit_length()
         number = TaskContext.get().partitionId() << 32
         doc_ids: list = []
@@ -213,12 +213,16 @@ def write_shards(
     text: str = "text",
     path: str | None = None,
     shard_ids: int = SHARD,
+    special_as_text: bool = True,
 ) -> str:
-    """Encode the texts in ascending order of their ids and write a file for each shard; returns the folder."""
+    """Encode the texts in ascending order of their ids and write a file for each shard; returns the folder.
+
+    ``special_as_text``: whether a special token's string in a text is ordinary text, or its id.
+    """
     path = path or shared_dir(docs.sparkSession, "wavelet")
     ordered = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
     ordered = ordered.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
-    shards = ordered.mapInArrow(_shards(tokenizer, end_id, shard_ids), _SHARD_DDL)
+    shards = ordered.mapInArrow(_shards(tokenizer, end_id, shard_ids, special_as_text), _SHARD_DDL)
     shards.write.option("maxRecordsPerFile", 1).option("compression", "zstd").parquet(path)
     return path
 

@@ -167,6 +167,35 @@ def test_wavelet_files(spark, library, shard):
     assert sum(r["n"] for r in wavelet.find(spark, path, 2).collect()) == total
 
 
+def special_texts():
+    source = random.Random(3)
+    parts = ["<|endoftext|>", "<|endoftext|", " ", "  ", "\n", "\t", "a", " b", "é", "don't", "123"]
+    some = ["".join(source.choice(parts) for _ in range(source.randint(1, 14))) for _ in range(2000)]
+    return some + [t for _, t, _ in cases.ROWS] + ["a <|endoftext|> b", "x  <|endoftext|>  y z ", "<|endoftext|>", "w " * 99]
+
+
+def test_special_tokens_as_the_library_has_them():
+    as_it_comes, held = Tokenizer.from_file(VOCABULARY), special_texts()
+    expected = [e.ids for e in as_it_comes.encode_batch([t or "" for t in held], add_special_tokens=False)]
+    assert [64, 220, 50256, 275] in expected
+    tool = tokens.encoder(VOCABULARY, special_as_text=False)
+    assert split(*tool.encode(pa.array(held, pa.string()))) == expected
+    assert tokens.encoder(VOCABULARY) is not tool and tokens.encoder(VOCABULARY, special_as_text=False) is tool
+
+
+def test_op9(spark, tmp_path):
+    as_it_comes = Tokenizer.from_file(VOCABULARY)
+    held = special_texts()[:300] + ["a <|endoftext|> b"]
+    cases.documents(spark, [(i, t, "s") for i, t in enumerate(held)]).write.parquet(str(tmp_path / "documents.parquet"))
+    expected, start = [], 0
+    for i, text in enumerate(held):
+        ids = [*as_it_comes.encode(text, add_special_tokens=False).ids, 2]
+        expected.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    found = QUERIES["op9_wavelet_files"](spark, str(tmp_path)).select("doc_id", "start", "n_tokens", "ids_crc32")
+    assert sorted(map(tuple, found.collect())) == expected
+
+
 def test_empty_tables(spark, empty):
     assert bpe.round_trip(empty, RANKS, public_tokenizers.PATTERN).count() == 0
     assert wavelet.read_documents(spark, wavelet.write_shards(empty, VOCABULARY, 2)).count() == 0
