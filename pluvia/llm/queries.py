@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, licences, mixing, simhash, suffix_dedup, token_scan, toxicity, wavelet, winnowing
+from . import (
+    bpe,
+    exact_dedup,
+    licences,
+    merkle,
+    mixing,
+    simhash,
+    suffix_dedup,
+    token_scan,
+    toxicity,
+    wavelet,
+    winnowing,
+)
 from .common import read
 
 
@@ -90,6 +102,12 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.check_tampering(read(spark, sf_dir, "documents"), merkle.every_fifth()).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_licence_scan": op2_licence_scan,
@@ -101,6 +119,7 @@ QUERIES = {
     "op8_winnowing": op8_winnowing,
     "op9_wavelet_files": op9_wavelet_files,
     "op10_byte_bpe": op10_byte_bpe,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE = {
