@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 
 from . import (
     bpe,
+    collision_hashing,
     exact_dedup,
     licences,
     merkle,
     mixing,
     simhash,
+    spelling,
     suffix_dedup,
     token_scan,
     toxicity,
@@ -102,6 +104,14 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collision_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collision_hashing.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.check_tampering(read(spark, sf_dir, "documents"), merkle.every_fifth()).select(
         "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
@@ -119,6 +129,8 @@ QUERIES = {
     "op8_winnowing": op8_winnowing,
     "op9_wavelet_files": op9_wavelet_files,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_collision_neighbours": op11_collision_neighbours,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
