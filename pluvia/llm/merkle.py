@@ -201,3 +201,73 @@ def check_tampering(
 def every_fifth(id_col: str = "doc_id") -> Column:
     """5 divides the CRC-32 of the id in decimal digits; never where there is no id."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(False))
+
+
+def _sql_field(name: str) -> str:
+    text = f"cast({name} as varchar)"
+    return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+
+def _sql_leaf(**changed: str) -> str:
+    return f"sha256({' || '.join(_sql_field(changed.get(name, name)) for name in FIELDS)})"
+
+
+# DuckDB has no CRC-32: bit by bit over the digits of the id.
+_SQL_CRC = """
+    xor(4294967295, list_reduce(
+        list_transform(string_split(cast(doc_id as varchar), ''), lambda digit: cast(ascii(digit) as bigint)),
+        lambda crc, byte: list_reduce([0, 0, 0, 0, 0, 0, 0, 0],
+            lambda bits, none: case when bits & 1 = 1 then xor(bits >> 1, 3988292384) else bits >> 1 end, xor(crc, byte)),
+        4294967295))
+"""
+
+
+def _sql_levels(name: str, nodes: str) -> str:
+    """``name``: every level of the trees of ``nodes``; ``name_runs``: the children of every parent, in order."""
+    return f"""
+    {name}(level, tree, idx, n, digest) as (
+        select 0, tree, idx, n, digest from {nodes}
+        union all
+        select level + 1, tree, idx // {ARITY}, (n + {ARITY - 1}) // {ARITY}, sha256(string_agg(digest, '' order by idx))
+        from {name} where n > 1 group by level, tree, idx // {ARITY}, n),
+    {name}_runs as (
+        select level, tree, idx // {ARITY} as run, list(digest order by idx) as children
+        from {name} where n > 1 group by all)"""
+
+
+def _sql_fold(name: str, levels: str, start: str) -> str:
+    """``name``: the rows of ``start`` on every level, with the node that follows and the siblings met so far."""
+    before = f"array_to_string(children[1 : idx % {ARITY}], '')"
+    after = f"array_to_string(children[idx % {ARITY} + 2 : ], '')"
+    return f"""
+    {name}(row, level, tree, idx, node, proof) as (
+        select row, 0, tree, idx, node, proof from {start}
+        union all
+        select f.row, f.level + 1, f.tree, f.idx // {ARITY}, sha256({before} || f.node || {after}), f.proof || {before} || {after}
+        from {name} f join {levels}_runs r on r.level = f.level and r.tree = f.tree and r.run = f.idx // {ARITY})"""
+
+
+SQL = f"""
+with recursive leaves as (
+    select *, row_number() over (partition by tree order by doc_id nulls first, digest) - 1 as idx,
+           count(*) over (partition by tree) as n, row_number() over () as row
+    from (select doc_id, coalesce('=' || source, '') as tree, {_sql_leaf()} as digest,
+                 case when {_SQL_CRC} % 5 = 0 then {_sql_leaf(text=f"translate(text, '{UPPER}', '{LOWER}')")} end as found
+          from documents) d),
+    {_sql_levels("below", "leaves")},
+    members as (
+        select '' as tree, tree as member, digest, row_number() over (order by tree) - 1 as idx, count(*) over () as n
+        from below where n = 1),
+    {_sql_levels("above", "members")},
+    starts as (select row, tree, idx, coalesce(found, digest) as node, '' as proof from leaves),
+    {_sql_fold("up", "below", "starts")},
+    arrived as (
+        select u.row, m.tree, m.idx, u.node, u.proof
+        from (select row, tree, arg_max(node, level) as node, arg_max(proof, level) as proof from up group by row, tree) u
+        join members m on m.member = u.tree),
+    {_sql_fold("over_all", "above", "arrived")},
+    ends as (select row, arg_max(node, level) as node, arg_max(proof, level) as proof from over_all group by row)
+select l.doc_id, l.digest as leaf, m.digest as subroot, t.digest as root, sha256(e.proof) as proof_sha256,
+       e.node as folded_root, e.node = t.digest as verified
+from leaves l join ends e on e.row = l.row join members m on m.member = l.tree cross join (select digest from above where n = 1) t
+"""

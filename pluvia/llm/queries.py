@@ -138,4 +138,5 @@ ORACLE = {
     "op2_licence_scan": licences.SQL,
     "op4_mix_sources": f"SELECT doc_id, source, size, source_size, target, taken FROM ({mixing.SQL})",
     "op7_exact_dedup": exact_dedup.SQL,
+    "op13_merkle_manifest": merkle.SQL,
 }
