@@ -11,3 +11,7 @@ class QualityError(AssertionError):
 
 class LandingError(ValueError):
     """An archive did not land completely."""
+
+
+class PublishError(RuntimeError):
+    """Another job published the same tables in the meantime."""

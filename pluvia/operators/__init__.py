@@ -24,6 +24,7 @@ from .quality import (
     quality_report,
     unique,
 )
+from .rollup import monthly_state, state_dates, state_mean
 from .star import dim_date, dim_station, distinct_dates, project_fact, project_station
 
 __all__ = [
@@ -43,6 +44,7 @@ __all__ = [
     "extra_cells",
     "header_positions",
     "monthly_mean",
+    "monthly_state",
     "monthly_totals",
     "not_null",
     "project_fact",
@@ -51,6 +53,8 @@ __all__ = [
     "read_file_metadata",
     "read_line_metadata",
     "row_counts",
+    "state_dates",
+    "state_mean",
     "station_totals",
     "top_stations",
     "union_by_name",

@@ -53,8 +53,9 @@ def project_fact(
     time: str = "datetime",
     key: str = STATION_KEY,
     measures: Sequence[str] = FACT_MEASURES,
+    extra: Sequence[str] = (),
 ) -> DataFrame:
-    """The fact's columns: date, time, station, measures and the month it is partitioned by."""
+    """The fact's columns: date, time, station, measures and the month it is partitioned by; then any ``extra`` ones."""
     parts = date_parts(F.col(time))
     return df.select(
         F.to_date(time).alias("data"),
@@ -63,4 +64,5 @@ def project_fact(
         *measures,
         parts["ano"].alias("ano"),
         parts["mes"].alias("mes"),
+        *extra,
     )

@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import EmptyInputError
-from ..functions.calendar import month_span, with_month_keys
-from ..operators.aggregates import monthly_mean
 from ..operators.quality import GOLD_RULES, enforce, quality_report
-from ..operators.star import dim_date, dim_station, project_fact
+from ..operators.rollup import monthly_state, state_dates, state_mean
+from ..operators.star import dim_station, project_fact
 from ..schemas import (
     DIM_DATE,
     DIM_STATION,
@@ -23,104 +21,118 @@ from ..schemas import (
     GOLD_SCHEMAS,
     RAIN_BY_REGION,
     STAGE_GOLD,
+    STATE,
+    STATE_SCHEMA,
     TEMPERATURE_BY_UF,
 )
+from ..sources.publishing import Manifest, current, discard, new_run, publish, read_published, version
 from ..sources.sinks import write_aggregate, write_dimension, write_fact
-from ..sources.tables import available_years, read_gold_fact, read_gold_table, read_or_empty, read_silver
+from ..sources.tables import read_gold_table, read_silver, silver_years
 from .runlog import run_stage, year_label
 
+#: Tables that are written year by year.
+PARTED = (STATE, FACT)
 
-def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:
-    """The five Gold tables of a Silver table, not yet computed.
+
+def small_tables(state: DataFrame) -> dict[str, DataFrame]:
+    """The Gold tables that follow from the monthly state of the stations, not yet computed.
 
     Regions and states are those of the readings themselves, not of the station dimension: a station
     whose metadata changed keeps its old readings where they were.
     """
     return {
-        DIM_STATION: dim_station(silver),
-        DIM_DATE: dim_date(silver),
-        FACT: project_fact(silver),
-        RAIN_BY_REGION: monthly_mean(silver, "regiao", "precipitacao_mm", "precipitacao_media_mm"),
-        TEMPERATURE_BY_UF: monthly_mean(silver, "uf", "temperatura_c", "temperatura_media_c"),
+        DIM_STATION: dim_station(state, time="ultima"),
+        DIM_DATE: state_dates(state),
+        RAIN_BY_REGION: state_mean(state, "regiao", "precipitacao_mm", "precipitacao_media_mm"),
+        TEMPERATURE_BY_UF: state_mean(state, "uf", "temperatura_c", "temperatura_media_c"),
     }
 
 
-def _months(df: DataFrame, time: str = "datetime") -> set[tuple[int | None, int | None]]:
-    """The months that occur.  Twelve per year at most, whatever the number of readings."""
-    months = with_month_keys(df.select(time), time).select("ano", "mes").distinct()
-    return {(row.ano, row.mes) for row in months.collect()}
+def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:
+    """The five Gold tables of a Silver table, not yet computed."""
+    return small_tables(monthly_state(silver)) | {FACT: project_fact(silver)}
 
 
-def _spans(months: set[tuple[int | None, int | None]], time: Column) -> Column:
-    """``time`` lies in one of the months.  Adjoining months make one range the scan can prune by."""
-    numbers = sorted(ano * 12 + mes - 1 for ano, mes in months if ano is not None)
-    runs: list[list[int]] = []
-    for number in numbers:
-        if runs and runs[-1][1] == number - 1:
-            runs[-1][1] = number
-        else:
-            runs.append([number, number])
-    ranges = [month_span(time, first, last) for first, last in runs]
-    return reduce(or_, ranges + [time.isNull()] * ((None, None) in months), F.lit(False))
+def parted_fact(silver: DataFrame) -> DataFrame:
+    """The fact with ``origem``, the Silver year of each reading."""
+    return project_fact(silver.withColumn("origem", F.col("ano")), extra=("origem",))
 
 
-def _stale_months(spark: SparkSession, gold_root: str, years: list[int], months: set) -> set:
-    """Months of ``years`` the written fact holds but the readings no longer do."""
-    written = read_or_empty(spark, GOLD_SCHEMAS[FACT], lambda: read_gold_fact(spark, gold_root))
-    held = written.where(F.col("ano").isin(years)).select("ano", "mes").distinct().collect()
-    return {(row.ano, row.mes) for row in held} - months
+def _together(jobs: dict[str, Callable[[], int]]) -> dict[str, int]:
+    """Run independent jobs at once: short ones fill the cores that the tail of a longer one leaves idle."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        started = {name: pool.submit(job) for name, job in jobs.items()}
+    return {name: job.result() for name, job in started.items()}
 
 
-def _write_gold_fact(
-    spark: SparkSession, silver: DataFrame, gold_root: str, years: list[int] | None
-) -> int:
-    """Write the fact and return its number of rows written.
+def _part(name: str, run: str, year: int | str) -> str:
+    return f"{name}/{version(run)}/origem={year}"
 
-    For given years only the months their folders hold are rebuilt, from all of Silver: a month may have
-    readings in a neighbour's folder, and replacing it by one folder's share would lose those.  Should a
-    month have vanished, everything is rebuilt.
-    """
-    replace_all = years is None
-    if not replace_all:
-        months = _months(silver.where(F.col("ano").isin(years)))
-        replace_all = bool(_stale_months(spark, gold_root, years, months))
-        if not replace_all:
-            silver = silver.where(_spans(months, F.col("datetime")))
-    seen = Observation(FACT)
-    write_fact(project_fact(silver), gold_root, replace_all, seen)
-    return seen.get["linhas"]
 
+def _write_parts(spark: SparkSession, silver: DataFrame, gold_root: str, run: str) -> dict[str, int]:
+    """Write state and fact of the readings; rows of each."""
 
-def _write_gold(
-    spark: SparkSession, silver: DataFrame, gold_root: str, years: list[int] | None
-) -> dict[str, int]:
-    """Write the five tables and return their rows.
+    def state() -> int:
+        seen = Observation(STATE)
+        parts = monthly_state(silver).hint("rebalance", F.col("origem"))
+        write = parts.observe(seen, F.count(F.lit(1)).alias("linhas")).write.partitionBy("origem")
+        write.parquet(f"{gold_root}/{STATE}/{version(run)}")
+        return seen.get["linhas"]
 
-    The jobs are independent and submitted together: the short ones fill the cores that the tail of a
-    longer one leaves idle.
-    """
-    tables = gold_tables(silver)
+    def fact() -> int:
+        seen = Observation(FACT)
+        write_fact(parted_fact(silver), gold_root, True, seen, f"{FACT}/{version(run)}", ("origem", "ano", "mes"))
+        return seen.get["linhas"]
+
+    return _together({STATE: state, FACT: fact})
+
+
+def _write_small(spark: SparkSession, state: DataFrame, gold_root: str, run: str) -> dict[str, int]:
+    """Write the tables that follow from the state; rows of each."""
+    tables = small_tables(state)
 
     def dimension(name: str) -> int:
         seen = Observation(name)
-        write_dimension(tables[name], gold_root, name, seen)
+        write_dimension(tables[name], gold_root, f"{name}/{version(run)}", seen)
         return seen.get["linhas"]
 
     def aggregate(name: str, key: str) -> int:
         seen = Observation(name)
-        write_aggregate(tables[name], gold_root, name, [key, "ano", "mes"], seen)
+        write_aggregate(tables[name], gold_root, f"{name}/{version(run)}", [key, "ano", "mes"], seen)
         return seen.get["linhas"]
 
-    jobs = {
-        FACT: lambda: _write_gold_fact(spark, silver, gold_root, years),
-        DIM_STATION: lambda: dimension(DIM_STATION),
-        DIM_DATE: lambda: dimension(DIM_DATE),
-        RAIN_BY_REGION: lambda: aggregate(RAIN_BY_REGION, "regiao"),
-        TEMPERATURE_BY_UF: lambda: aggregate(TEMPERATURE_BY_UF, "uf"),
+    return _together(
+        {
+            DIM_STATION: lambda: dimension(DIM_STATION),
+            DIM_DATE: lambda: dimension(DIM_DATE),
+            RAIN_BY_REGION: lambda: aggregate(RAIN_BY_REGION, "regiao"),
+            TEMPERATURE_BY_UF: lambda: aggregate(TEMPERATURE_BY_UF, "uf"),
+        }
+    )
+
+
+def _write_gold(
+    spark: SparkSession, silver_root: str, gold_root: str, held: dict[int, str], asked: list[int] | None
+) -> dict[str, int]:
+    """Read the years that are asked for or have changed, keep the parts of the others, publish all at once."""
+    gold_root = gold_root.rstrip("/")
+    before = current(spark, gold_root) or Manifest()
+    kept = {} if asked is None else {y: mark for y, mark in held.items() if before.years.get(str(y)) == mark and y not in asked}
+    stale, run = sorted(set(held) - set(kept)), new_run()
+    parts = {
+        name: [f for f in before.tables.get(name, ()) if int(f.rpartition("=")[2]) in kept] + [_part(name, run, y) for y in stale]
+        for name in PARTED
     }
-    with ThreadPoolExecutor(len(jobs)) as pool:
-        written = {name: pool.submit(job) for name, job in jobs.items()}
-    return {name: rows.result() for name, rows in written.items()}
+    try:
+        counts = _write_parts(spark, read_silver(spark, silver_root, stale), gold_root, run)
+        state = read_published(spark, gold_root, STATE, STATE_SCHEMA, Manifest(tables=parts))
+        counts |= _write_small(spark, state, gold_root, run)
+        small = {name: [f"{name}/{version(run)}"] for name in counts if name not in PARTED}
+        publish(spark, gold_root, before, parts | small, {str(year): mark for year, mark in held.items()})
+    except BaseException:
+        discard(spark, gold_root, [f"{name}/{version(run)}" for name in (STATE, *GOLD_SCHEMAS)])
+        raise
+    return {name: counts[name] for name in GOLD_SCHEMAS}
 
 
 def silver_to_gold(
@@ -132,31 +144,32 @@ def silver_to_gold(
 ) -> dict[str, int]:
     """Build Gold from all of Silver, or refresh it after a change of some ``years``.
 
-    Dimensions and monthly means are small and always cover all of Silver; of the fact only the months
-    of ``years`` are rewritten.  Returns the rows written per table.
+    A refresh reads these years of Silver, and any other whose files have changed since Gold read them.  Dimensions and
+    monthly means always cover all years, by the state kept of each.  Readers see the new tables all at once; if the
+    job fails they keep the old ones.  Returns the rows written per table.
     """
     asked = sorted(set(years or ())) or None
-    inicio, present, broken = datetime.now(timezone.utc), [], None
+    inicio, held, broken = datetime.now(timezone.utc), {}, None
     try:
-        silver = read_silver(spark, silver_root)
-        present = [row.ano for row in available_years(silver).collect()]
+        held = silver_years(spark, silver_root)
     except Exception as failure:
         broken = failure
-    with run_stage(spark, log_dir, STAGE_GOLD, year_label(asked or present), inicio) as run:
+    with run_stage(spark, log_dir, STAGE_GOLD, year_label(asked or held), inicio) as run:
         if broken:
             raise broken
-        missing = sorted(set(asked or ()) - set(present))
-        if missing or not present:
+        missing = sorted(set(asked or ()) - set(held))
+        if missing or not held:
             raise EmptyInputError(f"Silver holds no readings of {missing or 'any year'}")
-        counts = _write_gold(spark, silver, gold_root, asked)
+        counts = _write_gold(spark, silver_root, gold_root, held, asked)
         run.linhas = counts[FACT]
     return counts
 
 
 def check_gold(spark: SparkSession, gold_root: str) -> DataFrame:
     """Quality report of the written Gold tables; raises if a rule of severity ``error`` failed."""
+    manifest = current(spark, gold_root)
     reports = [
-        quality_report(read_gold_table(spark, gold_root, name), rules, name)
+        quality_report(read_gold_table(spark, gold_root, name, manifest), rules, name)
         for name, rules in GOLD_RULES.items()
     ]
     return enforce(reduce(DataFrame.unionByName, reports))

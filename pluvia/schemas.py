@@ -82,6 +82,9 @@ FACT = "fato_leitura_climatica"
 RAIN_BY_REGION = "chuva_mensal_por_regiao"
 TEMPERATURE_BY_UF = "temperatura_mensal_por_uf"
 
+# What is known of each station, Silver year and month, from which all Gold tables but the fact are made.
+STATE = "estado_mensal"
+
 # Stage names and outcomes in the run log.
 STAGE_INGEST = "ingestao_bronze"
 STAGE_SILVER = "transformacao_silver"
@@ -140,6 +143,18 @@ GOLD_SCHEMAS = {
     ),
 }
 
+# ``mes`` counts months from year 0, ``dias`` has a bit per day that occurs.
+STATE_SCHEMA = T.StructType(
+    _fields(_STR, STATION_KEY, "estacao_nome", "uf", "regiao")
+    + _fields(_DBL, "latitude", "longitude", "altitude")
+    + _fields(_INT, "mes")
+    + _fields(T.TimestampNTZType(), "ultima")
+    + _fields(_INT, "dias")
+    + _fields(_DBL, "precipitacao_mm", "temperatura_c")
+    + _fields(T.LongType(), "precipitacao_mm_n", "temperatura_c_n", "linhas")
+    + _fields(_INT, "origem")
+)
+
 RUN_LOG_SCHEMA = T.StructType(
     _fields(_STR, "etapa", "ano", "status")
     + _fields(T.LongType(), "linhas")

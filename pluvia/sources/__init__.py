@@ -1,6 +1,7 @@
 """Scans and sinks."""
 
 from .archives import archive_members, land_archives
+from .publishing import Manifest, current, publish
 from .sinks import observed, write_aggregate, write_dimension, write_fact, write_silver
 from .station_files import (
     file_lines,
@@ -21,12 +22,15 @@ from .tables import (
     read_or_empty,
     read_silver,
     read_years,
+    silver_years,
     staging_views,
 )
 
 __all__ = [
+    "Manifest",
     "archive_members",
     "available_years",
+    "current",
     "file_lines",
     "land_archives",
     "landed_files",
@@ -34,6 +38,7 @@ __all__ = [
     "mark_landed",
     "observed",
     "pending_years",
+    "publish",
     "read_gold_fact",
     "read_gold_table",
     "read_or_empty",
@@ -44,6 +49,7 @@ __all__ = [
     "scan_large_files",
     "scan_small_files",
     "scan_station_files",
+    "silver_years",
     "staging_views",
     "write_aggregate",
     "write_dimension",

