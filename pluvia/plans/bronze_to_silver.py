@@ -22,7 +22,7 @@ from ..functions.parsing import (
 from ..operators.binding import bind_cells, extra_cells
 from ..operators.dedup import dedup_readings
 from ..schemas import MEASURES, METADATA_COLUMNS, SILVER_SCHEMA, STAGE_SILVER, STATION_KEY
-from ..sources.sinks import observed, write_silver
+from ..sources.sinks import write_silver
 from ..sources.station_files import FILE_GLOB, WHOLE_FILE_LIMIT, scan_station_files
 from .runlog import run_stage
 
@@ -85,6 +85,30 @@ def deduplicated(readings: DataFrame) -> DataFrame:
     return dedup_readings(told_apart, (*READING_KEYS, "_unread")).drop("file", "_unread")
 
 
+def with_error_rows(readings: DataFrame) -> DataFrame:
+    """The readings, and beside each one with unreadable texts a row that only says how many.
+
+    Such a row (``_errors``) goes through the deduplication's shuffle without meeting any other, so that the texts of a
+    reading that loses against a duplicate can be counted behind the shuffle, where a task that runs again counts once.
+    """
+    any_errors = reduce(add, map(F.col, COUNTERS)) > 0
+    kinds = F.when(any_errors, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    rows = readings.withColumn("_errors", F.explode(kinds))
+    told, kept = F.col("_errors"), ("ano", "file", "number", "_errors", *COUNTERS)
+    return rows.select(
+        *[F.col(c) if c in kept else F.when(~told, F.col(c)).alias(c) for c in readings.columns],
+        "_errors",
+    )
+
+
+def deduplicated_with_errors(readings: DataFrame) -> DataFrame:
+    """``deduplicated``, with the rows of ``with_error_rows``, in one shuffle."""
+    rows = with_error_rows(readings)
+    apart = F.when(F.col("_errors") | (F.col("invalid_times") > 0), F.struct("file", "number"))
+    keys = (*READING_KEYS, "_unread", "_errors")
+    return dedup_readings(rows.withColumn("_unread", apart).drop("number"), keys).drop("file", "_unread")
+
+
 def silver_readings(
     spark: SparkSession,
     raw_root: str,
@@ -99,23 +123,6 @@ def silver_readings(
     return deduplicated(parse_readings(rows, strict, sentinels))
 
 
-def unreadable_texts(
-    spark: SparkSession,
-    raw_root: str,
-    years: Iterable[int],
-    whole_file_limit: int = WHOLE_FILE_LIMIT,
-    glob: str = FILE_GLOB,
-) -> DataFrame:
-    """``(ano, file, invalid_numbers, invalid_times)``: texts of each file that did not parse, duplicates included."""
-    rows = scan_station_files(spark, raw_root, years, whole_file_limit, glob)
-    return (
-        parse_readings(rows, strict=False)
-        .groupBy("ano", "file")
-        .agg(*(F.sum(name).alias(name) for name in COUNTERS))
-        .where(reduce(add, map(F.col, COUNTERS)) > 0)
-    )
-
-
 def bronze_to_silver(
     spark: SparkSession,
     raw_root: str,
@@ -141,18 +148,15 @@ def bronze_to_silver(
                 if error.getCondition() != "PATH_NOT_FOUND":
                     raise
                 raise EmptyInputError(f"no folder {raw_root}/{year}") from error
-            # Before the deduplication, so that a losing row's errors count.  A task that runs twice counts twice
-            # here, so this only tells whether there are any; their number comes from a pass of its own.
-            met, seen = Observation(f"texts {year}"), Observation(f"{STAGE_SILVER} {year}")
-            parsed = parse_readings(rows, strict, sentinels)
-            parsed = parsed.observe(met, *(F.sum(name).alias(name) for name in COUNTERS))
-            counted = observed(deduplicated(parsed), seen).select(*SILVER_SCHEMA.names)
-            write_silver(counted, silver_root)
-            counts = {"linhas": seen.get["linhas"]} | dict.fromkeys(COUNTERS, 0)
-            if any(met.get.values()):
-                texts = unreadable_texts(spark, raw_root, [year], whole_file_limit, glob)
-                totals = texts.agg(*(F.sum(name).alias(name) for name in COUNTERS)).first()
-                counts |= {name: totals[name] or 0 for name in COUNTERS}
+            seen = Observation(f"{STAGE_SILVER} {year}")
+            told = F.col("_errors")
+            rows = deduplicated_with_errors(parse_readings(rows, strict, sentinels)).observe(
+                seen,
+                F.count_if(~told).alias("linhas"),
+                *(F.coalesce(F.sum(F.when(told, F.col(name))), F.lit(0)).alias(name) for name in COUNTERS),
+            )
+            write_silver(rows.where(~told).select(*SILVER_SCHEMA.names), silver_root)
+            counts = dict(seen.get)
             if not counts["linhas"]:
                 raise EmptyInputError(f"no readings in {raw_root}/{year}")
             run.linhas = counts["linhas"]
