@@ -26,7 +26,7 @@ COLUMNS = ["archive", "ano", "member", "bytes", "error"]
 _BLOCK = 4 << 20
 
 
-def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
+def filesystem_of(path: str) -> tuple[pafs.FileSystem, str]:
     """The filesystem of a Spark path and the path within it."""
     if path.startswith("file:"):
         path = "/" + path.removeprefix("file:").lstrip("/")
@@ -42,7 +42,7 @@ def _safe_member(name: str) -> str:
 def _list_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for path, ano in zip(batch["archive"], batch["ano"]):
-            filesystem, inner = _filesystem(path)
+            filesystem, inner = filesystem_of(path)
             try:
                 with filesystem.open_input_file(inner) as raw, zipfile.ZipFile(raw) as archive:
                     rows = [(path, ano, i.filename, i.file_size, None) for i in archive.infolist() if not i.is_dir()]
@@ -94,11 +94,11 @@ def _extract(archive: zipfile.ZipFile, member: str, filesystem: pafs.FileSystem,
 
 def _extractor(raw_root: str):
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        target_fs, root = _filesystem(raw_root)
+        target_fs, root = filesystem_of(raw_root)
         for batch in batches:
             done = [row for row in batch[COLUMNS].itertuples(index=False, name=None) if row[2] is None]
             for path, members in batch[batch["member"].notna()].groupby("archive", sort=False):
-                source_fs, inner = _filesystem(path)
+                source_fs, inner = filesystem_of(path)
                 with source_fs.open_input_file(inner) as raw, zipfile.ZipFile(raw) as archive:
                     for ano, member, size in zip(members["ano"], members["member"], members["bytes"]):
                         target, error = posixpath.join(root, str(ano), _safe_member(member)), None
@@ -122,4 +122,6 @@ def land_archives(spark: SparkSession, archive_root: str, raw_root: str, years=N
     if years is not None:
         members = members.where(F.col("ano").isin(list(years)))
     root = qualified(spark, raw_root)
-    return members.repartition("archive", "member").mapInPandas(_extractor(root), MEMBER_SCHEMA)
+    # A number of tasks of our own: by the bytes of this list of members, which say nothing, they would become one.
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    return members.repartition(tasks, "archive", "member").mapInPandas(_extractor(root), MEMBER_SCHEMA)

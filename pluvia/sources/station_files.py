@@ -3,7 +3,9 @@
 A station-year is about a megabyte, and its first lines describe all the others.  Small files are
 therefore read whole, one row per file: metadata, header and line numbers are at hand in the task, and
 exploding the lines needs neither a join nor a shuffle.  A file above ``whole_file_limit`` is never held
-whole: it is read as splittable lines, and only for those files is the metadata joined back.
+whole: it is cut into ranges of bytes, each read by itself together with the file's own head, and what a
+range gives is a small file again (see ``byte_ranges``).  Only on file systems that Python cannot open is
+such a file read as splittable lines, and the metadata joined back.
 
 Either way position decides what a line is: the first eight are metadata, the first one below that is not
 blank is the header, and whatever follows is data.
@@ -25,12 +27,15 @@ from ..operators.binding import (
 )
 from ..functions.parsing import is_blank
 from ..schemas import DATE_HEADER, HOUR_HEADER, MEASURE_HEADERS
+from ..session import qualified
+from .byte_ranges import RANGE_BYTES, read_ranges, readable
 from .tables import read_or_empty
 
 ENCODING = "ISO-8859-1"
 # Any spelling of the suffix, in any folder below the year's.
 FILE_GLOB = "*.[cC][sS][vV]"
 WHOLE_FILE_LIMIT = 16 << 20
+RANGES_PER_TASK = 16
 HEADERS = (DATE_HEADER, HOUR_HEADER, *MEASURE_HEADERS)
 
 
@@ -66,24 +71,29 @@ def _listing(spark: SparkSession, folders: list[str], glob: str) -> DataFrame:
 
 
 def file_lines(files: DataFrame, encoding: str = ENCODING) -> DataFrame:
-    """``(file, ano, content)`` -> ``(file, ano, lines array<string>)``."""
+    """``(file, ano, content)`` -> ``(file, ano, lines array<string>)``; other columns stay."""
     text = F.decode("content", encoding)
     # Every kind of line break becomes a newline first: splitting by one character needs no regex.
     for line_break in ("\r\n", "\r"):
         text = F.replace(text, F.lit(line_break), F.lit("\n"))
-    return files.select("file", "ano", F.split(text, "\n").alias("lines"))
+    kept = [name for name in files.columns if name != "content"]
+    return files.select(*kept, F.split(text, "\n").alias("lines"))
 
 
 def rows_from_files(files: DataFrame, strict: bool = False) -> DataFrame:
     """``(file, ano, content)`` -> a row per data line: ``(file, ano, <metadata>, positions, unknown, number, line)``.
 
-    ``number`` tells the lines of a file apart.
+    ``number`` tells the lines of a file apart; a column ``base`` is added to it, for files that come in parts.
     """
-    described = _locate_columns(read_file_metadata(file_lines(files), keep=("ano",)), strict)
+    kept = [name for name in files.columns if name not in ("file", "content")]
+    described = _locate_columns(read_file_metadata(file_lines(files), keep=kept), strict)
     # The outer form, because for the inner one Spark derives a filter on the array and evaluates the
     # whole decoding again for it, below.  A file without rows gives one NULL line.
     rows = described.select(*[c for c in described.columns if c != "body"], F.posexplode_outer("body").alias("number", "line"))
-    return rows.where(F.col("line").isNotNull()).withColumn("number", F.col("number").cast("long"))
+    number = F.col("number").cast("long")
+    if "base" in kept:
+        number = number + F.col("base")
+    return rows.where(F.col("line").isNotNull()).withColumn("number", number).drop("base")
 
 
 def rows_from_lines(lines: DataFrame, strict: bool = False) -> DataFrame:
@@ -124,8 +134,36 @@ def scan_large_files(
     limit: int = WHOLE_FILE_LIMIT,
     glob: str = FILE_GLOB,
     strict: bool = False,
+    range_bytes: int = RANGE_BYTES,
 ) -> DataFrame:
-    """Rows of the files above ``limit`` bytes, each split over many tasks.
+    """Rows of the files above ``limit`` bytes, each split over many tasks and read once."""
+    folders = _folders(raw_root, years)
+    if not readable(qualified(spark, raw_root)):
+        return _rows_of_lines(spark, folders, limit, glob, strict)
+    listing = _listing(spark, folders, glob)
+    return _rows_of_ranges(listing, limit, strict, range_bytes, _ranges(listing, limit, range_bytes))
+
+
+def _ranges(listing: DataFrame, limit: int, range_bytes: int) -> int:
+    """How many ranges the files above ``limit`` make.  From the listing alone: no file is read for it."""
+    large = listing.where(F.col("length") > limit)
+    return large.agg(F.sum(F.ceil(F.col("length") / range_bytes))).first()[0] or 0
+
+
+def _rows_of_ranges(listing: DataFrame, limit: int, strict: bool, range_bytes: int, count: int) -> DataFrame:
+    path, length = F.col("path"), F.col("length")
+    offsets = F.sequence(F.lit(0).cast("long"), length - 1, F.lit(range_bytes).cast("long"))
+    ranges = listing.where(length > limit).select(
+        path.alias("file"), _year_of(path).alias("ano"), "length", F.explode(offsets).alias("offset")
+    )
+    # A number of tasks of our own: by the bytes of this list of ranges, which say nothing, they would become one.
+    spark = listing.sparkSession
+    tasks = max(1, min(count, max(spark.sparkContext.defaultParallelism, count // RANGES_PER_TASK)))
+    return rows_from_files(read_ranges(ranges.repartition(tasks), range_bytes), strict)
+
+
+def _rows_of_lines(spark: SparkSession, folders: list[str], limit: int, glob: str, strict: bool) -> DataFrame:
+    """The same by Spark's own reader of text, which every file system of Spark's will do for; reads large files thrice.
 
     Lines are numbered within the block a file begins with, which holds metadata and header; ids grow in
     steps of one within a block.
@@ -133,7 +171,7 @@ def scan_large_files(
     scan = (
         spark.read.option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
-        .text(_folders(raw_root, years))
+        .text(folders)
         .where(F.col("_metadata.file_size") > limit)
         .select(
             F.col("_metadata.file_path").alias("file"),
@@ -162,10 +200,12 @@ def scan_station_files(
     years = list(years)
     listing = _listing(spark, _folders(raw_root, years), glob)
     small = _rows_of_listing(listing, limit, strict)
-    # From the listing alone: no file is read for it.
-    if listing.where(F.col("length") > limit).select("path").isEmpty():
+    count = _ranges(listing, limit, RANGE_BYTES)
+    if not count:
         return small
-    return small.unionByName(scan_large_files(spark, raw_root, years, limit, glob, strict))
+    if readable(qualified(spark, raw_root)):
+        return small.unionByName(_rows_of_ranges(listing, limit, strict, RANGE_BYTES, count))
+    return small.unionByName(_rows_of_lines(spark, _folders(raw_root, years), limit, glob, strict))
 
 
 def _landed(spark: SparkSession, raw_root: str, glob: str = "*") -> DataFrame:

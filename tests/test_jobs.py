@@ -218,6 +218,26 @@ def test_every_unreadable_text_counts(spark, tmp_path, paths):
         assert report == {2023: {"linhas": 44, "invalid_numbers": 12, "invalid_times": 40}}
 
 
+@pytest.mark.parametrize("limit", [1 << 25, 0])
+def test_unreadable_texts_take_no_second_read(spark, tmp_path, paths, monkeypatch, limit):
+    """The counts come with the rows: one scan, one shuffle of readings, and they are taken above it."""
+    import sys
+
+    module, plans = sys.modules["pluvia.plans.bronze_to_silver"], []
+    write, scan = module.write_silver, module.scan_station_files
+    scans = []
+    monkeypatch.setattr(module, "write_silver", lambda df, root: (plans.append(df), write(df, root)))
+    monkeypatch.setattr(module, "scan_station_files", lambda *args: (scans.append(args), scan(*args))[1])
+    hot = ["2023/01/01;0000 UTC;x;y;"] * 500 + ["2023/01/01;0000 UTC;1;y;"]
+    write_raw(tmp_path / "raw", 2023, {f"{n}.CSV": one_station(*hot, "2023/02/30;0000 UTC;1;2;") for n in range(3)})
+    report = bronze_to_silver(spark, paths["raw"], paths["silver"], [2023], strict=False, whole_file_limit=limit)
+    assert report == {2023: {"linhas": 4, "invalid_numbers": 3003, "invalid_times": 3}}
+    assert len(scans) == len(plans) == 1
+    plan = plans[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(ano") == 1 and plan.index("CollectMetrics") < plan.index("Exchange hashpartitioning(ano")
+    assert core(read_silver(spark, paths["silver"]).where("datetime is not null")) == [("A001", datetime(2023, 1, 1), 1.0, None)]
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_a_file_means_the_same_whatever_its_size(spark, tmp_path, seed):
     """Repeated keys, too few or many metadata lines, other headers, odd dates, late metadata and header lines."""

@@ -1,0 +1,82 @@
+"""Ranges of large files against whole files."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import pyarrow as pa
+import pytest
+from conftest import metadata, write_raw
+from pyspark.sql import functions as F
+
+from pluvia.plans import parse_readings
+from pluvia.schemas import METADATA_LINES
+from pluvia.sources import byte_ranges, scan_large_files, scan_small_files, station_files
+
+PIECES = [b"a;b", b"", b" ", b"\xa0", b"\r", b"\n", b"\r\n", b"\n\n", b"xyz", b"\r\r", b"\xe9"]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_ranges_hold_each_line_once(monkeypatch, seed):
+    rng = random.Random(seed)
+    for _ in range(400):
+        data = b"".join(rng.choices(PIECES, k=rng.randint(0, 60)))
+        monkeypatch.setattr(byte_ranges, "BLOCK", rng.choice([1, 2, 3, 5, 64]))
+        file, size, length = pa.BufferReader(data), len(data), rng.randint(1, 9)
+        lines = re.split(rb"\r\n|\r|\n", data)
+        below = [line for line in lines[METADATA_LINES:] if line.strip(byte_ranges._BLANKS)]
+        head, body = byte_ranges.read_head(file, size)
+        assert head == lines[:METADATA_LINES] + below[:1]
+        found = []
+        for offset in range(0, size, length):
+            content = byte_ranges.read_range(file, size, offset, length, head, body)
+            if content is not None:
+                part = re.split(rb"\r\n|\r|\n", content)
+                assert part[: len(head)] == head
+                found += [line for line in part[len(head) :] if line.strip(byte_ranges._BLANKS)]
+        assert found == below[1:]
+
+
+def _tuples(frame):
+    frame = parse_readings(frame, strict=False)
+    return sorted((tuple(row) for row in frame.drop("number").withColumn("extras", F.to_json("extras")).collect()), key=repr)
+
+
+def _raw(root):
+    rng = random.Random(7)
+    files = {}
+    for n in range(4):
+        head = [f"{key}:;{value}" for key, value in metadata("S", "RS", f"Estação {n}", f"A{n}", "-1,5", "2", "3")]
+        lines = [f"2023/01/{rng.randint(1, 28):02d};{rng.randint(0, 23):02d}00 UTC;{rng.random():.3f};é{n}" for _ in range(300)]
+        text = rng.choice(["\r\n", "\n", "\r"]).join([*head, "", "Data;Hora UTC;TEMPERATURA DO AR - BULBO SECO, HORARIA (°C);Nota", *lines])
+        files[f"{n}.CSV"] = text.encode("latin-1")
+    write_raw(root, 2023, files | {"empty.CSV": b"", "short.CSV": b"UF:;SP\n", "head.CSV": b"x\n" * 9})
+
+
+def test_ranges_of_files_give_the_same_rows(spark, tmp_path):
+    _raw(tmp_path)
+    whole = _tuples(scan_small_files(spark, str(tmp_path), [2023]))
+    assert len(whole) == 1200
+    for size in (97, 4096, byte_ranges.RANGE_BYTES):
+        parts = scan_large_files(spark, str(tmp_path), [2023], 0, range_bytes=size)
+        assert _tuples(parts) == whole
+        numbers = parts.groupBy("file").agg(F.count_distinct("number").alias("d"), F.count("number").alias("n"))
+        assert numbers.where("d <> n").isEmpty()
+
+
+def test_each_large_file_is_read_by_many_tasks_once(spark, tmp_path):
+    _raw(tmp_path)
+    scan = scan_large_files(spark, str(tmp_path), [2023], 0, range_bytes=500)
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    # Only the listing is scanned, and no content with it; no join, no window.
+    assert plan.count("FileScan binaryFile") == 1 and "content" not in plan.split("FileScan binaryFile")[1].split("Batched")[0]
+    assert "Join" not in plan and "Window" not in plan
+    assert scan.select(F.spark_partition_id()).distinct().count() >= 4
+
+
+def test_files_that_only_spark_can_open(spark, tmp_path, monkeypatch):
+    _raw(tmp_path)
+    whole = _tuples(scan_small_files(spark, str(tmp_path), [2023]))
+    monkeypatch.setattr(station_files, "readable", lambda path: False)
+    assert _tuples(scan_large_files(spark, str(tmp_path), [2023], 0)) == whole
