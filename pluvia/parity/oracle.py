@@ -37,6 +37,22 @@ _SILVER = f"""
     where rn = 1
 """
 
+# The same as files hold them, where some discounts are no numbers: of equal times the row with most values survives.
+_LINES = f"""
+    select cast(l_suppkey as varchar) as estacao_codigo, nome as estacao_nome, uf, regiao, altitude,
+           l_shipdate + l_linenumber * interval 1 hour as datetime, cast(year(l_shipdate) as int) as ano,
+           l_quantity as precipitacao_mm, case when bad then null else l_discount end as pressao_mb,
+           l_extendedprice as temperatura_c, l_tax as umidade_pct, l_orderkey as pedido,
+           cast(bad as int) as invalid_numbers, cast(0 as int) as invalid_times
+    from (select *, l_linenumber = 4 and l_partkey % 5 = 0 as bad from lineitem) t join ({_STATIONS}) s on l_suppkey = s_suppkey
+"""
+_SILVER_OF_FILES = f"""
+    select * from ({_LINES}) l
+    qualify row_number() over (
+        partition by estacao_codigo, datetime
+        order by invalid_numbers, precipitacao_mm, pressao_mb, temperatura_c, umidade_pct, '{{"Pedido":"' || pedido || '"}}') = 1
+"""
+
 _REPORT = """
     select 'unique' as chk, 'error' as severity,
            (select count(*) from (
@@ -154,17 +170,16 @@ ORACLE: dict[str, str] = {
                cast(sum(event_id) as double) / count(*) as duracao_media_s
         from events group by 1, 2
     """,
-    "scan_station_files": """
-        select event_id, 'Região Sul' as regiao, event_type as uf, date_trunc('minute', ts) as datetime,
-               cast(year(ts) as int) as ano, value as precipitacao_mm, cast(null as double) as temperatura_c,
-               cast(-15.5 as double) as latitude, cast(null as double) as altitude, user_id,
-               cast(0 as int) as invalid_numbers, cast(0 as int) as invalid_times
-        from events
-    """,
+    "scan_station_files": _LINES,
     "bronze_to_silver": f"""
-        select *, cast(null as double) as vento_direcao_gr, cast(0 as int) as invalid_numbers,
-               cast(0 as int) as invalid_times
-        from ({_SILVER}) s
+        select * exclude (invalid_numbers, invalid_times), cast(null as double) as vento_direcao_gr
+        from ({_SILVER_OF_FILES}) s
+    """,
+    "bronze_to_silver_counts": f"""
+        select ano, s.linhas, cast(invalid_numbers as bigint) as invalid_numbers, cast(0 as bigint) as invalid_times,
+               'transformacao_silver' as etapa, 'sucesso' as status, s.linhas as no_log
+        from (select ano, sum(invalid_numbers) as invalid_numbers from ({_LINES}) l group by 1) l
+        join (select ano, count(*) as linhas from ({_SILVER_OF_FILES}) f group by 1) s using (ano)
     """,
     "read_silver": f"""
         select estacao_codigo, uf, datetime, ano, precipitacao_mm, pressao_mb, temperatura_c, umidade_pct
@@ -181,17 +196,23 @@ ORACLE: dict[str, str] = {
         from ({_SILVER}) s group by 1, 2, 3
     """,
     "silver_to_gold": f"""
+        select cast(datetime as date) as data, datetime, estacao_codigo, temperatura_c, precipitacao_mm, pressao_mb,
+               umidade_pct, cast(year(datetime) as int) as ano, cast(month(datetime) as int) as mes, estacao_nome, uf, regiao
+        from ({_SILVER}) s
+    """,
+    "stations_with_most_rain_gold": f"""
         select estacao_codigo, estacao_nome, uf, round(sum(precipitacao_mm), 1) as chuva_total_mm
         from ({_SILVER}) s where year(datetime) = 1998 and month(datetime) = 1
         group by 1, 2, 3 order by chuva_total_mm desc, estacao_codigo limit 10
     """,
     "write_fact": f"""
-        select cast(year(datetime) as int) as ano, cast(month(datetime) as int) as mes, count(*) as linhas
+        select cast(year(datetime) as int) as ano, cast(month(datetime) as int) as mes, count(*) as linhas,
+               cast(sum(cast(precipitacao_mm as decimal(18,2))) as double) as chuva
         from ({_SILVER}) s group by 1, 2
     """,
     "staging_views": f"""
-        select uf, count(*) as leituras, max(temperatura_c) as maxima
-        from ({_SILVER}) s where year(datetime) = 1998 group by 1
+        select uf, cast(year(datetime) as int) as ano, count(*) as leituras, max(temperatura_c) as maxima
+        from ({_SILVER}) s group by 1, 2
     """,
     "append_run_log": f"""
         select 'modelagem_gold' as etapa, min(ano) || '-' || max(ano) as ano, 'sucesso' as status,

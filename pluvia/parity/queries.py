@@ -41,6 +41,7 @@ from ..operators import (
 )
 from ..operators.quality import GOLD_RULES
 from ..plans import (
+    bronze_to_silver,
     mean_rain_by_region,
     mean_temperature_by_uf,
     parse_readings,
@@ -49,7 +50,6 @@ from ..plans import (
     silver_to_gold,
     stations_with_most_rain,
 )
-from ..plans.bronze_to_silver import deduplicated
 from ..schemas import DIM_DATE, DIM_STATION, FACT, MEASURE_HEADERS, RAIN_BY_REGION, SILVER_SCHEMA, TEMPERATURE_BY_UF
 from ..session import shared_dir
 from ..sources import (
@@ -59,8 +59,7 @@ from ..sources import (
     read_gold_table,
     read_silver,
     read_years,
-    rows_from_files,
-    rows_from_lines,
+    scan_station_files,
     staging_views,
     write_silver,
 )
@@ -423,27 +422,60 @@ _MEASURED = {
 }
 
 
-def _station_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(file, ano, number, line)``: the line items as station files, one per supplier and year."""
+def _station_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(ano, content)``: the line items as station files, one per supplier and year; some discounts are no numbers."""
     headers = {name: header for header, name in MEASURE_HEADERS.items()}
-    header = ";".join(["Data", "Hora UTC", *(headers[name] for name in _MEASURED), ""])
+    header = ";".join(["Data", "Hora UTC", *(headers[name] for name in _MEASURED), "Pedido", ""])
     day = F.replace(F.substring(F.col(TIME).cast("string"), 1, 10), F.lit("-"), F.lit("/"))
     hour = F.concat(F.lpad(F.col("l_linenumber").cast("string"), 2, "0"), F.lit("00 UTC"))
-    year = F.year(TIME).alias("ano")
-    file = F.concat_ws("/", F.col(STATION), F.col("ano")).alias("file")
-    cells = [day, hour, *map(_with_comma, _MEASURED.values()), F.lit("")]
-    rows = (
+    measured = {name: _with_comma(column) for name, column in _MEASURED.items()}
+    measured["pressao_mb"] = F.when(F.expr(_UNREADABLE), "não lido").otherwise(measured["pressao_mb"])
+    cells = [day, hour, *measured.values(), F.col("l_orderkey").cast("string"), F.lit("")]
+    # A station-year is about a megabyte: as much as one row of a file's text may hold.
+    years = (
         _lineitem(spark, sf_dir)
-        .select(year, STATION, F.concat_ws(";", *cells).alias("line"))
-        .select(file, "ano", F.lit(None).cast("int").alias("number"), "line")
-    )
-    heads = (
-        _lineitem(spark, sf_dir).select(STATION, year).distinct()
+        .groupBy(F.year(TIME).alias("ano"), STATION)
+        .agg(F.collect_list(F.concat_ws(";", *cells)).alias("rows"))
         .join(_stations(spark, sf_dir), STATION)
-        .select(file, "ano", F.posexplode(_metadata_lines(F.lit(header))).alias("number", "line"))
-        .withColumn("number", F.col("number") + 1)
     )
-    return heads.unionByName(rows)
+    lines = F.concat(_metadata_lines(F.lit(header)), F.col("rows"))
+    return years.select("ano", F.array_join(lines, "\r\n").alias("content"))
+
+
+def _raw(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the station files, written as they come: Latin-1, one file each, a folder per year."""
+
+    def build(path: str) -> None:
+        # Bytes in the form of a string: the writer of texts passes them on.
+        latin = F.encode("content", "ISO-8859-1").cast("string").alias("value")
+        files = _station_files(spark, sf_dir)
+        for year in _landing_years(spark, sf_dir):
+            files.where(F.col("ano") == year).select(latin).write.option("maxRecordsPerFile", 1).text(f"{path}/{year}")
+
+    return _once(spark, sf_dir, "raw", build)
+
+
+def _landing_years(spark: SparkSession, sf_dir: str) -> list[int]:
+    years = _lineitem(spark, sf_dir).select(F.year(TIME).alias("ano")).where("ano is not null")
+    return [row.ano for row in available_years(years).collect()]
+
+
+_UNREADABLE = "l_linenumber = 4 and l_partkey % 5 = 0"
+#: Names that Spark gives the files it writes.
+_FILES = "part-*"
+
+
+def _raw_silver(spark: SparkSession, sf_dir: str) -> str:
+    """Silver as the job makes it of the files, with the job's counts beside it."""
+
+    def build(path: str) -> None:
+        years = _landing_years(spark, sf_dir)
+        counts = bronze_to_silver(spark, _raw(spark, sf_dir), path, years, f"{path}_log", glob=_FILES)
+        rows = [(year, found["linhas"], found["invalid_numbers"], found["invalid_times"]) for year, found in counts.items()]
+        names = "ano int, linhas bigint, invalid_numbers bigint, invalid_times bigint"
+        spark.createDataFrame(rows, names).write.parquet(f"{path}_counts")
+
+    return _once(spark, sf_dir, "silver-of-files", build)
 
 
 def _typed_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -498,46 +530,34 @@ def _written_gold(spark: SparkSession, sf_dir: str) -> str:
 
 
 @query("scan_station_files")
-def whole_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each event as the bytes of a small station file, read whole: decode, describe, explode, parse."""
-    text = F.col("ts").cast("string")
-    day = F.replace(F.substring(text, 1, 10), F.lit("-"), F.lit("/"))
-    hour = F.concat(F.substring(text, 12, 2), F.substring(text, 15, 2), F.lit(" UTC"))
-    headers = {name: header for header, name in MEASURE_HEADERS.items()}
-    head = ";".join(["Data", headers["temperatura_c"], headers["precipitacao_mm"], "Hora UTC", "Código", ""])
-    lines = _metadata_lines(
-        F.lit(head), F.concat_ws(";", day, F.lit(""), _with_comma("value"), hour, F.col("user_id"), F.lit(""))
-    )
-    files = _table(spark, sf_dir, "events").select(
-        "*",
-        F.lit("Região Sul").alias("regiao"),
-        F.col("event_type").alias("uf"),
-        F.col("props").alias("nome"),
-        F.col("event_id").alias(STATION),
-        F.lit(None).cast("double").alias("altitude"),
-    ).select(
-        F.col("event_id").cast("string").alias("file"),
-        F.year("ts").alias("ano"),
-        F.encode(F.concat(F.array_join(lines, "\r\n", ""), F.lit("\r\n")), "ISO-8859-1").alias("content"),
-    )
-    return parse_readings(rows_from_files(files)).select(
-        F.col("estacao_codigo").cast("bigint").alias("event_id"),
-        "regiao", "uf", "datetime", "ano", "precipitacao_mm", "temperatura_c", "latitude", "altitude",
-        F.col("extras")["Código"].cast("bigint").alias("user_id"),
-        "invalid_numbers", "invalid_times",
+def scanned_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of written station files: of some years read whole, of the others in ranges of bytes."""
+    raw, years = _raw(spark, sf_dir), _landing_years(spark, sf_dir)
+    whole = scan_station_files(spark, raw, years[::2], glob=_FILES)
+    parts = scan_station_files(spark, raw, years[1::2], limit=0, glob=_FILES)
+    return parse_readings(whole.unionByName(parts)).select(
+        "estacao_codigo", "estacao_nome", "uf", "regiao", "altitude", "datetime", "ano", *_MEASURED,
+        F.col("extras")["Pedido"].cast("bigint").alias("pedido"), "invalid_numbers", "invalid_times",
     )
 
 
 @query("bronze_to_silver")
 def files_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines -> metadata, binding, parsing, deduplication; not yet written."""
-    rows = rows_from_lines(_station_lines(spark, sf_dir))
-    return deduplicated(parse_readings(rows)).select(
+    """The table that the job makes of written station files."""
+    return read_silver(spark, _raw_silver(spark, sf_dir)).select(
         "estacao_codigo", "estacao_nome", "uf", "regiao", "altitude", "datetime", "ano",
-        *_MEASURED, "vento_direcao_gr", "invalid_numbers", "invalid_times",
+        *_MEASURED, "vento_direcao_gr", F.col("extras")["Pedido"].cast("bigint").alias("pedido"),
     )
 
 
+@query("bronze_to_silver_counts")
+def files_to_silver_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the job returns and logs per year: rows written, and unreadable texts, those of duplicates included."""
+    path = _raw_silver(spark, sf_dir)
+    log = read_run_log(spark, f"{path}_log").select(F.col("ano").cast("int"), "etapa", "status", F.col("linhas").alias("no_log"))
+    return spark.read.parquet(f"{path}_counts").join(log, "ano")
+
+
 @query("read_silver")
 def silver_table_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The written Silver table, read back for two years."""
@@ -559,6 +579,17 @@ def gold_rain_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("silver_to_gold")
+def gold_whole_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole written fact with the attributes of its stations."""
+    root = _written_gold(spark, sf_dir)
+    dim = read_gold_table(spark, root, DIM_STATION).select("estacao_codigo", "estacao_nome", "uf", "regiao")
+    fact = read_gold_table(spark, root, FACT).select(
+        "data", "datetime", "estacao_codigo", "temperatura_c", "precipitacao_mm", "pressao_mb", "umidade_pct", "ano", "mes"
+    )
+    return fact.join(dim, "estacao_codigo")
+
+
+@query("stations_with_most_rain_gold")
 def gold_top_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top-k over the written fact and station dimension."""
     root = _written_gold(spark, sf_dir)
@@ -569,14 +600,15 @@ def gold_top_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("write_fact")
 def refreshed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold built once and then refreshed for two of its years: months and their row counts."""
+    """Gold built once and then refreshed for two of its years: the months, their rows and what they add up to."""
 
     def build(path: str) -> None:
         for years in (None, [1996, 1998]):
             silver_to_gold(spark, _written_silver(spark, sf_dir), path, years)
 
     gold = _once(spark, sf_dir, "refreshed-gold", build)
-    return read_gold_fact(spark, gold).groupBy("ano", "mes").agg(F.count(F.lit(1)).alias("linhas"))
+    rain = F.sum(F.col("precipitacao_mm").cast("decimal(18,2)")).cast("double").alias("chuva")
+    return read_gold_fact(spark, gold).groupBy("ano", "mes").agg(F.count(F.lit(1)).alias("linhas"), rain)
 
 
 @query("staging_views")
@@ -585,10 +617,10 @@ def views(spark: SparkSession, sf_dir: str) -> DataFrame:
     dim, fact = staging_views(spark, _written_gold(spark, sf_dir))
     return spark.sql(
         f"""
-        select uf, count(*) as leituras, max(temperatura_c) as maxima
-        from {fact} join {dim} using (estacao_codigo) where ano = :ano group by uf
+        select uf, ano, count(*) as leituras, max(temperatura_c) as maxima
+        from {fact} join {dim} using (estacao_codigo) where ano >= :ano group by uf, ano
         """,
-        args={"ano": 1998},
+        args={"ano": 1992},
     )
 
 
