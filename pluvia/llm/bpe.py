@@ -6,7 +6,7 @@ each word contracts its pair of least rank, the leftmost of equal ones, until no
 the ids with the vocabulary and aggregates the bytes in order of position.
 
 DuckDB runs inside the task, with one thread and bounded memory.  A worker keeps the ids of the words it has met, up to
-a bound, so that a query gets new words only.  Recursion writes a row per position and step, half the square of a
+a bound of bytes, so that a query gets few words but new ones.  Recursion writes a row per position and step, half the square of a
 word's length: a word of more than ``LONG_WORD`` bytes is contracted by the same rule with a heap instead.
 
 Defined cases: null and empty texts have no ids and decode to nothing; special tokens in a text are ordinary text;
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import PieceEncoder
+from .tokens import PieceEncoder, Remembered, release_memory
 
 #: Bytes of a word beyond which recursion would write too many rows.
 LONG_WORD = 256
@@ -34,7 +34,7 @@ LONG_WORD = 256
 ROWS = 2048
 #: New words in a query, and ids decoded in one.
 QUERY_WORDS, DECODED_IDS = 40_000, 1 << 19
-MEMORY = "256MB"
+MEMORY = "128MB"
 
 CONTRACT = """
 WITH RECURSIVE step(word, pos, token, busy) AS (
@@ -69,8 +69,6 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class RecursiveBpe(PieceEncoder):
     """Ids by a rank file and a split pattern."""
 
-    remembered = 1_200_000
-
     def __init__(self, path: str, pattern: str):
         super().__init__()
         import duckdb
@@ -80,7 +78,7 @@ class RecursiveBpe(PieceEncoder):
         self.pattern = regex.compile(pattern)
         self.dtype = np.dtype("<u2" if max(self.ranks.values()) < 1 << 16 else "<u4")
         # Words without a space in front; a space and a word is what ``known`` has under the word.
-        self.words: dict[str, bytes] = {}
+        self.words = Remembered(self.remembered // 4)
         self.known_ids = np.zeros(max(self.ranks.values()) + 2, bool)
         self.known_ids[list(self.ranks.values())] = True
         self.bytes_ids = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
@@ -88,14 +86,15 @@ class RecursiveBpe(PieceEncoder):
             config={"threads": 1, "memory_limit": MEMORY, "temp_directory": tempfile.gettempdir()}
         )
         # Every way to put a token together from two tokens.
-        self.merges = {
-            (left, right): rank
+        merges = [
+            (left, right, rank)
             for token, rank in self.ranks.items()
             for cut in range(1, len(token))
             if (left := self.ranks.get(token[:cut])) is not None and (right := self.ranks.get(token[cut:])) is not None
-        }
-        lhs, rhs = zip(*self.merges) if self.merges else ((), ())
-        self._table("merges", lhs=lhs, rhs=rhs, merged=self.merges.values())
+        ]
+        lhs, rhs, merged = zip(*merges) if merges else ((), (), ())
+        self._table("merges", lhs=lhs, rhs=rhs, merged=merged)
+        self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.db.register(
             "vocabulary_rows",
             pa.table(
@@ -148,8 +147,9 @@ class RecursiveBpe(PieceEncoder):
         def offer(at):
             if at >= 0 and behind[at] >= 0:
                 pair = tokens[at], tokens[behind[at]]
-                if pair in self.merges:
-                    heapq.heappush(heap, (self.merges[pair], at, *pair))
+                merged = self.ranks.get(self.tokens[pair[0]] + self.tokens[pair[1]])
+                if merged is not None:
+                    heapq.heappush(heap, (merged, at, *pair))
 
         for at in range(len(tokens) - 1):
             offer(at)
@@ -165,7 +165,8 @@ class RecursiveBpe(PieceEncoder):
             offer(at)
         return np.array([token for token in tokens if token >= 0], np.int32)
 
-    def _learn_words(self, words: list[str]) -> None:
+    def _new_words(self, words: list[str]) -> list[bytes]:
+        """The ids of words that nobody remembers."""
         texts = [word.encode() for word in words]
         ids: list = list(map(self.ranks.get, texts))
         plain: list[int] = []
@@ -180,24 +181,27 @@ class RecursiveBpe(PieceEncoder):
             some = plain[at : at + QUERY_WORDS]
             for place, found in zip(some, self.contract([texts[i] for i in some])):
                 ids[place] = found
-        for word, found in zip(words, ids):
+        return ids
+
+    def _word_ids(self, words: list[str]) -> dict[str, bytes]:
+        spaced, other = [w for w in words if w[0] == " "], [w for w in words if w[0] != " "]
+        ids = dict(zip(spaced, self.known.look([w[1:] for w in spaced]))) | dict(zip(other, self.words.look(other)))
+        new = [word for word, known in ids.items() if known is None]
+        for word, found in zip(new, self._new_words(new)):
+            ids[word] = found
             if word[0] == " ":
-                self.known[word[1:]] = found
+                self.known.keep(word[1:], found)
             else:
-                self.words[word] = found
+                self.words.keep(word, found)
+        return ids
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         # A space and ASCII letters are one word by any usual split pattern; the pattern decides about the rest.
         one = [text.isascii() and text[:1] == " " and text[1:].isalpha() for text in texts]
         found = [[text] if single else self.pattern.findall(text) for text, single in zip(texts, one)]
-        met = set(chain.from_iterable(found))
-        for held in (self.known, self.words):
-            if len(held) + len(met) > self.remembered:
-                held.clear()
-        known, other = self.known, self.words
-        self._learn_words([w for w in met if (w[1:] not in known if w[0] == " " else w not in other)])
+        ids = self._word_ids(list(set(chain.from_iterable(found))))
         return [
-            known[text[1:]] if single else b"".join([known[w[1:]] if w[0] == " " else other[w] for w in words])
+            ids[text] if single else b"".join([ids[word] for word in words])
             for text, single, words in zip(texts, one, found)
         ]
 
@@ -267,6 +271,8 @@ def round_trip(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id"
                     pa.array(tool.decode(ids, counts), pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids", "decoded"])
+                del some, ids, counts, columns
+                release_memory()
 
     chosen = docs.select(F.col(id_col).cast("long"), F.col(text))
     return chosen.mapInArrow(apply, "doc_id long, n_tokens long, ids binary, decoded binary")

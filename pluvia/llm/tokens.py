@@ -2,12 +2,13 @@
 
 A byte-level vocabulary with the usual pre-tokeniser never joins a token across a space that is followed by a visible
 character, nor lets what stands before such a space change what follows.  Texts are cut there, every distinct piece is
-encoded once for as long as the worker remembers it, and the ids of a text are those of its pieces one after the other.
+encoded once for as long as the worker remembers it (in bounded memory, see ``Remembered``), and the ids of a text are those of its pieces one after the other.
 ``tests/llm`` compares this with the libraries' answers for whole texts.
 """
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 
@@ -23,33 +24,73 @@ _CUT = re.compile(r" (?=\S)")
 _KEPT_SPACE = re.compile(r" (?!\S)")
 
 
+def release_memory() -> None:
+    """Give back what Arrow and the C library hold for later: a worker outlives its task and stands beside others."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+class Remembered:
+    """Ids of words in two generations of bounded bytes: a word met again moves to the young one, the old one is forgotten.
+
+    So frequent words stay and memory is bounded by bytes, whatever the words; very long ones are not kept at all.
+    """
+
+    #: Bytes that an entry takes beside its texts: two objects and their place in the table.
+    ENTRY = 200
+    LONGEST = 64
+
+    def __init__(self, most: int):
+        self.half, self.size = most // 2, 0
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def look(self, words: list[str]) -> list[bytes | None]:
+        found = list(map(self.young.get, words))
+        if self.old:
+            old = self.old
+            for i in [i for i, ids in enumerate(found) if ids is None]:
+                if (ids := old.get(words[i])) is not None:
+                    found[i] = ids
+                    self.keep(words[i], ids)
+        return found
+
+    def keep(self, word: str, ids: bytes) -> None:
+        if len(word) > self.LONGEST or word in self.young:
+            return
+        if self.size > self.half:
+            self.old, self.young, self.size = self.young, {}, 0
+        self.young[word] = ids
+        self.size += self.ENTRY + len(word) + len(ids)
+
+
 class PieceEncoder:
     """Cuts texts, looks the pieces up and puts their ids together; subclasses know the ids of a piece."""
 
     dtype = np.dtype("<u4")
-    #: Pieces a worker remembers; beyond that it forgets them all, which costs time only.
-    remembered = 500_000
+    #: Bytes for the pieces a worker remembers.
+    remembered = 96 << 20
 
     def __init__(self) -> None:
-        self.known: dict[str, bytes] = {}  # piece -> ids of a space and the piece
+        self.known = Remembered(self.remembered)  # piece -> ids of a space and the piece
         self.whole: re.Pattern | None = None  # texts that hold it are encoded uncut
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         raise NotImplementedError
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Remember the ids of a space followed by each piece."""
-        self.known.update(zip(pieces, self._ids([" " + piece for piece in pieces])))
+    def _learn(self, pieces: list[str]) -> list[bytes]:
+        """The ids of a space followed by each piece."""
+        return self._ids([" " + piece for piece in pieces])
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
-        found = list(map(self.known.get, pieces))
+        found = self.known.look(pieces)
         unknown = [i for i, ids in enumerate(found) if ids is None]
-        if len(self.known) + len(unknown) > self.remembered:
-            self.known.clear()
         if unknown:
-            self._learn([pieces[i] for i in unknown])
-            for i in unknown:
-                found[i] = self.known[pieces[i]]
+            new = [pieces[i] for i in unknown]
+            for i, piece, ids in zip(unknown, new, self._learn(new)):
+                found[i] = ids
+                self.known.keep(piece, ids)
         return found
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -123,18 +164,23 @@ class Encoder(PieceEncoder):
         encodings = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(encoding.ids, self.dtype).tobytes() for encoding in encodings]
 
-    def _learn(self, pieces: list[str]) -> None:
-        plain = [piece for piece in pieces if piece.split() == [piece]]
+    def _learn(self, pieces: list[str]) -> list[bytes]:
+        plain = [i for i, piece in enumerate(pieces) if piece.split() == [piece]]
+        found: list[bytes | None] = [None] * len(pieces)
         if len(self.newline) == 1 and plain:
             # One call for all: lines of one piece each, told apart by the id of the line break.
-            lines = self.tokenizer.encode_batch_fast([" " + "\n ".join(plain) + "\n"], add_special_tokens=False)
-            ids = np.array(lines[0].ids, self.dtype)
+            line = " " + "\n ".join([pieces[i] for i in plain]) + "\n"
+            ids = np.array(self.tokenizer.encode_batch_fast([line], add_special_tokens=False)[0].ids, self.dtype)
             ends = np.flatnonzero(ids == self.newline[0])
             if len(ends) == len(plain):
                 data, stops = ids.tobytes(), ends * self.dtype.itemsize
                 starts = np.concatenate(([0], stops[:-1] + self.dtype.itemsize))
-                self.known.update(zip(plain, (data[i:j] for i, j in zip(starts.tolist(), stops.tolist()))))
-        super()._learn([piece for piece in pieces if piece not in self.known])
+                for i, start, stop in zip(plain, starts.tolist(), stops.tolist()):
+                    found[i] = data[start:stop]
+        rest = [i for i, ids in enumerate(found) if ids is None]
+        for i, ids in zip(rest, super()._learn([pieces[i] for i in rest])):
+            found[i] = ids
+        return found
 
 
 _encoders: dict[tuple[str, bool], Encoder] = {}
