@@ -187,12 +187,10 @@ class RecursiveBpe(PieceEncoder):
         spaced, other = [w for w in words if w[0] == " "], [w for w in words if w[0] != " "]
         ids = dict(zip(spaced, self.known.look([w[1:] for w in spaced]))) | dict(zip(other, self.words.look(other)))
         new = [word for word, known in ids.items() if known is None]
-        for word, found in zip(new, self._new_words(new)):
-            ids[word] = found
-            if word[0] == " ":
-                self.known.keep(word[1:], found)
-            else:
-                self.words.keep(word, found)
+        ids.update(zip(new, self._new_words(new)))
+        spaced, other = [w for w in new if w[0] == " "], [w for w in new if w[0] != " "]
+        self.known.keep([w[1:] for w in spaced], [ids[w] for w in spaced])
+        self.words.keep(other, [ids[w] for w in other])
         return ids
 
     def _ids(self, texts: list[str]) -> list[bytes]:
@@ -271,8 +269,7 @@ def round_trip(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id"
                     pa.array(tool.decode(ids, counts), pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids", "decoded"])
-                del some, ids, counts, columns
-                release_memory()
+        release_memory()
 
     chosen = docs.select(F.col(id_col).cast("long"), F.col(text))
     return chosen.mapInArrow(apply, "doc_id long, n_tokens long, ids binary, decoded binary")

@@ -49,20 +49,24 @@ class Remembered:
     def look(self, words: list[str]) -> list[bytes | None]:
         found = list(map(self.young.get, words))
         if self.old:
-            old = self.old
-            for i in [i for i, ids in enumerate(found) if ids is None]:
-                if (ids := old.get(words[i])) is not None:
-                    found[i] = ids
-                    self.keep(words[i], ids)
+            missing = [i for i, ids in enumerate(found) if ids is None]
+            again = list(map(self.old.get, [words[i] for i in missing]))
+            for i, ids in zip(missing, again):
+                found[i] = ids
+            self.keep([words[i] for i, ids in zip(missing, again) if ids is not None], [ids for ids in again if ids is not None])
         return found
 
-    def keep(self, word: str, ids: bytes) -> None:
-        if len(word) > self.LONGEST or word in self.young:
-            return
+    def keep(self, words: list[str], ids: list[bytes]) -> None:
+        """Remember words that ``look`` did not find among the young."""
+        if any(len(word) > self.LONGEST for word in words):
+            short = [i for i, word in enumerate(words) if len(word) <= self.LONGEST]
+            words, ids = [words[i] for i in short], [ids[i] for i in short]
         if self.size > self.half:
             self.old, self.young, self.size = self.young, {}, 0
-        self.young[word] = ids
-        self.size += self.ENTRY + len(word) + len(ids)
+        before = len(self.young)
+        self.young.update(zip(words, ids))
+        each = self.ENTRY + (sum(map(len, words)) + sum(map(len, ids))) // max(1, len(words))
+        self.size += each * (len(self.young) - before)
 
 
 class PieceEncoder:
@@ -70,7 +74,7 @@ class PieceEncoder:
 
     dtype = np.dtype("<u4")
     #: Bytes for the pieces a worker remembers.
-    remembered = 96 << 20
+    remembered = 128 << 20
 
     def __init__(self) -> None:
         self.known = Remembered(self.remembered)  # piece -> ids of a space and the piece
@@ -88,9 +92,10 @@ class PieceEncoder:
         unknown = [i for i, ids in enumerate(found) if ids is None]
         if unknown:
             new = [pieces[i] for i in unknown]
-            for i, piece, ids in zip(unknown, new, self._learn(new)):
+            learnt = self._learn(new)
+            for i, ids in zip(unknown, learnt):
                 found[i] = ids
-                self.known.keep(piece, ids)
+            self.known.keep(new, learnt)
         return found
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
