@@ -1,8 +1,8 @@
 """Byte-level BPE encoding and decoding by recursive DuckDB queries in each partition.
 
 Every match of the split pattern is a word.  A word that is a token gets its rank.  Any other starts as rows (word,
-position, byte token); in each step of a recursive query the rows join the table of merges with their neighbours, and
-each word contracts its pair of least rank, the leftmost of equal ones, until no pair can be merged.  Decoding joins
+position, byte token, position of the neighbour after it); in each step of a recursive query the rows join their
+neighbours and the table of merges, and each word contracts its pair of least rank, the leftmost of equal ones, until no pair can be merged.  Decoding joins
 the ids with the vocabulary and aggregates the bytes in order of position.
 
 DuckDB runs inside the task, with one thread and bounded memory.  A worker keeps the ids of the words it has met, up to
@@ -37,21 +37,17 @@ QUERY_WORDS, DECODED_IDS = 40_000, 1 << 19
 MEMORY = "128MB"
 
 CONTRACT = """
-WITH RECURSIVE step(word, pos, token, busy) AS (
-  SELECT word, pos, token, true FROM start_rows
+WITH RECURSIVE step(word, pos, token, after, busy) AS (
+  SELECT word, pos, token, after, true FROM start_rows
   UNION ALL
-  SELECT word, pos, CASE WHEN pos = best_pos THEN (best >> 40)::INTEGER ELSE token END, best IS NOT NULL
-  FROM (
-    SELECT word, pos, token, best, (best >> 20) & 1048575 AS best_pos, best & 1048575 AS gone
-    FROM (
-      SELECT *, min(key) OVER (PARTITION BY word) AS best
-      FROM (
-        SELECT p.word, p.pos, p.token, (m.merged::BIGINT << 40) | (p.pos::BIGINT << 20) | p.next_pos AS key
-        FROM (
-          SELECT word, pos, token, lead(token) OVER o AS next_token, lead(pos) OVER o AS next_pos
-          FROM step WHERE busy WINDOW o AS (PARTITION BY word ORDER BY pos)) p
-        LEFT JOIN merges m ON m.lhs = p.token AND m.rhs = p.next_token)))
-  WHERE best IS NULL OR pos <> gone)
+  (WITH pairs AS (
+     SELECT l.word, r.after, (m.merged::BIGINT << 40) | (l.pos::BIGINT << 20) | l.after AS key
+     FROM step l JOIN step r ON r.word = l.word AND r.pos = l.after JOIN merges m ON m.lhs = l.token AND m.rhs = r.token
+     WHERE l.busy AND r.busy),
+   best AS (SELECT word, min(key) AS key, arg_min(after, key) AS after FROM pairs GROUP BY word)
+   SELECT s.word, s.pos, CASE WHEN s.pos = (b.key >> 20) & 1048575 THEN (b.key >> 40)::INTEGER ELSE s.token END,
+     CASE WHEN s.pos = (b.key >> 20) & 1048575 THEN b.after ELSE s.after END, b.key IS NOT NULL
+   FROM step s LEFT JOIN best b ON b.word = s.word WHERE s.busy AND (b.key IS NULL OR s.pos <> b.key & 1048575)))
 SELECT word, token FROM step WHERE NOT busy ORDER BY word, pos
 """
 
@@ -124,11 +120,13 @@ class RecursiveBpe(PieceEncoder):
         lengths = np.array([len(word) for word in words])
         number = np.repeat(np.arange(len(words)), lengths)
         place = np.arange(len(number)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        after = np.where(place + 1 < lengths[number], place + 1, -1)
         rows = pa.table(
             {
                 "word": pa.array(number, pa.int32()),
                 "pos": pa.array(place, pa.int32()),
                 "token": pa.array(self.bytes_ids[np.frombuffer(b"".join(words), np.uint8)], pa.int32()),
+                "after": pa.array(after, pa.int32()),
             }
         )
         found = self._query("start_rows", rows, CONTRACT)
