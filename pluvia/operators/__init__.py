@@ -23,6 +23,7 @@ from .quality import (
     not_null,
     quality_report,
     unique,
+    value_counts,
 )
 from .rollup import monthly_state, state_dates, state_mean
 from .star import dim_date, dim_station, distinct_dates, project_fact, project_station
@@ -60,4 +61,5 @@ __all__ = [
     "union_by_name",
     "unique",
     "unknown_headers",
+    "value_counts",
 ]

@@ -1,8 +1,8 @@
-"""Declarative column checks."""
+"""Declarative column checks, and counts of rows and values, in one scan of a table."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -81,32 +81,76 @@ def check_accepted_range(df: DataFrame, column: str, low: float, high: float) ->
     return df.agg(_failing_rows(accepted_range(column, low, high)).alias("failures"))
 
 
-def quality_report(df: DataFrame, rules: Sequence[Rule], table: str = "") -> DataFrame:
-    """``(table, column, check, severity, failures, passed)``, one row per rule.
+def _grouped_once(df: DataFrame, sets: Sequence[Sequence[str]], *totals: Column) -> DataFrame:
+    """One row per value of each of ``sets`` of columns (``_set`` is its number), with ``_rows`` and the totals.
 
-    All row-wise rules share one pass over the table; each ``unique`` rule needs a grouping of its own.
+    The empty set is the whole table.  Grouping sets make a thin copy of each row per set, all in one scan, and what is
+    grouped is added up before the shuffle.
     """
-    def labelled(rule: Rule, failures: Column) -> list[Column]:
-        return [
+    columns = list(dict.fromkeys(name for names in sets for name in names))
+    rows = F.count(F.lit(1)).alias("_rows")
+    if not columns:
+        return df.agg(rows, *totals).select(F.lit(0).alias("_set"), "*")
+    grouped = df.groupingSets([[F.col(c) for c in names] for names in sets], *map(F.col, columns))
+    # Which columns a set lacks, as bits, says which set a row belongs to.
+    def bits(names: Sequence[str]) -> int:
+        return int("".join("0" if column in names else "1" for column in columns), 2)
+
+    found = grouped.agg(F.grouping_id().alias("_missing"), rows, *totals)
+    number = reduce(lambda rest, i: F.when(F.col("_missing") == bits(sets[i]), i).otherwise(rest), range(len(sets)), F.lit(None))
+    return found.withColumn("_set", number)
+
+
+def quality_report(df: DataFrame, rules: Sequence[Rule], table: str = "") -> DataFrame:
+    """``(table, column, check, severity, failures, passed)``, one row per rule; all rules share one scan."""
+    keys = list(dict.fromkeys(tuple(sorted(rule.columns)) for rule in rules if rule.check == "unique"))
+    sets = [(), *keys]
+    row_wise = {rule: f"_f{i}" for i, rule in enumerate(rules) if rule.check != "unique"}
+    grouped = _grouped_once(df, sets, *(_failing_rows(rule).alias(name) for rule, name in row_wise.items()))
+
+    def repeated(columns: tuple[str, ...]) -> Column:
+        """Values that occur more than once, among those without a NULL."""
+        whole = reduce(lambda found, name: found & F.col(name).isNotNull(), columns, F.col("_rows") > 1)
+        return F.count_if(whole & (F.col("_set") == sets.index(columns)))
+
+    names = [f"f{i}" for i in range(len(rules))]
+    failures = [
+        repeated(tuple(sorted(rule.columns))) if rule.check == "unique"
+        else F.coalesce(F.sum(F.when(F.col("_set") == 0, F.col(row_wise[rule]))), F.lit(0))
+        for rule in rules
+    ]
+    totals = grouped.agg(*(value.alias(name) for value, name in zip(failures, names)))
+    records = [
+        F.struct(
             F.lit(table).alias("table"),
             F.lit(rule.column).alias("column"),
             F.lit(rule.check).alias("check"),
             F.lit(rule.severity).alias("severity"),
-            failures.alias("failures"),
-            (failures == 0).alias("passed"),
-        ]
-
-    parts = [
-        check_unique(df, *rule.columns).select(*labelled(rule, F.col("failures")))
-        for rule in rules
-        if rule.check == "unique"
+            F.col(name).alias("failures"),
+            (F.col(name) == 0).alias("passed"),
+        )
+        for rule, name in zip(rules, names)
     ]
-    row_wise = [rule for rule in rules if rule.check != "unique"]
-    if row_wise:
-        totals = df.agg(*[_failing_rows(rule).alias(f"f{i}") for i, rule in enumerate(row_wise)])
-        records = [F.struct(*labelled(rule, F.col(f"f{i}"))) for i, rule in enumerate(row_wise)]
-        parts.append(totals.select(F.inline(F.array(*records))))
-    return reduce(DataFrame.unionByName, parts)
+    return totals.select(F.inline(F.array(*records)))
+
+
+def value_counts(
+    df: DataFrame, tables: Mapping[str, Sequence[str]], table: str = "tabela", rows: str = "linhas"
+) -> DataFrame:
+    """Per name the number of distinct values of its columns in ``df``, or of rows where it has none; in one scan.
+
+    What ``row_counts`` gives for tables that are each the distinct values of some columns of one frame; a value may be NULL.
+    """
+    sets = list(dict.fromkeys([(), *(tuple(sorted(columns)) for columns in tables.values())]))
+    grouped = _grouped_once(df, sets)
+    counts = {
+        name: F.count_if(F.col("_set") == sets.index(tuple(sorted(columns)))) if columns
+        else F.coalesce(F.sum(F.when(F.col("_set") == 0, F.col("_rows"))), F.lit(0))
+        for name, columns in tables.items()
+    }
+    totals = grouped.agg(*(count.alias(f"n{i}") for i, count in enumerate(counts.values())))
+    records = [F.struct(F.lit(name).alias(table), F.col(f"n{i}").alias(rows)) for i, name in enumerate(counts)]
+    return totals.select(F.inline(F.array(*records)))
 
 
 def enforce(report: DataFrame) -> DataFrame:

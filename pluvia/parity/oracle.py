@@ -164,6 +164,11 @@ ORACLE: dict[str, str] = {
         union all select 'dim_date', count(distinct cast(l_shipdate as date)) from lineitem
         union all select 'fact', count(*) from lineitem
     """,
+    "row_counts_tables": """
+        select 'dim_station' as tabela, count(distinct l_suppkey) as linhas from lineitem
+        union all select 'dim_date', count(distinct cast(l_shipdate as date)) from lineitem
+        union all select 'fact', count(*) from lineitem
+    """,
     "run_summary": """
         select event_type as etapa, case when user_id % 7 = 0 then 'falha' else 'sucesso' end as status,
                count(*) as runs, cast(sum(event_id) as bigint) as linhas, max(ts) as fim,

@@ -2,22 +2,20 @@
 
 from __future__ import annotations
 
-import threading
+import json
+import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import FAILURE, RUN_LOG_SCHEMA, SUCCESS
+from ..sources.publishing import Folder
 from ..sources.tables import read_or_empty
 
-# ISO 8601 with microseconds and a numeric offset.
-_one_at_a_time = threading.Lock()  # two appends to a folder would remove each other's drafts
-_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
-
 
 @dataclass(frozen=True)
 class Span:
@@ -28,7 +26,7 @@ class Span:
 
     @property
     def seconds(self) -> float:
-        return (self.end - self.begin) / timedelta(seconds=1)
+        return (self.end - self.begin).total_seconds()
 
 
 @dataclass
@@ -54,13 +52,18 @@ def append_run_log(
     span: Span | None = None,
     erro: str | None = None,
 ) -> DataFrame:
-    """Append one record to the log folder and return it.  Without a ``span`` only its end is known: now."""
+    """Append one record to the log folder and return it.  Without a ``span`` only its end is known: now.
+
+    A record is a file of its own, whole or absent, under a name no other run gives.  Any number of drivers and threads may
+    append to one folder, and no Spark job is run for it.
+    """
     times = (span.begin, span.end, span.seconds) if span else (None, datetime.now(timezone.utc), None)
-    record = spark.createDataFrame([(etapa, str(ano), status, linhas, *times, erro)], RUN_LOG_SCHEMA).coalesce(1)
-    writer = record.write.mode("append").option("ignoreNullFields", "false")
-    with _one_at_a_time:
-        writer.option("timestampFormat", _TIMESTAMP_FORMAT).json(log_dir)
-    return record
+    values = (etapa, str(ano), status, linhas, *times, erro)
+    texts = [value.isoformat(timespec="microseconds") if isinstance(value, datetime) else value for value in values]
+    line = json.dumps(dict(zip(RUN_LOG_SCHEMA.names, texts)), ensure_ascii=False)
+    name = f"{times[1].astimezone(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex}.json"
+    Folder(spark, log_dir).write(name, line + "\n")
+    return spark.createDataFrame([values], RUN_LOG_SCHEMA)
 
 
 @contextmanager
