@@ -16,7 +16,7 @@ budget; empty tables give empty results.  Columns of the input other than those
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, count_words, row_key, whole_row, written
@@ -155,11 +155,17 @@ def mix(
     )
 
 
-def take_copies(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` as often as ``mixed`` takes them, with the columns of ``docs``."""
-    copies = mixed.groupBy(F.col("row_key").alias("mix_key")).agg(F.max("copies").alias("mix_copies"))
+def take_copies(
+    docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source"
+) -> DataFrame:
+    """The rows of ``docs`` as often as ``mixed`` takes them from their source, with the columns of ``docs``."""
+
+    def key(row: Column, origin: str) -> Column:
+        return F.concat(row, F.coalesce(F.concat(F.lit("="), F.col(origin)), F.lit(""))).alias("mix_key")
+
+    copies = mixed.groupBy(key(F.col("row_key"), "source")).agg(F.max("copies").alias("mix_copies"))
     return (
-        docs.select(whole_row(docs).alias("mix_row"), row_key(id_col, text).alias("mix_key"))
+        docs.select(whole_row(docs).alias("mix_row"), key(row_key(id_col, text), source))
         .join(copies.where("mix_copies > 0"), "mix_key")
         .select("mix_row", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))).alias("mix_copy"))
         .select("mix_row.*")

@@ -271,3 +271,13 @@ def test_empty_tables(spark, empty):
     draws = mixing.with_quality(mixing.with_draws(empty), cases.labels(spark).limit(0))
     assert mixing.take_copies(empty, mixing.mix(draws)).count() == 0
     assert winnowing.compare_with_next(empty).count() == 0
+
+
+def test_copies_are_taken_by_source(spark):
+    """One id and text in two sources: each source takes its own number of copies."""
+    docs = cases.documents(spark, [(1, "the same text", "a"), (1, "the same text", "b"), (1, "the same text", None)])
+    mixed = spark.createDataFrame(
+        [(source, copies) for source, copies in (("a", 3), ("b", 1), (None, 2))], "source string, copies long"
+    ).withColumn("row_key", F.lit(hashlib.md5(f"1|{hashlib.md5(b'the same text').hexdigest()}".encode()).hexdigest()))
+    taken = mixing.take_copies(docs, mixed).groupBy("source").count()
+    assert cases.as_tuples(taken) == [("a", 3), ("b", 1), (None, 2)]
