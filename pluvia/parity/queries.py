@@ -451,35 +451,35 @@ def _station_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return years.select("ano", F.array_join(lines, "\r\n").alias("content"))
 
 
-def _raw(spark: SparkSession, sf_dir: str) -> str:
+def raw_files(spark: SparkSession, sf_dir: str) -> str:
     """Folder of the station files, written as they come: Latin-1, one file each, a folder per year."""
 
     def build(path: str) -> None:
         # Bytes in the form of a string: the writer of texts passes them on.
         latin = F.encode("content", "ISO-8859-1").cast("string").alias("value")
         files = _station_files(spark, sf_dir)
-        for year in _landing_years(spark, sf_dir):
+        for year in landing_years(spark, sf_dir):
             files.where(F.col("ano") == year).select(latin).write.option("maxRecordsPerFile", 1).text(f"{path}/{year}")
 
     return _once(spark, sf_dir, "raw", build)
 
 
-def _landing_years(spark: SparkSession, sf_dir: str) -> list[int]:
+def landing_years(spark: SparkSession, sf_dir: str) -> list[int]:
     years = _lineitem(spark, sf_dir).select(F.year(TIME).alias("ano")).where("ano is not null")
     return [row.ano for row in available_years(years).collect()]
 
 
 _UNREADABLE = "l_linenumber = 4 and l_partkey % 5 = 0"
 #: Names that Spark gives the files it writes.
-_FILES = "part-*"
+FILES = "part-*"
 
 
-def _raw_silver(spark: SparkSession, sf_dir: str) -> str:
+def silver_of_files(spark: SparkSession, sf_dir: str) -> str:
     """Silver as the job makes it of the files, with the job's counts beside it."""
 
     def build(path: str) -> None:
-        years = _landing_years(spark, sf_dir)
-        counts = bronze_to_silver(spark, _raw(spark, sf_dir), path, years, f"{path}_log", glob=_FILES)
+        years = landing_years(spark, sf_dir)
+        counts = bronze_to_silver(spark, raw_files(spark, sf_dir), path, years, f"{path}_log", glob=FILES)
         rows = [(year, found["linhas"], found["invalid_numbers"], found["invalid_times"]) for year, found in counts.items()]
         names = "ano int, linhas bigint, invalid_numbers bigint, invalid_times bigint"
         spark.createDataFrame(rows, names).write.parquet(f"{path}_counts")
@@ -541,9 +541,9 @@ def _written_gold(spark: SparkSession, sf_dir: str) -> str:
 @query("scan_station_files")
 def scanned_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of written station files: of some years read whole, of the others in ranges of bytes."""
-    raw, years = _raw(spark, sf_dir), _landing_years(spark, sf_dir)
-    whole = scan_station_files(spark, raw, years[::2], glob=_FILES)
-    parts = scan_station_files(spark, raw, years[1::2], limit=0, glob=_FILES)
+    raw, years = raw_files(spark, sf_dir), landing_years(spark, sf_dir)
+    whole = scan_station_files(spark, raw, years[::2], glob=FILES)
+    parts = scan_station_files(spark, raw, years[1::2], limit=0, glob=FILES)
     return parse_readings(whole.unionByName(parts)).select(
         "estacao_codigo", "estacao_nome", "uf", "regiao", "altitude", "datetime", "ano", *_MEASURED,
         F.col("extras")["Pedido"].cast("bigint").alias("pedido"), "invalid_numbers", "invalid_times",
@@ -553,7 +553,7 @@ def scanned_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("bronze_to_silver")
 def files_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table that the job makes of written station files."""
-    return read_silver(spark, _raw_silver(spark, sf_dir)).select(
+    return read_silver(spark, silver_of_files(spark, sf_dir)).select(
         "estacao_codigo", "estacao_nome", "uf", "regiao", "altitude", "datetime", "ano",
         *_MEASURED, "vento_direcao_gr", F.col("extras")["Pedido"].cast("bigint").alias("pedido"),
     )
@@ -562,7 +562,7 @@ def files_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("bronze_to_silver_counts")
 def files_to_silver_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the job returns and logs per year: rows written, and unreadable texts, those of duplicates included."""
-    path = _raw_silver(spark, sf_dir)
+    path = silver_of_files(spark, sf_dir)
     log = read_run_log(spark, f"{path}_log").select(F.col("ano").cast("int"), "etapa", "status", F.col("linhas").alias("no_log"))
     return spark.read.parquet(f"{path}_counts").join(log, "ano")
 
