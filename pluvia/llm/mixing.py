@@ -9,9 +9,10 @@ summed with partial aggregates, and only the one bucket in which the budget ends
 all rows is therefore never gathered in one task.  What is windowed whole has one row per source, or per source and bucket.
 
 Defined cases: a null text has size 0; a null source is a source of its own, ranked last; a document without a quality
-weight, or with one that is not positive, weighs ``default_quality``; rows that agree in id and text are taken together
-(their draws agree, so that reruns do); the document in which a budget ends is taken if that comes nearer to the
-budget; empty tables give empty results.  Columns of the input other than those named are not looked at.
+weight, or with one that is not positive, weighs ``default_quality``; the document in which a budget ends is taken if
+that comes nearer to the budget; rows that agree in id, text and source draw one key, and where a budget ends among them
+as many are taken as come nearest to it, which of them being all one, so that reruns agree; empty tables give empty
+results.  Columns of the input other than those named are not looked at.
 """
 
 from __future__ import annotations
@@ -76,6 +77,29 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.0, max_ep
     )
 
 
+def nth_copy(rows: DataFrame) -> DataFrame:
+    """(of, copy, n) -> (of, nth): the n-th smallest ``copy`` of each group ``of``, for n from 1 on.
+
+    ``copy`` comes from a written ``monotonically_increasing_id``: its upper bits name the task that gave it, so the rows
+    of a group are counted by task first, and only those of the one task in which the n-th falls are numbered.
+    """
+    rows = rows.withColumn("task", F.shiftright("copy", 33))
+    before = Window.partitionBy("of").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    places = (
+        rows.groupBy("of", "task", "n")
+        .agg(F.count("*").alias("held"))
+        .withColumn("place", F.col("n") - F.coalesce(F.sum("held").over(before), F.lit(0)))
+        .where("place between 1 and held")
+        .select(F.col("of").alias("place_of"), F.col("task").alias("place_task"), "place")
+    )
+    return (
+        rows.join(places, F.col("of").eqNullSafe(F.col("place_of")) & (F.col("task") == F.col("place_task")))
+        .withColumn("number", F.row_number().over(Window.partitionBy("of").orderBy("copy")))
+        .where("number = place")
+        .select("of", F.col("copy").alias("nth"))
+    )
+
+
 def mix(
     draws: DataFrame,
     weights=WEIGHTS,
@@ -89,7 +113,7 @@ def mix(
     keyed = draws.withColumn("key", -F.ln("u") / quality).withColumn(
         "bucket", F.least(F.lit(buckets - 1), F.floor(-F.expm1(-F.col("key")) * buckets)).cast("int")
     )
-    keyed = written(keyed.drop("u", "quality"), "mix-draws")
+    keyed = written(keyed.drop("u", "quality").withColumn("copy", F.monotonically_increasing_id()), "mix-draws")
 
     sums = keyed.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     targets = source_targets(
@@ -108,22 +132,40 @@ def mix(
         .where((F.col("rest") > F.col("start")) & (F.col("rest") <= F.col("start") + F.col("words")))
         .select(F.col("s").alias("end_source"), F.col("bucket").alias("end_bucket"), "start", "rest")
     )
-    # Inside it, the last document that still brings the sum nearer to the rest.
-    peers = Window.partitionBy("source").orderBy("key", "row_key")
-    cuts = (
-        keyed.join(ends, F.col("source").eqNullSafe(F.col("end_source")) & (F.col("bucket") == F.col("end_bucket")))
-        .withColumn("upto", F.col("start") + F.sum("size").over(peers))
-        .withColumn("own", F.sum("size").over(Window.partitionBy("source", "key", "row_key")))
-        .where(F.col("upto") - F.col("rest") <= F.col("rest") - (F.col("upto") - F.col("own")))
-        .groupBy("source")
-        .agg(F.max(F.struct("key", "row_key")).alias("cut"))
+    # Inside it, the repeated rows among which it ends (one row, as a rule), and how many of them come nearest to it.
+    ahead = Window.partitionBy("source").orderBy("key", "row_key").rowsBetween(Window.unboundedPreceding, -1)
+    here = F.col("source").eqNullSafe(F.col("end_source")) & (F.col("bucket") == F.col("end_bucket"))
+    last = written(
+        keyed.join(ends, here)
+        .groupBy("source", "bucket", "key", "row_key", "start", "rest")
+        .agg(F.max("size").alias("size"), F.count("*").alias("rows_alike"))
+        .withColumn("words_ahead", F.coalesce(F.sum(F.col("size") * F.col("rows_alike")).over(ahead), F.lit(0)))
+        .withColumn("missing", F.col("rest") - F.col("start") - F.col("words_ahead"))
+        .where("missing > 0")
+        .withColumn("n", F.floor(F.col("missing") / F.col("size") + 0.5))
+        .groupBy(F.col("source").alias("cut_source"))
+        .agg(F.max(F.struct("key", "row_key", "bucket", "rows_alike", "n")).alias("at")),
+        "mix-last",
     )
+    split = (F.col("at.n") > 0) & (F.col("at.n") < F.col("at.rows_alike"))
+    whole = F.when(F.col("at.n") > 0, F.lit((1 << 63) - 1)).otherwise(F.lit(-1)).cast("long")
+    cuts = last.withColumn("copy", whole)
+    if not last.where(split).isEmpty():
+        alike = (
+            F.col("source").eqNullSafe(F.col("cut_source"))
+            & (F.col("bucket") == F.col("at.bucket"))
+            & (F.col("row_key") == F.col("at.row_key"))
+        )
+        nth = nth_copy(keyed.join(last.where(split), alike).select(F.col("source").alias("of"), "copy", F.col("at.n").alias("n")))
+        cuts = cuts.join(nth, F.col("cut_source").eqNullSafe(F.col("of")), "left")
+        cuts = cuts.withColumn("copy", F.when(split, F.col("nth")).otherwise(F.col("copy")))
+    cuts = cuts.select("cut_source", F.struct("at.key", "at.row_key", "copy").alias("cut"))
     plan = (
         targets.join(
             ends.select("end_source", "end_bucket"), F.col("source").eqNullSafe(F.col("end_source")), "left"
         )
         .drop("end_source")
-        .join(cuts.withColumnRenamed("source", "cut_source"), F.col("source").eqNullSafe(F.col("cut_source")), "left")
+        .join(cuts, F.col("source").eqNullSafe(F.col("cut_source")), "left")
         .withColumnRenamed("source", "plan_source")
     )
     # One row per source and bucket, so that the documents of a hot source are joined in many tasks.
@@ -134,7 +176,7 @@ def mix(
         "mix-plan",
     )
     sampled = (F.col("bucket") < F.col("end_bucket")) | (
-        (F.col("bucket") == F.col("end_bucket")) & (F.struct("key", "row_key") <= F.col("cut"))
+        (F.col("bucket") == F.col("end_bucket")) & (F.struct("key", "row_key", "copy") <= F.col("cut"))
     )
     copies = (F.col("epochs") + F.coalesce(sampled.cast("long"), F.lit(0))).cast("long")
     return (
@@ -163,13 +205,27 @@ def take_copies(
     def key(row: Column, origin: str) -> Column:
         return F.concat(row, F.coalesce(F.concat(F.lit("="), F.col(origin)), F.lit(""))).alias("mix_key")
 
-    copies = mixed.groupBy(key(F.col("row_key"), "source")).agg(F.max("copies").alias("mix_copies"))
-    return (
-        docs.select(whole_row(docs).alias("mix_row"), key(row_key(id_col, text), source))
-        .join(copies.where("mix_copies > 0"), "mix_key")
-        .select("mix_row", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))).alias("mix_copy"))
-        .select("mix_row.*")
-    )
+    copies = written(
+        mixed.groupBy(key(F.col("row_key"), "source")).agg(
+            F.min("copies").alias("least"), F.sum(F.col("copies")).alias("total"), F.count("*").alias("rows_alike")
+        ),
+        "mix-copies",
+    ).withColumn("n", F.col("total") - F.col("least") * F.col("rows_alike"))
+    rows = docs.select(whole_row(docs).alias("mix_row"), key(row_key(id_col, text), source))
+    taken = rows.join(copies.where("total > 0 and n = 0"), "mix_key").select("mix_row", F.col("least").alias("times"))
+    split = copies.where("n > 0")
+    if not split.isEmpty():
+        # Repeated rows of which some are taken once more, of one document per source at most.
+        some = written(
+            rows.join(split.select("mix_key", "least", "n"), "mix_key").withColumn("copy", F.monotonically_increasing_id()),
+            "mix-some",
+        )
+        nth = nth_copy(some.select(F.col("mix_key").alias("of"), "copy", "n"))
+        once_more = (F.col("copy") <= F.col("nth")).cast("long")
+        taken = taken.unionByName(
+            some.join(nth, F.col("mix_key") == F.col("of")).select("mix_row", (F.col("least") + once_more).alias("times"))
+        ).where("times > 0")
+    return taken.select("mix_row", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select("mix_row.*")
 
 
 def with_quality(draws: DataFrame, labels: DataFrame) -> DataFrame:
@@ -212,10 +268,14 @@ rests AS (
 sums AS (
   SELECT d.*, t.s, t.target, t.epochs, t.rest,
          sum(size) OVER (PARTITION BY d.source ORDER BY k, row_key) AS upto,
-         sum(size) OVER (PARTITION BY d.source, k, row_key) AS own
-  FROM keyed d JOIN rests t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, source, row_key, size, s AS source_size, target,
-       (epochs + CASE WHEN rest > 0 AND upto - rest <= rest - (upto - own) THEN 1 ELSE 0 END)::BIGINT AS copies,
-       size * (epochs + CASE WHEN rest > 0 AND upto - rest <= rest - (upto - own) THEN 1 ELSE 0 END)::BIGINT AS taken
-FROM sums
+         sum(size) OVER (PARTITION BY d.source, k, row_key) AS own,
+         row_number() OVER (PARTITION BY d.source, k, row_key) AS nr
+  FROM keyed d JOIN rests t ON d.source IS NOT DISTINCT FROM t.source),
+counted AS (
+  SELECT *, (epochs + CASE WHEN upto <= rest AND rest > 0 THEN 1
+                           WHEN upto - own < rest AND nr <= floor((rest - (upto - own)) / size + 0.5) THEN 1
+                           ELSE 0 END)::BIGINT AS copies
+  FROM sums)
+SELECT doc_id, source, row_key, size, s AS source_size, target, copies, size * copies AS taken
+FROM counted
 """
