@@ -7,9 +7,9 @@ non-negative estimator), which keeps the model from learning P by heart.  Severa
 seeds, and a text's score is their mean probability.
 
 Training reads a bounded sample: ``MAX_POSITIVE`` confirmed examples and ``MAX_UNLABELLED`` other texts, those with the
-smallest hashes of their ids, so that reruns agree.  Whole texts are read, near copies in the sample count once, and
-the vocabulary is what ``MIN_EXAMPLES`` of P use, ``MAX_VOCABULARY`` words at most.  The class prior is counted over all
-training labels.  Only word numbers of the sample reach the driver.  Scoring covers every whole text, in tasks that get
+smallest hashes of their ids, so that reruns agree; of rows that share a drawn id the one with the smallest hash of its
+words.  Whole texts are read, near copies in the sample count once, and the vocabulary is what ``MIN_EXAMPLES`` of P use,
+``MAX_VOCABULARY`` words at most.  The class prior is the share of toxic ones among all training labels.  Only word numbers of the sample reach the driver.  Scoring covers every whole text, in tasks that get
 the weights alone.
 
 Inputs of a score are the words of the text only, and labels are learnt only from rows that ``training`` admits.
@@ -42,8 +42,9 @@ THRESHOLD = 0.7
 #: Of the optimiser (Adam): steps, how many of them with logistic loss, texts of P and of U in each, rate, decay; and
 #: the number of classifiers.
 STEPS, WARM, BATCH_P, BATCH_U, RATE, DECAY, MODELS = 1000, 100, 1024, 2048, 0.05, 1e-6, 3
-#: Texts that share this many smallest word hashes count as copies within the sample.
-SKETCH = 4
+#: Within the sample, texts that share so many smallest word hashes are compared; so large a common part of the words of
+#: either makes a copy.
+SKETCH, COPY = 4, 0.8
 
 _WORDS = re.compile(r"[^\W\d_]+")
 
@@ -124,14 +125,26 @@ def train_one(
 def _word_rows(batches):
     for batch in batches:
         sets = [sorted(words(text.as_py())) for text in batch.column(2)]
-        sketches = [sorted(zlib.crc32(word.encode()) for word in held)[:SKETCH] for held in sets]
+        hashes = [sorted(zlib.crc32(word.encode()) for word in held) for held in sets]
         arrays = [
             batch.column(0),
             batch.column(1),
-            pa.array(sketches, pa.list_(pa.int64())),
+            pa.array(hashes, pa.list_(pa.int64())),
             pa.array(sets, pa.list_(pa.string())),
         ]
-        yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "positive", "sketch", "words"])
+        yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "positive", "hashes", "words"])
+
+
+def _unlike(group):
+    """Of sampled texts that share their smallest hashes, those that are no copy of one before them."""
+    group = group.sort_values(["draw", "doc_id"], ignore_index=True)
+    kept, places = [], []
+    for place, hashes in enumerate(group["hashes"]):
+        held = set(hashes)
+        if not any(len(held & other) >= COPY * len(held | other) for other in kept):
+            kept.append(held)
+            places.append(place)
+    return group.loc[places, ["positive", "doc_id"]]
 
 
 def fit(
@@ -165,13 +178,19 @@ def fit(
     # At most MAX_POSITIVE + MAX_UNLABELLED ids: a bounded side to broadcast.
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id")
     held = texts.select("doc_id", "positive", "text").mapInArrow(
-        _word_rows, "doc_id long, positive boolean, sketch array<long>, words array<string>"
+        _word_rows, "doc_id long, positive boolean, hashes array<long>, words array<string>"
+    )
+    # One row per drawn id, however many rows share it: the sample is bounded from here on.
+    least = F.min(F.struct(F.xxhash64("words").alias("words_hash"), "hashes", "words")).alias("row")
+    one = written(
+        held.groupBy("positive", "doc_id").agg(least).select("positive", "doc_id", draw.alias("draw"), "row.*"), "toxicity-one"
     )
-    place = F.struct(F.xxhash64("doc_id").alias("draw"), "doc_id", "words")
-    sample = written(
-        held.groupBy("positive", "sketch").agg(F.min(place).alias("place")).select("positive", "place.*"),
-        "toxicity-sample",
+    kept = (
+        one.select("positive", "draw", "doc_id", "hashes")
+        .groupBy("positive", F.slice("hashes", 1, SKETCH))
+        .applyInPandas(_unlike, "positive boolean, doc_id long")
     )
+    sample = written(one.join(kept, ["positive", "doc_id"]).select("positive", "draw", "doc_id", "words"), "toxicity-sample")
     sizes = {row["positive"]: row["count"] for row in sample.groupBy("positive").count().collect()}
     if len(sizes) < 2:
         return nothing(prior)
