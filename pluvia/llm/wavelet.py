@@ -11,7 +11,7 @@ only for one longer document, and no document is divided.  Memory of a task is b
 largest shard.  Files are written by Spark's committer, so that lost tasks leave nothing behind.
 
 Defined cases: null texts count as empty and have the end id alone; rows without an id come first; rows that share an
-id are ordered by text; an empty table gives no shard and no rows; other columns are not looked at.
+id are ordered by a hash of their text; an empty table gives no shard and no rows; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -220,9 +220,9 @@ def write_shards(
     ``special_as_text``: whether a special token's string in a text is ordinary text, or its id.
     """
     path = path or shared_dir(docs.sparkSession, "wavelet")
-    ordered = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    ordered = ordered.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
-    shards = ordered.mapInArrow(_shards(tokenizer, end_id, shard_ids, special_as_text), _SHARD_DDL)
+    ordered = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("hash"))
+    ordered = ordered.repartitionByRange("doc_id", "hash").sortWithinPartitions("doc_id", "hash", "text")
+    shards = ordered.drop("hash").mapInArrow(_shards(tokenizer, end_id, shard_ids, special_as_text), _SHARD_DDL)
     shards.write.option("maxRecordsPerFile", 1).option("compression", "zstd").parquet(path)
     return path
 

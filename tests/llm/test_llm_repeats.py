@@ -1,0 +1,131 @@
+"""Rows that repeat an id, a text or both: how mixes, training samples and token files treat them."""
+
+from __future__ import annotations
+
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import llm_cases as cases
+import public_tokenizers
+import pytest
+import tokenizers
+from pyspark.sql import functions as F
+
+from pluvia.llm import mixing, toxicity, wavelet
+from pluvia.llm.queries import ORACLE, QUERIES
+
+FIFTY = "word " * 50
+
+
+def mixes():
+    """Documents in which a budget ends among repeated rows, in different places of their order."""
+    yield [(1, FIFTY, "a")] * 40 + [(100 + i, "one two three", "b") for i in range(100)]
+    yield [(1, FIFTY, "a")] * 200 + [(2, FIFTY, "a")] * 7 + [(3, FIFTY, "b")] * 9 + [(4, "x", None)] * 500
+    yield [(i % 3, "w " * (i % 3 * 5), f"s{i % 4}") for i in range(400)] + [(None, None, "s1")] * 30
+
+
+@pytest.mark.parametrize("rows", list(mixes()))
+def test_a_budget_that_ends_among_repeated_rows(spark, tmp_path, rows):
+    docs, labels = cases.documents(spark, rows), cases.labels(spark)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    found = QUERIES["op4_mix_sources"](spark, str(tmp_path)).collect()
+    assert len(found) == len(rows)
+    taken, target, largest = defaultdict(int), {}, defaultdict(int)
+    for row in found:
+        taken[row["source"]] += row["taken"]
+        target[row["source"]] = row["target"]
+        largest[row["source"]] = max(largest[row["source"]], row["size"])
+        assert row["taken"] <= 3 * row["size"]
+    assert all(abs(taken[s] - target[s]) <= largest[s] / 2 for s in target)
+    with duckdb.connect() as connection:
+        for name in ("documents", "labels"):
+            connection.sql(f"CREATE VIEW {name} AS FROM '{tmp_path}/{name}.parquet/*.parquet'")
+        columns = "doc_id, source, size, source_size, target, taken"
+        expected = connection.sql(f"SELECT {columns} FROM ({ORACLE['op4_mix_sources']})").fetchall()
+    assert Counter(map(repr, map(tuple, found))) == Counter(map(repr, expected))
+
+
+@pytest.mark.parametrize("rows", list(mixes()))
+def test_repeated_rows_are_taken_as_often_as_the_mix_says(spark, rows):
+    docs = cases.documents(spark, rows)
+    mixed = mixing.mix(mixing.with_quality(mixing.with_draws(docs), cases.labels(spark)), buckets=8)
+    expected = Counter()
+    for row in mixed.collect():
+        expected[row["doc_id"], row["source"]] += row["copies"]
+    copied = mixing.take_copies(docs, mixed)
+    assert copied.columns == docs.columns
+    assert Counter((row["doc_id"], row["source"]) for row in copied.collect()) == +expected
+
+
+def test_nth_copy(spark):
+    ids = {"a": [5, 1 << 33, (1 << 33) + 4, (3 << 33) + 1], None: [7, 9]}
+    for n in (1, 2, 3, 4):
+        rows = [(of, copy, n) for of, copies in ids.items() for copy in copies]
+        found = dict(map(tuple, mixing.nth_copy(spark.createDataFrame(rows, "of string, copy long, n long")).collect()))
+        assert found == {of: copies[n - 1] for of, copies in ids.items() if n <= len(copies)}
+
+
+def test_the_training_sample_is_bounded_in_rows(spark, monkeypatch):
+    """An id that thousands of different texts share is drawn once, and unlike texts are no copies of each other."""
+    shared = [(1, f"text number {i} of many words{i}", "a") for i in range(2000)]
+    others = [(i, f"a clean note about subject{i} and more", "a") for i in range(2, 200)]
+    docs = cases.documents(spark, shared + others)
+    labels = cases.labels(spark, [(1, 1, 1), *((i, 1, int(i % 2)) for i in range(2, 100))])
+    seen = {}
+    trained = toxicity.train_one
+
+    def spied(positive, unlabelled, *rest):
+        seen["sizes"] = len(positive), len(unlabelled)
+        return trained(positive, unlabelled, *rest)
+
+    monkeypatch.setattr(toxicity, "train_one", spied)
+    monkeypatch.setattr(toxicity, "MAX_POSITIVE", 20)
+    monkeypatch.setattr(toxicity, "MAX_UNLABELLED", 150)
+    toxicity.fit(docs, labels, F.lit(True))
+    assert 1 < seen["sizes"][0] <= 20 and 1 < seen["sizes"][1] <= 150
+
+
+def test_only_verified_copies_leave_the_sample(spark, monkeypatch):
+    """Texts that share the smallest word hashes stay, unless most of their words are the same."""
+    ordered = sorted((f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(300)), key=lambda w: zlib.crc32(w.encode()))
+    common, rest = ordered[: toxicity.SKETCH], ordered[toxicity.SKETCH :]
+    texts = [" ".join(common + rest[i * 20 : i * 20 + 20]) for i in range(10)]
+    docs = cases.documents(spark, [(i, t, "a") for i, t in enumerate(texts + [t + " " + rest[-1] for t in texts])])
+    labels = cases.labels(spark, [(i, 1, int(i in (0, 10, 1))) for i in range(20)])
+    seen = []
+    trained = toxicity.train_one
+
+    def spied(positive, unlabelled, *more):
+        seen.append((len(positive), len(unlabelled)))
+        return trained(positive, unlabelled, *more)
+
+    monkeypatch.setattr(toxicity, "train_one", spied)
+    monkeypatch.setattr(toxicity, "MIN_EXAMPLES", 1)
+    monkeypatch.setattr(toxicity, "MIN_LIFT", 0.0)
+    toxicity.fit(docs, labels, F.lit(True))
+    # Each text and its copy share all words but one; different texts share the smallest hashes only.
+    assert seen[0] == (2, 10)
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_files_of_rows_that_share_an_id(spark, partitions):
+    """The order does not depend on the number of partitions."""
+    rows = [(None if i % 2 else i % 5, f"text {i * 7919 % 400}", "a") for i in range(400)]
+    docs = cases.documents(spark, rows).repartition(partitions)
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        path = wavelet.write_shards(docs, public_tokenizers.path("byte_bpe_50k.json"), 2, shard_ids=100)
+        found = sorted(map(tuple, wavelet.read_documents(spark, path).select("start", "doc_id", "ids_crc32").collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+    order = docs.select("doc_id", F.xxhash64("text").alias("hash"), "text").orderBy("doc_id", "hash", "text")
+    encode = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode
+    start, expected = 0, []
+    for row in order.collect():
+        ids = encode(row["text"], add_special_tokens=False).ids + [2]
+        crc = zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))
+        expected.append((start, row["doc_id"], crc))
+        start += len(ids)
+    assert found == expected
