@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random as random_numbers
 import zlib
 from collections import Counter, defaultdict
 
@@ -12,7 +13,7 @@ import pytest
 import tokenizers
 from pyspark.sql import functions as F
 
-from pluvia.llm import mixing, toxicity, wavelet
+from pluvia.llm import mixing, toxicity, wavelet, winnowing
 from pluvia.llm.queries import ORACLE, QUERIES
 
 FIFTY = "word " * 50
@@ -129,3 +130,19 @@ def test_files_of_rows_that_share_an_id(spark, partitions):
         expected.append((start, row["doc_id"], crc))
         start += len(ids)
     assert found == expected
+
+
+def test_edited_texts_of_every_length(spark, tmp_path):
+    """The edited text's fingerprint is put together of two others: compare with that of the text itself."""
+    random = random_numbers.Random(5)
+    rows = []
+    for i in range(600):
+        size = random.choice([random.randrange(60), random.randrange(400)])
+        text = "".join(random.choice("ab \n.é") for _ in range(size)) if i % 3 else " " * random.randrange(30) + "xy" * (size // 2)
+        rows.append((i, text, "a"))
+    docs = cases.documents(spark, rows)
+    found = winnowing.compare_with_next(docs).select("doc_id", "edited", "marks", "edited_marks")
+    again = winnowing.with_fingerprint(found, "edited", "expected")
+    wrong = [row["doc_id"] for row in again.collect() if row["edited_marks"] != row["expected"]]
+    assert wrong == []
+    assert again.count() == 600
