@@ -51,7 +51,7 @@ STAGES = [
     ("byte_bpe", encode),
 ]
 
-#: The trained classifier cannot be said in SQL; tests/llm/test_pipeline.py compares with a brute-force version.
+#: The trained classifier cannot be said in SQL; test_pipeline in tests/llm/test_llm_tokens.py compares with a plain version.
 ORACLE_SQL = None
 
 
