@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter, defaultdict
 
+import duckdb
 import llm_cases as cases
 import numpy as np
 import pytest
@@ -107,6 +108,116 @@ def test_licences_as_published(spark):
     assert [(row["licences"], row["incomplete"]) for row in rows] == [(name, False) for _, name in texts]
 
 
+GPL_LINES = """{} free software{} you can redistribute it and/or modify
+it under the terms of the GNU {}General Public License as published by
+the Free Software Foundation{} either version {} of the License, or
+(at your option) any later version.
+
+{} distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU {}General Public License for more details.
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at http://mozilla.org/MPL/2.0/.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND SOMEONE ELSE DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL SOMEONE ELSE BE LIABLE FOR ANY
+SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER
+RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT,
+NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE
+USE OR PERFORMANCE OF THIS SOFTWARE.
+"""
+ZLIB = """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented; you must not
+   claim that you wrote the original software. If you use this software
+   in a product, an acknowledgment in the product documentation would be
+   appreciated but is not required.
+2. Altered source versions must be plainly marked as such, and must not be
+   misrepresented as being the original software.
+3. This notice may not be removed or altered from any source distribution.
+"""
+
+
+def gpl(kind, version, before=("This program is", ":", ",")):
+    name, colon, comma = before
+    return GPL_LINES.format(name, colon, kind, comma, version, name, kind)
+
+
+def notices():
+    """(text, licences, incomplete): names in the notices, far sentences, identifiers."""
+    named = BSD.replace("the copyright holder nor", "the University of California, Berkeley nor")
+    gap = licences.GAP
+    sentences = licences.SENTENCES
+    return [
+        (named, "BSD-3-Clause", False),
+        (named.replace("California, Berkeley", "Foo Inc."), "BSD-3-Clause", False),
+        (BSD.replace("3. N", "3. All advertising materials mentioning features or use of this software must display the "
+                     "following acknowledgement:\n   This product includes Foo.\n\n4. N"), "BSD-4-Clause", False),
+        ("\n".join(sentences[i] for i in (1, 2, 3, 4)).replace("THE AUTHORS OR COPYRIGHT HOLDERS", "FOO"), "MIT", False),
+        (sentences[10] + " " + sentences[11] + " x.\n" * gap + sentences[12], "BSD-2-Clause", False),
+        (sentences[10] + " " + sentences[11] + " x.\n" * (gap + 1) + sentences[12], "", True),
+        (sentences[14] + "\n" + "Another paragraph.\n\n" * 500 + sentences[15], "GPL-3.0-or-later", True),
+        (gpl("", 3), "GPL-3.0-or-later", False),
+        (gpl("", 2, ("This program is", ";", ";")), "GPL-2.0-or-later", False),
+        (gpl("", 3, ("This program is", ";", ";")), "GPL-3.0-or-later", False),
+        (commented(gpl("", 3, ("GNU Foo is", ":", ",")), " *"), "GPL-3.0-or-later", False),
+        (gpl("Lesser ", "2.1", ("This library is", ";", ";")), "LGPL-2.1-or-later", False),
+        (gpl("Lesser ", 3), "LGPL-3.0-or-later", False),
+        (commented(gpl("Affero ", 3), "#"), "AGPL-3.0-or-later", False),
+        (MPL, "MPL-2.0", False),
+        ("/* " + MPL.replace("\n", "\n * ") + "*/", "MPL-2.0", False),
+        (ISC, "ISC", False),
+        (ISC.replace(", provided that the above\ncopyright notice and this permission notice appear in all copies", ""),
+         "0BSD", False),
+        (ZLIB, "Zlib", False),
+        (commented(ZLIB, "//").replace("\n", "\r\n"), "Zlib", False),
+        ("Distributed under the Boost Software License, Version 1.0. (See x)", "BSL-1.0", False),
+        ("This program and the accompanying materials are made\navailable under the terms of the Eclipse Public License "
+         "2.0\nwhich is available at https://www.eclipse.org/legal/epl-2.0/\n\nSPDX-License-Identifier: EPL-2.0",
+         "EPL-2.0,EPL-2.0", False),
+        ("#!/bin/sh\n# SPDX-License-Identifier: MIT\necho 1: 2", "MIT", False),
+        ("/* SPDX-License-Identifier: GPL-2.0-or-later */\nint x;", "GPL-2.0-or-later", False),
+        ("// SPDX-License-Identifier: MIT OR Apache-2.0\n", "", True),
+        ("SPDX-License-Identifier:", "", False),
+        (" may be used to endorse or promote products derived from this software without specific prior written "
+         "permission", "", False),
+        ("é\u2028# dnl rem\u0085* x)\n\r\rREM\n dnlx\n#\n1) i) \x0b.\x0b\x0c\n? ok:\n", "", False),
+    ]
+
+
+def test_names_gaps_and_identifiers_in_both_engines(spark, tmp_path):
+    cased = notices()
+    frame = spark.createDataFrame([(i, text) for i, (text, *_) in enumerate(cased)], "doc_id long, text string")
+    found = licences.scan_licences(frame)
+    assert native(found)
+    rows = sorted(found.collect())
+    assert [(row["licences"], row["incomplete"]) for row in rows] == [tuple(rest) for _, *rest in cased]
+    texts = [text for text, *_ in cased]
+    texts += [a + glue + b for glue in ("", " ", "\n", "\n\n") for a, b in zip(texts, texts[1:] + texts[:1])]
+    texts += [text[: len(text) * part // 7] for text in texts for part in range(1, 7)] + ["", None, BSD, APACHE]
+    frame = spark.createDataFrame([(i % 300, text) for i, text in enumerate(texts)], "doc_id long, text string")
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    columns = ["doc_id", "known", "licences", "n_licences", "incomplete"]
+    with duckdb.connect() as connection:
+        connection.sql(f"CREATE VIEW documents AS FROM '{tmp_path}/documents.parquet/*.parquet'")
+        expected = connection.sql(licences.SQL).select(*columns).fetchall()
+    assert cases.as_tuples(licences.scan_licences(frame).select(columns)) == sorted(expected, key=repr)
+
+
 def test_targets(spark):
     sizes = {"a": 100, "b": 10, "c": 1000, "d": 1, "e": 0, None: 300}
     frame = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
