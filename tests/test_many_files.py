@@ -1,0 +1,29 @@
+"""Folders of very many small files: work that grows with the bytes, not with the square of the files."""
+
+from __future__ import annotations
+
+from conftest import station_file, metadata
+
+from pluvia.sources import station_files
+from pluvia.sources.station_files import _large, _listing, _tasks, scan_large_files
+
+
+def _many(spark, tmp_path, number):
+    folder = tmp_path / "2023"
+    folder.mkdir()
+    for i in range(number):
+        rows = [f"2023/01/31;{hour:02}00 UTC;" for hour in range(3)]
+        (folder / f"{i}.csv").write_bytes(station_file(metadata("CO", "DF", "X", f"A{i}", "1", "1", "1"), "Data;Hora UTC;", rows))
+    return _listing(spark, [str(folder)], station_files.FILE_GLOB)
+
+
+def test_small_files_read_in_ranges_share_tasks(spark, tmp_path):
+    listing = _many(spark, tmp_path, 200)
+    assert _tasks(listing, 0, station_files.RANGE_BYTES) == spark.sparkContext.defaultParallelism
+    scanned = scan_large_files(spark, str(tmp_path), [2023], 0)
+    assert scanned.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert scanned.count() == 600
+
+
+def test_looking_for_large_files_gives_small_ones_no_task(spark, tmp_path):
+    assert _large(_many(spark, tmp_path, 20), station_files.WHOLE_FILE_LIMIT).rdd.getNumPartitions() == 0
