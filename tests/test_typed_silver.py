@@ -1,0 +1,18 @@
+"""The Silver table that the queries about Gold begin with."""
+
+from __future__ import annotations
+
+from pluvia.parity import queries
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def test_deduplication_is_the_only_shuffle_before_the_write(spark, monkeypatch):
+    plans, write = [], queries.write_silver
+    monkeypatch.setattr(queries, "write_silver", lambda df, path: (plans.append(df), write(df, path)))
+    monkeypatch.setattr(queries, "_built", {})
+    queries._written_silver(spark, SF_DIR)
+    plan = plans[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Exchange RoundRobin" not in plan
+    # Nor a union, which would forget the order that the write needs.
+    assert "Union" not in plan and "REBALANCE" not in plan
