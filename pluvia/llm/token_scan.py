@@ -55,9 +55,8 @@ def _write(tokenizer: str, end_id: int, folder: str):
         number = 0
         with system.open_output_stream(draft) as out:
             for batch in batches:
-                for at in range(0, len(batch), 512):
-                    some = batch.slice(at, 512)
-                    ids, counts = tool.encode(some.column(1))
+                for at, ids, counts in tool.encode_groups(batch.column(1)):
+                    some = batch.slice(at, len(counts))
                     stops = np.cumsum(counts)
                     for start, stop in zip(stops - counts, stops):
                         out.write(ids[start:stop].tobytes() + end)

@@ -187,17 +187,16 @@ def _shards(path: str, end_id: int, size: int, special_as_text: bool):
 
         end = np.array([end_id], tool.dtype)
         for batch in batches:
-            for at in range(0, len(batch), 512):
-                some = batch.slice(at, 512)
-                ids, counts = tool.encode(some.column(1))
+            for at, ids, counts in tool.encode_groups(batch.column(1)):
                 stops = np.cumsum(counts)
-                for doc_id, start, stop in zip(some.column(0).to_pylist(), stops - counts, stops):
+                some = batch.column(0).slice(at, len(counts))
+                for doc_id, start, stop in zip(some.to_pylist(), (stops - counts).tolist(), stops.tolist()):
                     if held and held + stop - start + 1 > size:
                         yield shard()
                         number, doc_ids, parts, lengths, held = number + 1, [], [], [], 0
                     doc_ids.append(doc_id)
                     parts += [ids[start:stop], end]
-                    lengths.append(int(stop - start) + 1)
+                    lengths.append(stop - start + 1)
                     held += lengths[-1]
         if doc_ids:
             yield shard()

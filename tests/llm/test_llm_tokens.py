@@ -6,6 +6,7 @@ import hashlib
 import random
 import zlib
 from collections import defaultdict
+from itertools import product
 
 import duckdb
 import llm_cases as cases
@@ -60,6 +61,46 @@ def test_encoder(library, monkeypatch, group, remembered):
     assert split(*tokens.Encoder(VOCABULARY).encode(pa.array(held, pa.string()))) == library(held)
 
 
+def word_texts():
+    """Words with marks, line breaks and letters of two bytes on either side of every cut."""
+    source = random.Random(6)
+    parts = [" ", " ", "  ", "\n", "\n\n", "\t", ".", ",", "'", "'s", "?!", "$", "a", "The", "né", "É", "×", "÷", "e\u0301", "\u00a0", "\u3000", "…", "日", "я", "7", "🙂"]
+    return ["".join(source.choice(parts) for _ in range(source.randint(0, 14))) for _ in range(20_000)]
+
+
+@pytest.mark.parametrize("remembered", [tokens.PieceEncoder.remembered, 5000])
+def test_words_between_marks(library, monkeypatch, remembered):
+    monkeypatch.setattr(tokens.PieceEncoder, "remembered", remembered)
+    tool, held = tokens.Encoder(VOCABULARY), word_texts()
+    expected = library(held)
+    for start in range(0, len(held), 4000):
+        some = pa.array(held[start : start + 4000])
+        assert split(*tool.encode(some)) == expected[start : start + 4000]
+
+
+def test_a_word_is_learnt_once_whatever_stands_behind_it():
+    tool = tokens.Encoder(VOCABULARY)
+    words = [" " + "".join(word) for word in product("abcdé", repeat=4)]
+    seen, learn = [], tool._learn
+
+    def spied(pieces):
+        seen.extend(pieces.to_pylist())
+        return learn(pieces)
+
+    tool._learn = spied
+    tool.encode(pa.array(["x" + mark.join(words) for mark in ("", ",", ".\nSo", "!")] * 2))
+    assert len(seen) == len(set(seen)) <= len(words) + 10
+
+
+def test_remembered_pieces_are_bounded(monkeypatch):
+    monkeypatch.setattr(tokens.PieceEncoder, "remembered", 50_000)
+    tool = tokens.Encoder(VOCABULARY)
+    for start in range(0, 3000, 300):
+        tool.encode(pa.array([" often " + " ".join(f"w{i}" for i in range(start, start + 300))]))
+        assert len(tool.known.pieces) == len(tool.known.ids) == len(tool.known.seen) <= 500
+    assert b" often" in tool.known.pieces.to_pylist()
+
+
 def test_bpe(rank_library, monkeypatch):
     held = texts()
     tool = bpe.RecursiveBpe(RANKS, public_tokenizers.PATTERN)
