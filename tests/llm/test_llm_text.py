@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random as random_numbers
 from collections import Counter, defaultdict
 
 import duckdb
@@ -340,6 +341,18 @@ def test_winnowing(spark):
         assert [tuple(mark) for mark in row["marks"]] == winnowed(texts[row["n"]])
 
 
+def test_stretches_of_texts(spark):
+    """Texts that end about the end of a stretch, with equal hashes on both sides of it."""
+    random, near = random_numbers.Random(8), winnowing.STRETCH
+    texts = ["".join(random.choice("ab🙂") for _ in range(near * k + more)) for k in (0, 1, 2) for more in range(0, 30)]
+    texts += ["a" * (near + 40), " a\n" * (2 * near)]
+    frame = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "n long, text string, span int")
+    found = winnowing.with_marks(frame.repartition("span"), "span", "text").collect()
+    assert len(found) == len(texts)
+    for row in found:
+        assert list(zip(row["hash"], row["position"])) == winnowed(texts[row["n"]])
+
+
 def test_a_shared_passage_is_found_at_every_offset(spark):
     passage = "".join(chr(0x4E00 + i * 7919 % 5000) for i in range(200))
     texts = [passage] + ["甲乙丙丁戊"[:offset] + passage for offset in (1, 2, 3, 4, 5)] + ["a\u00a0b" + passage.upper()]
