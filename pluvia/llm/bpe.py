@@ -3,11 +3,12 @@
 Every match of the split pattern is a word.  A word that is a token gets its rank.  Any other starts as rows (word,
 position, byte token, position of the neighbour after it); in each step of a recursive query the rows join their
 neighbours and the table of merges, and each word contracts its pair of least rank, the leftmost of equal ones, until no pair can be merged.  Decoding joins
-the ids with the vocabulary and aggregates the bytes in order of position.
+the ids of many documents with the vocabulary, in order of position; a document's bytes are a stretch of those found.
 
-DuckDB runs inside the task, with one thread and bounded memory.  A worker keeps the ids of the words it has met, up to
-a bound of bytes, so that a query gets few words but new ones.  Recursion writes a row per position and step, half the square of a
-word's length: a word of more than ``LONG_WORD`` bytes is contracted by the same rule with a heap instead.
+DuckDB runs inside the task, with one thread and bounded memory.  Texts are cut on their bytes and a worker keeps the ids of
+the pieces and words it has met, up to a bound of bytes (``tokens``), so that a query gets few words but new ones.
+Recursion writes a row per position and step, half the square of a word's length: a word of more than ``LONG_WORD``
+bytes is contracted by the same rule with a heap instead.
 
 Defined cases: null and empty texts have no ids and decode to nothing; special tokens in a text are ordinary text;
 repeated rows are encoded each; an id outside the vocabulary is an error in decoding; an empty table gives no rows;
@@ -23,15 +24,16 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import PieceEncoder, Remembered, release_memory
+from .tokens import KnownPieces, PieceEncoder, release_memory, whole_words
 
 #: Bytes of a word beyond which recursion would write too many rows.
 LONG_WORD = 256
-#: Documents encoded together.
-ROWS = 2048
+#: The usual pattern, by which words of letters and the pieces of ``tokens.cuts`` are known; other texts are cut at spaces only.
+USUAL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: New words in a query, and ids decoded in one.
 QUERY_WORDS, DECODED_IDS = 40_000, 1 << 19
 MEMORY = "128MB"
@@ -51,10 +53,7 @@ WITH RECURSIVE step(word, pos, token, after, busy) AS (
 SELECT word, token FROM step WHERE NOT busy ORDER BY word, pos
 """
 
-DECODE = """
-SELECT part, array_to_string(list(v.chars ORDER BY i.pos), '') AS chars
-FROM id_rows i JOIN vocabulary v ON v.id = i.id GROUP BY part ORDER BY part
-"""
+DECODE = "SELECT v.bytes FROM id_rows i JOIN vocabulary v ON v.id = i.id ORDER BY i.pos"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -65,16 +64,18 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class RecursiveBpe(PieceEncoder):
     """Ids by a rank file and a split pattern."""
 
+    # The vocabulary's tables stand beside what a group takes, and stages of other memory before this one.
+    at_once = 1
+
     def __init__(self, path: str, pattern: str):
-        super().__init__()
         import duckdb
         import regex
 
         self.ranks = read_ranks(path)
-        self.pattern = regex.compile(pattern)
-        self.dtype = np.dtype("<u2" if max(self.ranks.values()) < 1 << 16 else "<u4")
-        # Words without a space in front; a space and a word is what ``known`` has under the word.
-        self.words = Remembered(self.remembered // 4)
+        self.pattern, self.spaces_only = regex.compile(pattern), pattern != USUAL
+        super().__init__(np.dtype("<u2" if max(self.ranks.values()) < 1 << 16 else "<u4"))
+        # The words of pieces; a piece of several ones is split by the pattern.
+        self.words = KnownPieces(self.remembered // 4, self.dtype)
         self.known_ids = np.zeros(max(self.ranks.values()) + 2, bool)
         self.known_ids[list(self.ranks.values())] = True
         self.bytes_ids = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
@@ -96,8 +97,7 @@ class RecursiveBpe(PieceEncoder):
             pa.table(
                 {
                     "id": pa.array(self.ranks.values(), pa.int32()),
-                    # A character per byte, so that strings can be put together.
-                    "chars": pa.array([token.decode("latin-1") for token in self.ranks]),
+                    "bytes": pa.array(list(self.ranks), pa.binary()),
                 }
             ),
         )
@@ -163,14 +163,14 @@ class RecursiveBpe(PieceEncoder):
             offer(at)
         return np.array([token for token in tokens if token >= 0], np.int32)
 
-    def _new_words(self, words: list[str]) -> list[bytes]:
+    def _new_words(self, words: pa.Array) -> pa.Array:
         """The ids of words that nobody remembers."""
-        texts = [word.encode() for word in words]
+        texts = words.to_pylist()
         ids: list = list(map(self.ranks.get, texts))
         plain: list[int] = []
         for at, (text, rank) in enumerate(zip(texts, ids)):
             if rank is not None:
-                ids[at] = np.array([rank], self.dtype).tobytes()
+                ids[at] = rank.to_bytes(self.dtype.itemsize, "little")
             elif len(text) > LONG_WORD:
                 ids[at] = self.contract_long(text).astype(self.dtype).tobytes()
             else:
@@ -179,56 +179,39 @@ class RecursiveBpe(PieceEncoder):
             some = plain[at : at + QUERY_WORDS]
             for place, found in zip(some, self.contract([texts[i] for i in some])):
                 ids[place] = found
-        return ids
-
-    def _word_ids(self, words: list[str]) -> dict[str, bytes]:
-        spaced, other = [w for w in words if w[0] == " "], [w for w in words if w[0] != " "]
-        ids = dict(zip(spaced, self.known.look([w[1:] for w in spaced]))) | dict(zip(other, self.words.look(other)))
-        new = [word for word, known in ids.items() if known is None]
-        ids.update(zip(new, self._new_words(new)))
-        spaced, other = [w for w in new if w[0] == " "], [w for w in new if w[0] != " "]
-        self.known.keep([w[1:] for w in spaced], [ids[w] for w in spaced])
-        self.words.keep(other, [ids[w] for w in other])
-        return ids
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        # A space and ASCII letters are one word by any usual split pattern; the pattern decides about the rest.
-        one = [text.isascii() and text[:1] == " " and text[1:].isalpha() for text in texts]
-        found = [[text] if single else self.pattern.findall(text) for text, single in zip(texts, one)]
-        ids = self._word_ids(list(set(chain.from_iterable(found))))
-        return [
-            ids[text] if single else b"".join([ids[word] for word in words])
-            for text, single, words in zip(texts, one, found)
+        ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) // self.dtype.itemsize
+        return _lists(np.frombuffer(b"".join(ids), self.dtype), np.concatenate(([0], ends)))
+
+    def _learn(self, pieces: pa.Array) -> pa.Array:
+        """The ids of each piece, word by word."""
+        whole = np.zeros(len(pieces), bool) if self.spaces_only else whole_words(pieces)[2]
+        words = [
+            [text] if one else [word.encode() for word in self.pattern.findall(text.decode())]
+            for text, one in zip(pieces.to_pylist(), whole.tolist())
         ]
+        bounds = np.concatenate(([0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))))
+        ids, begins = self.words.spell(pa.array(chain.from_iterable(words), pa.binary()), self._new_words)
+        return _lists(ids, begins[bounds])
 
-    def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    def decoded(self, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
         """The bytes of documents, given all their ids and the number of ids of each."""
-        out: list[bytes] = []
-        first, stops = 0, np.cumsum(counts)
-        while first < len(counts):
-            start = stops[first] - counts[first]
-            last = max(first + 1, int(np.searchsorted(stops, start + DECODED_IDS, "right")))
-            held = [b""] * (last - first)
-            owner = np.repeat(np.arange(last - first), counts[first:last])
-            # One document of more ids than a query takes is decoded in parts.
-            for at in range(start, stops[last - 1], DECODED_IDS):
-                until = min(at + DECODED_IDS, stops[last - 1])
-                part = ids[at:until]
-                rows = pa.table(
-                    {
-                        "part": pa.array(owner[at - start : until - start], pa.int32()),
-                        "pos": pa.array(np.arange(len(part)), pa.int32()),
-                        "id": pa.array(part.astype(np.int32)),
-                    }
-                )
-                if not self.known_ids[np.minimum(part, len(self.known_ids) - 1)].all():
-                    raise ValueError("an id outside the vocabulary")
-                found = self._query("id_rows", rows, DECODE)
-                for number, chars in zip(found.column("part").to_pylist(), found.column("chars").to_pylist()):
-                    held[number] += chars.encode("latin-1")
-            out += held
-            first = last
-        return out
+        if not self.known_ids[np.minimum(ids, len(self.known_ids) - 1)].all():
+            raise ValueError("an id outside the vocabulary")
+        parts, sizes = [], [np.zeros(1, np.int64)]
+        for at in range(0, len(ids), DECODED_IDS):
+            part = ids[at : at + DECODED_IDS]
+            rows = pa.table(
+                {"pos": pa.array(np.arange(len(part)), pa.int32()), "id": pa.array(part.astype(np.int32))}
+            )
+            found = self._query("id_rows", rows, DECODE).column("bytes").combine_chunks().cast(pa.large_binary())
+            parts.append(_content(found))
+            sizes.append(pc.binary_length(found).to_numpy())
+        bounds = np.cumsum(np.concatenate(sizes))[np.concatenate(([0], np.cumsum(counts)))]
+        return _binaries(np.concatenate([np.zeros(0, np.uint8), *parts]), bounds)
+
+    def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """The same as a list."""
+        return self.decoded(ids, counts).to_pylist()
 
 
 _encoders: dict[tuple[str, str], RecursiveBpe] = {}
@@ -242,13 +225,20 @@ def encoder(path: str, pattern: str) -> RecursiveBpe:
     return _encoders[key]
 
 
-def _binaries(data: np.ndarray, counts: np.ndarray) -> pa.Array:
-    """Binary values of ``counts`` little-endian 32-bit numbers each."""
-    numbers = np.ascontiguousarray(data, "<u4")
-    bounds = np.concatenate(([0], np.cumsum(counts))) * 4
-    return pa.Array.from_buffers(
-        pa.large_binary(), len(counts), [None, pa.py_buffer(bounds.astype("<i8")), pa.py_buffer(numbers)]
-    ).cast(pa.binary())
+def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values))
+
+
+def _content(values: pa.Array) -> np.ndarray:
+    """All bytes of large binary values, none of them null."""
+    offsets = np.frombuffer(values.buffers()[1], np.int64)[values.offset : values.offset + len(values) + 1]
+    return np.frombuffer(values.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+
+
+def _binaries(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Binary values that lie between ``bounds`` in the bytes of ``data``."""
+    buffers = [None, pa.py_buffer(bounds.astype("<i8")), pa.py_buffer(np.ascontiguousarray(data))]
+    return pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, buffers).cast(pa.binary())
 
 
 def round_trip(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -257,14 +247,12 @@ def round_trip(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id"
     def apply(batches):
         tool = encoder(ranks, pattern)
         for batch in batches:
-            for at in range(0, len(batch), ROWS):
-                some = batch.slice(at, ROWS)
-                ids, counts = tool.encode(some.column(1))
+            for at, ids, counts in tool.encode_groups(batch.column(1)):
                 columns = [
-                    some.column(0),
+                    batch.column(0).slice(at, len(counts)),
                     pa.array(counts, pa.int64()),
-                    _binaries(ids, counts),
-                    pa.array(tool.decode(ids, counts), pa.binary()),
+                    _binaries(ids.astype("<u4").view(np.uint8), np.concatenate(([0], np.cumsum(counts))) * 4),
+                    tool.decoded(ids, counts),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids", "decoded"])
         release_memory()

@@ -2,9 +2,9 @@
 
 A byte-level vocabulary with the usual pre-tokeniser never joins a token across a space that is followed by a visible
 character, nor lets what stands before such a space change what follows.  Texts are cut there, every distinct piece is
-encoded once for as long as the worker remembers it (in bounded memory, see ``Remembered`` and ``KnownPieces``), and the ids of a text are those of its pieces one after the other.
+encoded once for as long as the worker remembers it (in bounded memory, see ``KnownPieces``), and the ids of a text are those of its pieces one after the other.
 The same holds between a letter and a punctuation mark and on either side of a lone line break between visible characters;
-``Encoder`` cuts there as well, by the bytes of all texts at once, so that a word is one piece whatever stands behind it.
+texts are cut there as well, by the bytes of all texts at once, so that a word is one piece whatever stands behind it.
 ``tests/llm`` compares this with the libraries' answers for whole texts.
 """
 
@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import ctypes
 import os
-import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -23,10 +22,6 @@ import pyarrow.compute as pc
 #: Bytes of text that are cut and looked up together, more only for one longer text.
 GROUP = 4 << 20
 
-#: Where a text may be cut, and a space that may stand before no cut.
-_CUT = re.compile(r" (?=\S)")
-_KEPT_SPACE = re.compile(r" (?!\S)")
-
 
 def release_memory() -> None:
     """Give back what Arrow and the C library hold for later: a worker outlives its task and stands beside others."""
@@ -35,44 +30,6 @@ def release_memory() -> None:
         trim(0)
 
 
-class Remembered:
-    """Ids of words in two generations of bounded bytes: a word met again moves to the young one, the old one is forgotten.
-
-    So frequent words stay and memory is bounded by bytes, whatever the words; very long ones are not kept at all.
-    """
-
-    #: Bytes that an entry takes beside its texts: two objects and their place in the table.
-    ENTRY = 200
-    LONGEST = 64
-
-    def __init__(self, most: int):
-        self.half, self.size = most // 2, 0
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def look(self, words: list[str]) -> list[bytes | None]:
-        found = list(map(self.young.get, words))
-        if self.old:
-            missing = [i for i, ids in enumerate(found) if ids is None]
-            again = list(map(self.old.get, [words[i] for i in missing]))
-            for i, ids in zip(missing, again):
-                found[i] = ids
-            self.keep([words[i] for i, ids in zip(missing, again) if ids is not None], [ids for ids in again if ids is not None])
-        return found
-
-    def keep(self, words: list[str], ids: list[bytes]) -> None:
-        """Remember words that ``look`` did not find among the young."""
-        if any(len(word) > self.LONGEST for word in words):
-            short = [i for i, word in enumerate(words) if len(word) <= self.LONGEST]
-            words, ids = [words[i] for i in short], [ids[i] for i in short]
-        if self.size > self.half:
-            self.old, self.young, self.size = self.young, {}, 0
-        before = len(self.young)
-        self.young.update(zip(words, ids))
-        each = self.ENTRY + (sum(map(len, words)) + sum(map(len, ids))) // max(1, len(words))
-        self.size += each * (len(self.young) - before)
-
-
 class KnownPieces:
     """Ids of pieces as Arrow columns, looked up all at once; of more than ``most`` bytes those seen last are kept."""
 
@@ -101,6 +58,13 @@ class KnownPieces:
         self._forget()
         return found
 
+    def spell(self, pieces: pa.Array, learn) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces, repeats among them, one after the other; where each piece begins, and the end of all."""
+        coded = pieces.dictionary_encode()
+        table = self.look(coded.dictionary, learn)
+        ids = table.take(coded.indices).flatten().to_numpy(zero_copy_only=False)
+        return ids, np.concatenate(([0], np.cumsum(_lengths(table)[coded.indices.to_numpy(zero_copy_only=False)])))
+
     def _forget(self) -> None:
         sizes = self.ENTRY + _lengths(self.pieces) + _lengths(self.ids) * self.ids.type.value_type.bit_width // 8
         if sizes.sum() <= self.most:
@@ -142,12 +106,25 @@ def _letters(data: np.ndarray) -> np.ndarray:
     return found
 
 
-def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def whole_words(pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all binary pieces, their offsets, and which are letters up to U+00FF, with or without a space in front."""
+    offsets = np.frombuffer(pieces.buffers()[1], np.int32)[pieces.offset : pieces.offset + len(pieces) + 1]
+    data = np.frombuffer(pieces.buffers()[2] or b"", np.uint8)[: offsets[-1]]
+    starts, stops = offsets[:-1], offsets[1:]
+    letters = _letters(data)
+    letters[:-1] |= (data[:-1] == 0xC3) & letters[1:]  # the first bytes of letters of two
+    letters = np.concatenate(([0], np.cumsum(letters)))
+    spaced = (stops > starts) & (data[np.minimum(starts, max(0, len(data) - 1))] == 0x20)
+    return data, offsets, (stops - starts > spaced) & (letters[stops] - letters[starts] == stops - starts - spaced)
+
+
+def cuts(data: np.ndarray, offsets: np.ndarray, spaces_only: bool = False) -> np.ndarray:
     """Where pieces begin in the UTF-8 bytes of texts that lie between ``offsets``, and the end of all."""
     cut = np.zeros(len(data) + 1, bool)
     if len(data):
-        visible = _VISIBLE[data]
         cut[: len(data) - 1] = (data[:-1] == 0x20) & _NO_SPACE[data[1:]]
+    if len(data) and not spaces_only:
+        visible = _VISIBLE[data]
         cut[1 : len(data)] |= _letters(data)[:-1] & _MARK[data[1:]]
         alone = (data[1:-1] == 0x0A) & visible[:-2] & visible[2:]
         cut[1 : len(data) - 1] |= alone
@@ -160,33 +137,23 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 class PieceEncoder:
     """Cuts texts, looks the pieces up and puts their ids together; subclasses know the ids of a piece."""
 
-    dtype = np.dtype("<u4")
     #: Bytes for the pieces a worker remembers.
     remembered = 128 << 20
-    #: So many times ``GROUP`` bytes are encoded together.
-    at_once = 1
+    #: So many times ``GROUP`` bytes are encoded together: a lookup goes over all known pieces once and should serve many.
+    at_once = 4
+    #: Texts with one of these strings are not cut.
+    special: list[str] = []
+    #: Whether texts are cut at spaces and nowhere else.
+    spaces_only = False
 
-    def __init__(self) -> None:
-        self.known = Remembered(self.remembered)  # piece -> ids of a space and the piece
+    def __init__(self, dtype: np.dtype) -> None:
+        self.dtype = dtype
+        self.known = KnownPieces(self.remembered, dtype)
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
+    def _learn(self, pieces: pa.Array) -> pa.Array:
+        """The ids of each piece."""
         raise NotImplementedError
 
-    def _learn(self, pieces: list[str]) -> list[bytes]:
-        """The ids of a space followed by each piece."""
-        return self._ids([" " + piece for piece in pieces])
-
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
-        found = self.known.look(pieces)
-        unknown = [i for i, ids in enumerate(found) if ids is None]
-        if unknown:
-            new = [pieces[i] for i in unknown]
-            learnt = self._learn(new)
-            for i, ids in zip(unknown, learnt):
-                found[i] = ids
-            self.known.keep(new, learnt)
-        return found
-
     def encode_groups(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Group by group of texts: place of the first, all ids one text after the other, and the number of ids of each."""
         texts = texts.cast(pa.large_string()).fill_null("")
@@ -206,32 +173,17 @@ class PieceEncoder:
         return np.concatenate(ids), np.concatenate(counts)
 
     def _encode_group(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        held = texts.to_pylist()
-        cut = pc.split_pattern(texts, " ")
-        odd = [i for i, text in enumerate(held) if _KEPT_SPACE.search(text)]
-        if odd:
-            pieces = cut.to_pylist()
-            for i in odd:
-                pieces[i] = _CUT.split(held[i])
-            cut = pa.array(pieces, pa.large_list(pa.large_string()))
-        offsets = cut.offsets.to_numpy()
-        flat = cut.flatten().dictionary_encode()
-        words = flat.dictionary.to_pylist()
-        places = flat.indices.to_numpy().astype(np.int64)
-        # Words follow a space, but for the first of each text: entries of their own, after the words.
-        heads = offsets[:-1] - offsets[0]
-        starts = [words[i] for i in places[heads].tolist()]
-        firsts = self._ids(starts)
-        places[heads] = len(words) + np.arange(len(heads))
-        entries = self._pieces(words) + firsts
-        width = self.dtype.itemsize
-        lengths = np.fromiter(map(len, entries), np.int64, len(entries)) // width
-        bounds = np.concatenate(([0], np.cumsum(lengths)))
-        table = pa.ListArray.from_arrays(
-            pa.array(bounds, pa.int32()), pa.array(np.frombuffer(b"".join(entries), self.dtype))
-        )
-        ids = table.take(pa.array(places)).flatten().to_numpy(zero_copy_only=False)
-        return ids, np.add.reduceat(lengths[places], heads)
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+        offsets = offsets - offsets[0]
+        cut = cuts(data, offsets, self.spaces_only)
+        for content in self.special:
+            for i in np.flatnonzero(pc.match_substring(texts, content).to_numpy(zero_copy_only=False)).tolist():
+                cut[offsets[i] + 1 : offsets[i + 1]] = False
+        bounds = np.flatnonzero(cut).astype(np.int32)
+        pieces = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+        ids, begins = self.known.spell(pieces, self._learn)
+        return ids, np.diff(begins[np.searchsorted(bounds, offsets)])
 
 
 class Encoder(PieceEncoder):
@@ -241,11 +193,7 @@ class Encoder(PieceEncoder):
     library has it unless told otherwise.
     """
 
-    # A lookup goes over all known pieces once, so that it should serve many.
-    at_once = 4
-
     def __init__(self, path: str, special_as_text: bool = True):
-        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, models, pre_tokenizers
 
@@ -254,8 +202,7 @@ class Encoder(PieceEncoder):
         added = tool.get_added_tokens_decoder().values()
         # White space before such a token belongs to no word after it: texts that hold one are not cut.
         self.special = [token.content for token in added if not (special_as_text and token.special)]
-        self.dtype = np.dtype("<u2" if tool.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known = KnownPieces(self.remembered, self.dtype)
+        super().__init__(np.dtype("<u2" if tool.get_vocab_size() <= 1 << 16 else "<u4"))
         # Whether a word of letters, written in the characters of the bytes, is what the pre-tokeniser hands to the model.
         before, self.model = tool.pre_tokenizer, tool.model
         self.by_words = (
@@ -266,17 +213,11 @@ class Encoder(PieceEncoder):
 
     def _learn(self, pieces: pa.Array) -> pa.Array:
         """The ids of each piece: of words by the library's model at once, of others by all of its steps."""
-        offsets = np.frombuffer(pieces.buffers()[1], np.int32)[pieces.offset : pieces.offset + len(pieces) + 1]
-        data = np.frombuffer(pieces.buffers()[2] or b"", np.uint8)[: offsets[-1]]
-        starts, stops = offsets[:-1], offsets[1:]
         found: list[list[int]] = [[]] * len(pieces)
         words = np.zeros(len(pieces), bool)
         if self.by_words:
-            letters = _letters(data)
-            letters[:-1] |= (data[:-1] == 0xC3) & letters[1:]  # the first bytes of letters of two
-            letters = np.concatenate(([0], np.cumsum(letters)))
-            spaced = (stops > starts) & (data[np.minimum(starts, max(0, len(data) - 1))] == 0x20)
-            words = (stops - starts > spaced) & (letters[stops] - letters[starts] == stops - starts - spaced)
+            data, offsets, words = whole_words(pieces)
+            starts, stops = offsets[:-1], offsets[1:]
             text = _WRITTEN[data].tobytes().decode("utf-32-le")
             split = self.model.tokenize
             places = np.flatnonzero(words)
@@ -290,22 +231,6 @@ class Encoder(PieceEncoder):
         ids = np.fromiter(chain.from_iterable(found), self.dtype, int(bounds[-1]))
         return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids))
 
-    def _encode_group(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
-        offsets = offsets - offsets[0]
-        cut = cuts(data, offsets)
-        for content in self.special:
-            for i in np.flatnonzero(pc.match_substring(texts, content).to_numpy(zero_copy_only=False)).tolist():
-                cut[offsets[i] + 1 : offsets[i + 1]] = False
-        bounds = np.flatnonzero(cut).astype(np.int32)
-        pieces = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(data)])
-        coded = pieces.dictionary_encode()
-        table = self.known.look(coded.dictionary, self._learn)
-        ids = table.take(coded.indices).flatten().to_numpy(zero_copy_only=False)
-        ends = np.concatenate(([0], np.cumsum(_lengths(table)[coded.indices.to_numpy(zero_copy_only=False)])))
-        return ids, np.diff(ends[np.searchsorted(bounds, offsets)])
-
 
 _encoders: dict[tuple[str, bool], Encoder] = {}
 

@@ -113,6 +113,60 @@ def test_bpe(rank_library, monkeypatch):
         tool.decode(np.array([60_000], np.uint32), np.array([1]))
 
 
+def test_bpe_splits_no_word_again_for_what_stands_behind_it(rank_library):
+    tool = bpe.RecursiveBpe(RANKS, public_tokenizers.PATTERN)
+    words = [" " + "".join(word) for word in product("abcdé", repeat=4)]
+    held = ["x" + mark.join(words) for mark in ("", ",", ".\nSo", "!")] * 2
+    split_pieces, contracted, findall, contract = [], [], tool.pattern.findall, tool.contract
+
+    class Spied:
+        @staticmethod
+        def findall(piece):
+            split_pieces.append(piece)
+            return findall(piece)
+
+    def spied(words):
+        contracted.extend(words)
+        return contract(words)
+
+    tool.pattern, tool.contract = Spied, spied
+    ids, counts = tool.encode(pa.array(held))
+    assert split(ids, counts) == [rank_library.encode_ordinary(text) for text in held]
+    assert len(split_pieces) <= 10
+    assert len(contracted) == len(set(contracted)) <= len(words) + 10
+
+
+@pytest.mark.parametrize("remembered", [tokens.PieceEncoder.remembered, 5000])
+def test_bpe_of_words_between_marks(rank_library, monkeypatch, remembered):
+    monkeypatch.setattr(tokens.PieceEncoder, "remembered", remembered)
+    tool, held = bpe.RecursiveBpe(RANKS, public_tokenizers.PATTERN), word_texts()
+    assert not tool.spaces_only
+    for start in range(0, len(held), 4000):
+        ids, counts = tool.encode(pa.array(held[start : start + 4000]))
+        assert split(ids, counts) == rank_library.encode_ordinary_batch(held[start : start + 4000])
+        assert tool.decode(ids, counts) == [text.encode() for text in held[start : start + 4000]]
+
+
+def test_bpe_by_another_pattern():
+    pattern = r"[^\r\n\p{L}\p{N}]?\p{Lu}?\p{Ll}+|\p{L}|\p{N}{1,3}| ?[^\s\p{L}\p{N}]+[\r\n]*|\s*[\r\n]+|\s+(?!\S)|\s+"
+    whole = tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
+    held = word_texts()[:5000] + ["end.\nNext oneWord twoWORDS 12345", "a,b.c", " thisIs"]
+    ids, counts = bpe.RecursiveBpe(RANKS, pattern).encode(pa.array(held))
+    assert split(ids, counts) == whole.encode_ordinary_batch(held)
+
+
+def test_bpe_of_batches_of_several_groups(spark, rank_library):
+    size = tokens.GROUP * bpe.RecursiveBpe.at_once // 12
+    held = [(i, f"word{i}, " * (size // 8) if i % 7 else None if i else "") for i in range(30)]
+    docs = spark.createDataFrame(held, "doc_id long, text string").coalesce(1)
+    found = bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN).selectExpr("doc_id", "n_tokens", "sha1(ids)", "sha1(decoded)")
+    expected = []
+    for doc_id, text in held:
+        ids = np.array(rank_library.encode_ordinary(text or ""), "<u4")
+        expected.append((doc_id, len(ids), hashlib.sha1(ids.tobytes()).hexdigest(), hashlib.sha1((text or "").encode()).hexdigest()))
+    assert sorted(map(tuple, found.collect())) == expected
+
+
 def test_long_words_follow_the_same_rule():
     tool = bpe.RecursiveBpe(RANKS, public_tokenizers.PATTERN)
     source = random.Random(2)
