@@ -28,14 +28,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import KnownPieces, PieceEncoder, release_memory, whole_words
+from .common import copied, handing_back
+from .tokens import KnownPieces, PieceEncoder, whole_words
 
 #: Bytes of a word beyond which recursion would write too many rows.
 LONG_WORD = 256
 #: The usual pattern, by which words of letters and the pieces of ``tokens.cuts`` are known; other texts are cut at spaces only.
 USUAL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: New words in a query, and ids decoded in one.
-QUERY_WORDS, DECODED_IDS = 40_000, 1 << 19
+QUERY_WORDS, DECODED_IDS = 20_000, 1 << 19
 MEMORY = "128MB"
 
 CONTRACT = """
@@ -66,6 +67,8 @@ class RecursiveBpe(PieceEncoder):
 
     # The vocabulary's tables stand beside what a group takes, and stages of other memory before this one.
     at_once = 1
+    #: So many times less than ``remembered`` is kept of pieces, and of words as many times less again.
+    share = 4
 
     def __init__(self, path: str, pattern: str):
         import duckdb
@@ -73,9 +76,9 @@ class RecursiveBpe(PieceEncoder):
 
         self.ranks = read_ranks(path)
         self.pattern, self.spaces_only = regex.compile(pattern), pattern != USUAL
-        super().__init__(np.dtype("<u2" if max(self.ranks.values()) < 1 << 16 else "<u4"))
+        super().__init__(np.dtype("<u2" if max(self.ranks.values()) < 1 << 16 else "<u4"), self.share)
         # The words of pieces; a piece of several ones is split by the pattern.
-        self.words = KnownPieces(self.remembered // 4, self.dtype)
+        self.words = KnownPieces(self.known.most // self.share, self.dtype)
         self.known_ids = np.zeros(max(self.ranks.values()) + 2, bool)
         self.known_ids[list(self.ranks.values())] = True
         self.bytes_ids = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
@@ -92,21 +95,14 @@ class RecursiveBpe(PieceEncoder):
         lhs, rhs, merged = zip(*merges) if merges else ((), (), ())
         self._table("merges", lhs=lhs, rhs=rhs, merged=merged)
         self.tokens = {rank: token for token, rank in self.ranks.items()}
-        self.db.register(
-            "vocabulary_rows",
-            pa.table(
-                {
-                    "id": pa.array(self.ranks.values(), pa.int32()),
-                    "bytes": pa.array(list(self.ranks), pa.binary()),
-                }
-            ),
-        )
-        self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM vocabulary_rows")
+        self._table("vocabulary", id=self.ranks.values(), bytes=self.ranks)
 
     def _table(self, name: str, **columns) -> None:
-        rows = pa.table({key: pa.array(list(values), pa.int32()) for key, values in columns.items()})
+        kinds = {"bytes": pa.binary()}
+        rows = pa.table({key: pa.array(list(values), kinds.get(key, pa.int32())) for key, values in columns.items()})
         self.db.register(f"{name}_rows", rows)
         self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM {name}_rows")
+        self.db.unregister(f"{name}_rows")
 
     def _query(self, name: str, rows: pa.Table, sql: str) -> pa.Table:
         self.db.register(name, rows)
@@ -241,21 +237,24 @@ def _binaries(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, buffers).cast(pa.binary())
 
 
-def round_trip(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids, decoded): ids as little-endian 32-bit numbers, and the bytes they decode to."""
-
+def _round_trip(ranks: str, pattern: str):
     def apply(batches):
         tool = encoder(ranks, pattern)
         for batch in batches:
             for at, ids, counts in tool.encode_groups(batch.column(1)):
                 columns = [
-                    batch.column(0).slice(at, len(counts)),
+                    copied(batch.column(0).slice(at, len(counts))),
                     pa.array(counts, pa.int64()),
                     _binaries(ids.astype("<u4").view(np.uint8), np.concatenate(([0], np.cumsum(counts))) * 4),
                     tool.decoded(ids, counts),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids", "decoded"])
-        release_memory()
+
+    return handing_back(apply)
+
+
+def round_trip(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_tokens, ids, decoded): ids as little-endian 32-bit numbers, and the bytes they decode to."""
 
     chosen = docs.select(F.col(id_col).cast("long"), F.col(text))
-    return chosen.mapInArrow(apply, "doc_id long, n_tokens long, ids binary, decoded binary")
+    return chosen.mapInArrow(_round_trip(ranks, pattern), "doc_id long, n_tokens long, ids binary, decoded binary")

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import only_rows, row_key, written
+from .common import handing_back, only_rows, row_key, written
 
 #: Bytes of a block.
 BLOCK = 4096
@@ -90,7 +90,7 @@ def _cut(block_bytes: int, batch_bytes: int):
         if rows:
             yield table()
 
-    return cut
+    return handing_back(cut)
 
 
 def block_table(

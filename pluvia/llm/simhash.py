@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import only_rows, row_key, written
+from .common import in_slices, only_rows, row_key, written
 from .components import connected
 
 SHINGLE_WORDS = 3
@@ -62,15 +62,14 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS, seed: int = SEED)
 
 
 def _fingerprints(words: int):
-    def apply(batches):
-        for batch in batches:
-            values = [fingerprint(text.as_py(), words) for text in batch.column(1)]
-            signed = np.array(values, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(signed)], names=["doc_id", "row_key", "simhash"]
-            )
+    def step(batch):
+        values = [fingerprint(text.as_py(), words) for text in batch.column(1)]
+        signed = np.array(values, np.uint64).view(np.int64)
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(2), pa.array(signed)], names=["doc_id", "row_key", "simhash"]
+        )
 
-    return apply
+    return in_slices(step)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS) -> DataFrame:

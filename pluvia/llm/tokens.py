@@ -10,7 +10,6 @@ texts are cut there as well, by the bytes of all texts at once, so that a word i
 
 from __future__ import annotations
 
-import ctypes
 import os
 from collections.abc import Iterator
 from itertools import chain
@@ -20,14 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are cut and looked up together, more only for one longer text.
-GROUP = 4 << 20
-
-
-def release_memory() -> None:
-    """Give back what Arrow and the C library hold for later: a worker outlives its task and stands beside others."""
-    pa.default_memory_pool().release_unused()
-    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
-        trim(0)
+GROUP = 2 << 20
 
 
 class KnownPieces:
@@ -140,15 +132,16 @@ class PieceEncoder:
     #: Bytes for the pieces a worker remembers.
     remembered = 128 << 20
     #: So many times ``GROUP`` bytes are encoded together: a lookup goes over all known pieces once and should serve many.
-    at_once = 4
+    at_once = 8
     #: Texts with one of these strings are not cut.
     special: list[str] = []
     #: Whether texts are cut at spaces and nowhere else.
     spaces_only = False
 
-    def __init__(self, dtype: np.dtype) -> None:
+    def __init__(self, dtype: np.dtype, share: int = 1) -> None:
+        """``share``: the worker remembers so many times less."""
         self.dtype = dtype
-        self.known = KnownPieces(self.remembered, dtype)
+        self.known = KnownPieces(self.remembered // share, dtype)
 
     def _learn(self, pieces: pa.Array) -> pa.Array:
         """The ids of each piece."""

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import in_slices, written
 
 #: Bounds of the training sample.
 MAX_POSITIVE, MAX_UNLABELLED = 6_000, 18_000
@@ -122,17 +122,16 @@ def train_one(
     return weights[:-1], float(weights[-1])
 
 
-def _word_rows(batches):
-    for batch in batches:
-        sets = [sorted(words(text.as_py())) for text in batch.column(2)]
-        hashes = [sorted(zlib.crc32(word.encode()) for word in held) for held in sets]
-        arrays = [
-            batch.column(0),
-            batch.column(1),
-            pa.array(hashes, pa.list_(pa.int64())),
-            pa.array(sets, pa.list_(pa.string())),
-        ]
-        yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "positive", "hashes", "words"])
+def _word_rows(batch):
+    sets = [sorted(words(text.as_py())) for text in batch.column(2)]
+    hashes = [sorted(zlib.crc32(word.encode()) for word in held) for held in sets]
+    arrays = [
+        batch.column(0),
+        batch.column(1),
+        pa.array(hashes, pa.list_(pa.int64())),
+        pa.array(sets, pa.list_(pa.string())),
+    ]
+    return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "positive", "hashes", "words"])
 
 
 def _unlike(group):
@@ -178,7 +177,7 @@ def fit(
     # At most MAX_POSITIVE + MAX_UNLABELLED ids: a bounded side to broadcast.
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id")
     held = texts.select("doc_id", "positive", "text").mapInArrow(
-        _word_rows, "doc_id long, positive boolean, hashes array<long>, words array<string>"
+        in_slices(_word_rows), "doc_id long, positive boolean, hashes array<long>, words array<string>"
     )
     # One row per drawn id, however many rows share it: the sample is bounded from here on.
     least = F.min(F.struct(F.xxhash64("words").alias("words_hash"), "hashes", "words")).alias("row")
@@ -204,17 +203,16 @@ def fit(
     counts = chosen_words.orderBy(F.desc("p"), "word").limit(MAX_VOCABULARY)
     vocabulary = {row["word"]: n for n, row in enumerate(counts.collect())}
 
-    def numbers(batches):
-        for batch in batches:
-            rows = [
-                np.array(sorted(n for n in map(vocabulary.get, held) if n is not None), np.int32)
-                for held in batch.column(3).to_pylist()
-            ]
-            columns = [*batch.columns[:3], pa.array(rows, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["positive", "draw", "doc_id", "numbers"])
+    def numbers(batch):
+        rows = [
+            np.array(sorted(n for n in map(vocabulary.get, held) if n is not None), np.int32)
+            for held in batch.column(3).to_pylist()
+        ]
+        columns = [*batch.columns[:3], pa.array(rows, pa.list_(pa.int32()))]
+        return pa.RecordBatch.from_arrays(columns, names=["positive", "draw", "doc_id", "numbers"])
 
     table = (
-        sample.mapInArrow(numbers, "positive boolean, draw long, doc_id long, numbers array<int>")
+        sample.mapInArrow(in_slices(numbers), "positive boolean, draw long, doc_id long, numbers array<int>")
         .orderBy("draw", "doc_id", "numbers")
         .toArrow()
     )
@@ -230,13 +228,12 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
     """The columns of ``docs`` -> (doc_id, score)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def apply(batches):
-        for batch in batches:
-            scores = [shared.value.score(held.as_py()) for held in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
+    def step(batch):
+        scores = [shared.value.score(held.as_py()) for held in batch.column(1)]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
     chosen = docs.select(F.col(id_col).cast("long"), F.col(text))
-    return chosen.mapInArrow(apply, "doc_id long, score double")
+    return chosen.mapInArrow(in_slices(step), "doc_id long, score double")
 
 
 def reject_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
@@ -244,14 +241,13 @@ def reject_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD, te
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text)
 
-    def apply(batches):
-        for batch in batches:
-            scores = [shared.value.score(held.as_py()) for held in batch.column(place)]
-            yield batch.filter(pa.array([s < threshold for s in scores], pa.bool_()))
+    def step(batch):
+        scores = [shared.value.score(held.as_py()) for held in batch.column(place)]
+        return batch.filter(pa.array([s < threshold for s in scores], pa.bool_()))
 
     # Plain names on the way, since a name may hold a dot.
     plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
-    return plain.mapInArrow(apply, plain.schema).toDF(*docs.columns)
+    return plain.mapInArrow(in_slices(step), plain.schema).toDF(*docs.columns)
 
 
 def fold(id_col: str = "doc_id") -> Column:

@@ -19,8 +19,8 @@ from tokenizers import Tokenizer
 from llm_cases import empty, tables  # noqa: F401
 
 import corpus_pipeline
-from pluvia.llm import bpe, mixing, token_scan, tokens, wavelet
-from pluvia.llm.common import read
+from pluvia.llm import bpe, mixing, simhash, token_scan, tokens, toxicity, wavelet
+from pluvia.llm.common import SLICE_ROWS, in_slices, read
 from pluvia.llm.queries import QUERIES, toxicity_model
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -167,6 +167,55 @@ def test_bpe_of_batches_of_several_groups(spark, rank_library):
     assert sorted(map(tuple, found.collect())) == expected
 
 
+def random_words(rows, words):
+    source = random.Random(3)
+    return [" ".join("".join(source.choice("abcdefghij") for _ in range(9)) for _ in range(words)) for _ in range(rows)]
+
+
+def as_read(**columns):
+    """A batch as a worker reads it: its columns are parts of one buffer."""
+    sink = pa.BufferOutputStream()
+    batch = pa.RecordBatch.from_pydict(columns)
+    with pa.ipc.new_stream(sink, batch.schema) as stream:
+        stream.write_batch(batch)
+    yield from pa.ipc.open_stream(bytes(sink.getvalue()))
+
+
+def test_words_of_bpe_take_a_part_of_the_bytes_remembered(monkeypatch):
+    monkeypatch.setattr(tokens.PieceEncoder, "remembered", 400_000)
+    tool = bpe.RecursiveBpe(RANKS, public_tokenizers.PATTERN)
+    for text in random_words(4, 800):  # new words of some 120 bytes an entry
+        tool.encode(pa.array([text]))
+    assert 0 < len(tool.known.pieces) <= 1000 and 0 < len(tool.words.pieces) <= 250
+
+
+@pytest.mark.parametrize(
+    "step, more",
+    [(simhash._fingerprints(3), {"key": "x"}), (in_slices(lambda b: b.filter(pa.array([True] * len(b)))), {}),
+     (bpe._round_trip(RANKS, public_tokenizers.PATTERN), {})],
+)
+def test_a_last_output_does_not_hold_the_texts(step, more):
+    rows = 3 * SLICE_ROWS + 1
+    held = [" words" * 500] * (rows - 1) + ["last"]
+    bpe.encoder(RANKS, public_tokenizers.PATTERN)
+    before, last, count = pa.total_allocated_bytes(), None, 0
+    batches = as_read(doc_id=list(range(rows)), text=held, **{k: [v] * rows for k, v in more.items()})
+    for last in step(batches):
+        count += len(last)
+    assert count == rows and last.column(0)[-1].as_py() == rows - 1
+    del batches
+    # A few rows, or the end of the texts' last group; not the batch as read, whose text alone is 4.6 MB.
+    assert pa.total_allocated_bytes() - before < 2 << 20
+
+
+def test_rows_of_words_are_made_a_few_at_a_time():
+    rows = 3 * SLICE_ROWS + 1
+    held = random_words(rows, 20)
+    made = list(in_slices(toxicity._word_rows)(as_read(doc_id=list(range(rows)), positive=[True] * rows, text=held)))
+    assert max(map(len, made)) <= SLICE_ROWS
+    assert [row["words"] for out in made for row in out.to_pylist()] == [sorted(set(text.split())) for text in held]
+
+
 def test_long_words_follow_the_same_rule():
     tool = bpe.RecursiveBpe(RANKS, public_tokenizers.PATTERN)
     source = random.Random(2)
